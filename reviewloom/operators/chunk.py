@@ -47,7 +47,10 @@ def _sliding(text: Column, size: int, overlap: int, min_size: int) -> Column:
 
 
 def _whole(text: Column) -> Column:
-    return F.array(F.struct(F.lit(0).alias("chunk_index"), text.alias("chunk")))
+    """The text as its only chunk; null, hence no row, when it is empty."""
+    return F.when(
+        text != "", F.array(F.struct(F.lit(0).alias("chunk_index"), text.alias("chunk")))
+    )
 
 
 def chunk_array(
@@ -71,11 +74,13 @@ def chunk(
     min_size: int = 230,
     mode: str = "sliding",
 ) -> DataFrame:
-    """One row per chunk in place of ``col``; empty text has no chunk."""
+    """One row per chunk in place of ``col``; empty text has no chunk.
+
+    Empty text is not filtered beforehand: Spark would push such a filter below the
+    cleaning and run its Python step twice.
+    """
     chunks = chunk_array(F.col(col), size, overlap, min_size, mode)
-    return df.filter(F.col(col) != "").select(
-        *[c for c in df.columns if c != col], F.inline(chunks)
-    )
+    return df.select(*[c for c in df.columns if c != col], F.inline(chunks))
 
 
 def review_chunks(df: DataFrame, params: Params = Params()) -> DataFrame:

@@ -94,8 +94,10 @@ def select_entities(df: DataFrame, keys: DataFrame, key: str, max_keys: int) ->
 def sample_reviews(reviews: DataFrame, businesses: DataFrame, params: Params) -> DataFrame:
     """All reviews of a seeded sample of eligible businesses, joined.
 
-    Counting needs only ids, so the wide text is neither joined nor shuffled for
-    it; afterwards both inputs shrink to the sample before they meet.
+    Distinct reviews are counted on ids alone and before any join: the count spreads
+    over (business, review), so a business with a large share of all reviews does
+    not skew it. The join for the category then sees one row per business. Both
+    inputs shrink to the sample before their wide rows meet.
     """
     p = params
     key = p.col_entity
@@ -104,8 +106,8 @@ def sample_reviews(reviews: DataFrame, businesses: DataFrame, params: Params) ->
     wanted = category_filter(wanted, p.col_category, p.include, p.exclude)
     usable = drop_nulls(reviews, p.null_policy, required)
 
-    ids = usable.select(key, p.col_review).join(wanted.select(key), key, "left_semi")
-    eligible = eligible_keys(ids, key, p.col_review, p.min_reviews)
+    counted = eligible_keys(usable, key, p.col_review, p.min_reviews)
+    eligible = counted.join(wanted.select(key), key, "left_semi")
     chosen = sample_keys(eligible, key, p.n_entities, p.seed, p.strict_sample)
     return join_entities(
         select_entities(usable, chosen, key, p.n_entities),
