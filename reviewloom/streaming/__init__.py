@@ -1,0 +1 @@
+"""New review files as a stream."""
