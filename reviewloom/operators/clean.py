@@ -18,8 +18,14 @@ def clean_text(df: DataFrame, col: str = "text", min_chars: int = 30, nfkc: bool
     kept = df.withColumn(col, T.strip(F.col(col).cast("string"))).filter(
         F.length(col) >= min_chars  # null is dropped here too
     )
-    cleaned = kept.withColumn(col, T.replace_and_collapse(F.col(col)))
-    return cleaned.withColumn(col, T.nfkc(F.col(col))) if nfkc else cleaned
+    text, plain = F.col(col), F.col("_plain")
+    cleaned = kept.withColumn("_plain", T.is_plain(text)).withColumn(
+        col,
+        F.when(plain, T.replace_and_collapse_plain(text)).otherwise(T.replace_and_collapse(text)),
+    )
+    if nfkc:
+        cleaned = cleaned.withColumn(col, T.nfkc(text, ~plain))
+    return cleaned.drop("_plain")
 
 
 def dedup_text(df: DataFrame, col: str = "text", order: str = "ordinal") -> DataFrame:

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from reviewloom.functions import vectors as V
-from reviewloom.operators.ranking import top_per_group
+from reviewloom.operators.ranking import hint_small, top_per_group
 
 INLINE_TOPICS = 64
 RESULT_COLUMNS = (
@@ -116,12 +116,14 @@ def topic_retrieval(
     max_per_topic: int = 12,
     metric: str = "ip",
     text_from: DataFrame | None = None,
+    max_found: int | None = None,
 ) -> DataFrame:
     """Top k, then the cap per review, then the first ``max_per_topic``, ranked.
 
     The three ranked filters share the (business, topic) partitioning of the first.
     When the text lies in another table, pass it as ``text_from``: then only ids
-    and scores are ranked and the text is looked up for the winners.
+    and scores are ranked and the text is looked up for the winners; ``max_found`` is
+    the known bound of their number, if there is one.
     """
     top = topic_topk(score(chunks, topics, metric), k, metric)
     capped = cap_per_review(top, max_per_review, metric)
@@ -129,6 +131,8 @@ def topic_retrieval(
         capped, ["business_id", "topic"], best_first(metric), max_per_topic, rank="rank"
     )
     if text_from is not None:
+        if max_found is not None:
+            ranked = hint_small(ranked, max_found)
         ranked = attach(ranked, text_from)
     return ranked.select(*[c for c in RESULT_COLUMNS if c in ranked.columns])
 

@@ -25,6 +25,7 @@ def retrieved_chunks(
     params: Params = Params(),
     embedder: embed.Embedder | None = None,
     text_from: DataFrame | None = None,
+    n_entities: int | None = None,
 ) -> DataFrame:
     """The ranked chunks of every (business, topic)."""
     topics = embed.topic_table(vectors.sparkSession, params.topics)
@@ -36,6 +37,8 @@ def retrieved_chunks(
         params.max_per_topic,
         params.metric,
         text_from,
+        # only a sampled run bounds the number of businesses
+        max_found=n_entities and n_entities * len(params.topics) * params.max_per_topic,
     )
 
 
@@ -88,7 +91,7 @@ def run(
         vectors = tables.read_vectors(vectors.sparkSession, f"{out}/chunk_vectors")
         vectors = vectors.select("chunk_id", "business_id", "review_id", "embedding")
         text = chunks.select("chunk_id", "restaurant_name", "stars", "chunk")
-    retrieved = retrieved_chunks(vectors, params, embedder, text)
+    retrieved = retrieved_chunks(vectors, params, embedder, text, params.n_entities)
     retrieved = stage("topic_relevant_review_chunks", retrieved)
     long = stage("summaries_long", summarizer(retrieved, topics))
     wide = summarize.pivot_summaries(long, topics)

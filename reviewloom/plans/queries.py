@@ -24,6 +24,7 @@ from reviewloom.operators import (
 from reviewloom.params import TOPICS
 from reviewloom.plans import insights, views
 from reviewloom.plans.views import PARAMS, table
+from reviewloom.sources import tables
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -53,12 +54,16 @@ def _rounded(df: DataFrame, *columns: str) -> DataFrame:
     return df.withColumns({c: F.round(c, 6) for c in columns})
 
 
+def _documents(spark: SparkSession, folder: str) -> DataFrame:
+    return tables.spread(table(spark, folder, "documents"), "doc_id")
+
+
 def _reviews(spark: SparkSession, folder: str) -> DataFrame:
-    return views.document_reviews(table(spark, folder, "documents"))
+    return views.document_reviews(_documents(spark, folder))
 
 
 def _lang_reviews(spark: SparkSession, folder: str) -> DataFrame:
-    return views.document_reviews(table(spark, folder, "documents"), views.source_lang())
+    return views.document_reviews(_documents(spark, folder), views.source_lang())
 
 
 def _retrieved(reviews: DataFrame) -> DataFrame:
@@ -183,20 +188,19 @@ def cleaning_report(spark, folder):
 # --- vectors ---------------------------------------------------------------------
 
 
-def _exploded(df: DataFrame, key: str, vector: str, decimals: int) -> DataFrame:
+def _exploded(df: DataFrame, key: str, vector: str, zeros: bool = False) -> DataFrame:
     places = df.select(key, F.posexplode(vector).alias("pos", "weight"))
-    return places.select(
+    return (places if zeros else places.filter("weight <> 0")).select(
         key,
         F.col("pos").cast("bigint").alias("bucket"),
-        F.round(F.col("weight").cast("double"), decimals).alias("weight"),
+        F.round(F.col("weight").cast("double"), 6).alias("weight"),
     )
 
 
 @query
 def embed_hashed(spark, folder):
     chunks = insights.prepared_chunks(_reviews(spark, folder), PARAMS)
-    weights = _exploded(embed.embed(chunks, "chunk"), "chunk_id", "embedding", 6)
-    return weights.filter("weight <> 0")
+    return _exploded(embed.embed(chunks, "chunk"), "chunk_id", "embedding")
 
 
 @query
@@ -205,7 +209,7 @@ def embed_topics(spark, folder):
     passages = table(spark, folder, "benchmark").select(
         F.col("item_id").alias("topic"), F.col("text").alias("keywords")
     )
-    return _exploded(embed.embed_topics(passages), "topic", "qvec", 6).filter("weight <> 0")
+    return _exploded(embed.embed_topics(passages), "topic", "qvec")
 
 
 @query
@@ -216,7 +220,7 @@ def normalize_vectors(spark, folder):
         F.transform("embedding", lambda x: (x.cast("double") * (F.col("label") + 1)).cast("float")),
     )
     unit = stretched.withColumn("embedding", V.normalize(F.col("embedding")))
-    return _exploded(unit, "vec_id", "embedding", 6)
+    return _exploded(unit, "vec_id", "embedding", zeros=True)
 
 
 def _scored(spark, folder, metric):
@@ -329,7 +333,7 @@ def empty_topics(spark, folder):
     documents = table(spark, folder, "documents")
     good = table(spark, folder, "labels").filter("quality = 1")
     reviews = views.document_reviews(
-        documents.join(good, "doc_id", "left_semi"), views.source_lang()
+        _documents(spark, folder).join(good, "doc_id", "left_semi"), views.source_lang()
     )
     entities = documents.select(views.source_lang().alias("business_id")).distinct()
     return quality.empty_topics(entities, TOPIC_LIST, _retrieved(reviews))
@@ -435,7 +439,9 @@ def summary_lookup(spark, folder):
 def review_insights(spark, folder):
     """The whole run: a business is a source in one language."""
     documents = table(spark, folder, "documents")
-    reviews = views.document_reviews(documents, views.source_lang(), stars="stars").drop("name")
+    reviews = views.document_reviews(
+        _documents(spark, folder), views.source_lang(), stars="stars"
+    ).drop("name")
     businesses = documents.groupBy(views.source_lang().alias("business_id")).agg(
         F.min("source").alias("name"),
         F.min("lang").alias("categories"),
