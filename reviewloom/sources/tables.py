@@ -25,7 +25,8 @@ def spread(scan: DataFrame, key: str) -> DataFrame:
     small, so this never shuffles a large one. Apply it to a plain scan only.
     """
     cores = scan.sparkSession.sparkContext.defaultParallelism
-    return scan.repartition(cores, key) if scan.rdd.getNumPartitions() < cores else scan
+    # a few tasks per core even out rows of very different length
+    return scan.repartition(3 * cores, key) if scan.rdd.getNumPartitions() < cores else scan
 
 
 def write_csv(df: DataFrame, path: str) -> None:
