@@ -83,21 +83,19 @@ def similarity(v: Column, q: Column, metric: str) -> Column:
     return dot(v, q)
 
 
-def similarity_to(v: Column, query: Sequence[float], metric: str) -> Column:
-    """Score against a constant vector.
+def similarity_to(vector_col: str, query: Sequence[float], metric: str) -> Column:
+    """Score of a vector column against a constant vector.
 
     A zero weight adds nothing to an inner product, so a query with few non-zero
     places becomes a short compiled sum; others use the array functions.
     """
     check_metric(metric)
-    q = [float(x) for x in query]
+    v, q = F.col(vector_col), [float(x) for x in query]
     places = [i for i, x in enumerate(q) if x]
     if metric == "l2" or not 0 < len(places) <= _SPARSE_TERMS:
-        return similarity(v, F.array(*map(F.lit, q)), metric)
-    product = None
-    for i in places:
-        term = F.get(v, F.lit(i)).cast("double") * F.lit(q[i])
-        product = term if product is None else product + term
+        return similarity(v, F.lit(q), metric)
+    terms = [f"double(get(`{vector_col}`, {i})) * {q[i]!r}D" for i in places]
+    product = F.expr(" + ".join(terms))
     if metric == "ip":
         return product
     return _cosine(product, norm(v) * F.lit(sum(x * x for x in q) ** 0.5))

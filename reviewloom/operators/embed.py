@@ -7,6 +7,7 @@ from typing import Any, Protocol
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, FloatType
@@ -85,8 +86,9 @@ def embed(
 
 
 def topic_table(spark, topics: dict[str, str]) -> DataFrame:
-    """The query set as (topic, keywords)."""
-    return spark.createDataFrame(list(topics.items()), "topic string, keywords string")
+    """The query set as (topic, keywords), local to the plan."""
+    columns = {"topic": list(topics), "keywords": list(topics.values())}
+    return spark.createDataFrame(pa.table(columns))
 
 
 def embed_topics(topics: DataFrame, embedder: Embedder | None = None) -> DataFrame:

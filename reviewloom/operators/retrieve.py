@@ -45,7 +45,7 @@ def score(
     scored = [
         F.struct(
             F.lit(q.topic).alias("topic"),
-            _same_size(v, len(q.qvec), V.stable(V.similarity_to(v, q.qvec, metric))).alias("score"),
+            _same_size(v, len(q.qvec), V.stable(V.similarity_to(vector_col, q.qvec, metric))).alias("score"),
         )
         for q in queries
     ]

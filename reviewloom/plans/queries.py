@@ -189,7 +189,9 @@ def cleaning_report(spark, folder):
 
 
 def _exploded(df: DataFrame, key: str, vector: str, zeros: bool = False) -> DataFrame:
-    places = df.select(key, F.posexplode(vector).alias("pos", "weight"))
+    # the outer form: for the inner one Spark infers a filter on the array, which
+    # would compute every vector again
+    places = df.select(key, F.posexplode_outer(vector).alias("pos", "weight"))
     return (places if zeros else places.filter("weight <> 0")).select(
         key,
         F.col("pos").cast("bigint").alias("bucket"),
