@@ -38,6 +38,14 @@ def index_integrity(vectors: DataFrame, metadata: DataFrame, key: str = "chunk_i
     return v.join(m, key, "full").select(key, missing.alias("missing")).filter("missing IS NOT NULL")
 
 
+def require_metadata(vectors: DataFrame, metadata: DataFrame, key: str = "business_id") -> None:
+    """Fail when a business has vectors but no metadata."""
+    names = vectors.select(key).distinct()
+    missing = names.join(metadata.select(key).distinct(), key, "left_anti").first()
+    if missing is not None:
+        raise KeyError(f"Missing metadata for {key} {missing[0]}")
+
+
 def index_stats(
     vectors: DataFrame, key: str = "business_id", vector_col: str = "embedding"
 ) -> DataFrame:

@@ -4,13 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
-from reviewloom.operators import chunk, clean, embed, retrieve, select, summarize
-from reviewloom.operators.present import require_columns
-from reviewloom.operators.ranking import head_rows
+from reviewloom import schemas
+from reviewloom.operators import chunk, clean, embed, quality, retrieve, select, summarize
 from reviewloom.params import Params
-from reviewloom.sources import tables
+from reviewloom.sources import jsonl, tables
 
 Summarizer = Callable[[DataFrame, list[str]], DataFrame]
 
@@ -63,25 +62,21 @@ def run(
     """Summaries by name, lazily as one plan, or stage by stage under ``out``.
 
     With ``out`` each stage table is written and the next stage reads it, which cuts
-    lineage, survives lost executors and lets model calls happen once.
+    lineage, survives lost executors and lets model calls happen once. A report of
+    rows and businesses per stage is written beside them.
     """
-    order = params.col_order
-    if params.head_rows is not None:
-        # each input is capped by itself, before they meet
-        for df in (reviews, businesses):
-            require_columns(df, [order], "an input capped with head_rows")
-        reviews = head_rows(reviews, params.head_rows, order)
-        businesses = head_rows(businesses, params.head_rows, order)
-    businesses = businesses.drop(order)
+    written: dict[str, DataFrame] = {}
 
     def stage(name: str, df: DataFrame) -> DataFrame:
         if out is None:
             return df
         tables.write_table(df, f"{out}/{name}")
-        return tables.read_table(df.sparkSession, f"{out}/{name}")
+        written[name] = tables.read_table(df.sparkSession, f"{out}/{name}")
+        return written[name]
 
     topics = list(params.topics)
-    sampled = select.sample_reviews(reviews, businesses, params)
+    sampled = select.sample_reviews(reviews, businesses.drop(params.col_order), params)
+    sampled = stage("reviews_df", sampled)
     chunks = stage("review_chunks", prepared_chunks(sampled, params))
     vectors = embed.embed(chunks, "chunk", embedder, normalize=params.normalize)
     text = None
@@ -94,5 +89,19 @@ def run(
     retrieved = retrieved_chunks(vectors, params, embedder, text, params.n_entities)
     retrieved = stage("topic_relevant_review_chunks", retrieved)
     long = stage("summaries_long", summarizer(retrieved, topics))
+    if out is not None:
+        tables.write_table(quality.run_report(written), f"{out}/run_report")
     wide = summarize.pivot_summaries(long, topics)
     return stage("summaries", summarize.summaries_by_name(wide, topics))
+
+
+def run_files(
+    spark: SparkSession, reviews: str, businesses: str, params: Params = Params(), **options
+) -> DataFrame:
+    """:func:`run` on two JSON Lines inputs, each capped at its first lines by itself."""
+    return run(
+        jsonl.read_jsonl(spark, reviews, schemas.REVIEWS, params.head_rows),
+        jsonl.read_jsonl(spark, businesses, schemas.BUSINESSES, params.head_rows),
+        params,
+        **options,
+    )

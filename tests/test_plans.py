@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from reviewloom.operators import clean, quality, ranking, retrieve, select
 from reviewloom.plans import views
 from reviewloom.plans.queries import PARAMS, QUERIES, SELECTION
+from reviewloom.sources import tables
 
 
 def plan(df):
@@ -34,7 +35,8 @@ def test_retrieval_limits_groups_before_every_shuffle(spark, folder):
 
 
 def test_dedup_keeps_one_row_per_text_before_the_shuffle(spark, folder):
-    text = plan(clean.dedup_text(QUERIES["clean_text"](spark, folder), order="review_id"))
+    reviews = views.document_reviews(views.table(spark, folder, "documents"))
+    text = plan(clean.clean_dedup(reviews))
     assert exchanges(text) == 1
     before = text[text.index("Exchange hashpartitioning"):]
     assert re.search(r"WindowGroupLimit .*row_number\(\), 1, Partial", before)
@@ -105,6 +107,13 @@ def test_results_do_not_hang_on_partitioning(spark, folder, name, monkeypatch):
         spark.conf.set("spark.sql.shuffle.partitions", before)
 
 
+def test_small_scans_are_spread_and_others_kept(spark, folder):
+    small = views.table(spark, folder, "documents")
+    assert "REPARTITION_BY_NUM" in plan(tables.spread(small, "doc_id"))
+    many = spark.range(0, 100, 1, 64)
+    assert tables.spread(many, "id") is many
+
+
 def test_report_of_a_table_that_is_mostly_one_text(spark):
     df = spark.range(3000).select(
         F.col("id").alias("ordinal"),

@@ -203,6 +203,9 @@ def test_integrity_and_empty_topics(spark):
     assert {(r.chunk_id, r.missing) for r in broken} == {("c2", "metadata"), ("c4", "vector"), ("c5", "vector")}
     listing = {r.business_id: (r.n_vectors, r.n_metadata, r.paired) for r in quality.index_listing(vectors, metadata).collect()}
     assert listing == {"a": (2, 1, False), "b": (1, 2, False), "c": (0, 1, False)}
+    quality.require_metadata(vectors, metadata)
+    with pytest.raises(KeyError, match="business_id c"):
+        quality.require_metadata(metadata, vectors)
     found = spark.createDataFrame([("a", "food")], "business_id string, topic string")
     empty = quality.empty_topics(vectors.select("business_id").distinct(), ["food", "service"], found)
     assert {tuple(r) for r in empty.collect()} == {("a", "service"), ("b", "food"), ("b", "service")}

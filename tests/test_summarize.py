@@ -1,6 +1,6 @@
 """Prompts, summaries and the reader's view."""
 
-import dataclasses
+import json
 
 import pytest
 from pyspark.sql import functions as F
@@ -133,16 +133,52 @@ def test_staged_run_equals_lazy_run(spark, folder, tmp_path):
     assert chunks.count() == vectors.count() > 0
     found = tables.read_table(spark, f"{out}/topic_relevant_review_chunks")
     assert found.columns == list(insights.retrieve.RESULT_COLUMNS)
-
-
-def test_run_with_a_client_and_a_cap(spark, folder):
-    reviews, businesses = inputs(spark, folder)
-    params = dataclasses.replace(INSIGHTS, head_rows=150, n_entities=2)
-    got = insights.run(reviews, businesses, params, summarizer=insights.generated(lambda: lambda p: "said\nso"))
-    rows = got.collect()
-    assert rows and all(tuple(r)[1:] == ("said so",) * 3 for r in rows)
-    with pytest.raises(ValueError, match="ordinal"):
-        insights.run(reviews.drop("ordinal"), businesses, params)
+    report = {r.stage: (r.n_rows, r.n_keys) for r in tables.read_table(spark, f"{out}/run_report").collect()}
+    assert report["review_chunks"] == (chunks.count(), 10)
+    assert report["summaries_long"] == (30, 10)
+
+
+def json_inputs(folder):
+    """Four restaurants; the hotel is excluded, and one has too few reviews."""
+    names = [("b0", "Grand Hotel", "Hotels, Restaurants"), ("b1", "Joe's", "Restaurants"),
+             ("b2", "Ann", "Pizza, Restaurants"), ("b3", "Tiny", "Restaurants")]
+    texts = ["The food had fresh taste and spicy flavor. Nice number {}.", "The staff was rude, wait time {} minutes. Never."]
+    businesses = [
+        {"business_id": b, "name": n, "address": "a", "city": "c", "state": "s", "postal_code": "p", "latitude": 1.0,
+         "longitude": 2.0, "stars": 4.0, "review_count": 3, "is_open": 1, "attributes": {"x": "y"}, "categories": c,
+         "hours": {"Monday": "9-5"}}
+        for b, n, c in names
+    ]
+    reviews = [
+        {"review_id": f"r{b}{i}", "user_id": "u", "business_id": b, "stars": 5.0 - i % 2 * 4, "useful": 0, "funny": 0,
+         "cool": 0, "text": texts[i % 2].format(f"{b} {i}"), "date": "2020-01-01 00:00:00"}
+        for b, n in (("b0", 9), ("b1", 6), ("b2", 8), ("b3", 2)) for i in range(n)
+    ]
+    for name, rows in (("reviews", reviews), ("businesses", businesses)):
+        (folder / name).mkdir()
+        (folder / name / "part.json").write_text("\n".join(map(json.dumps, rows)), encoding="utf-8")
+    return str(folder / "reviews"), str(folder / "businesses")
+
+
+def test_run_on_files(spark, tmp_path):
+    paths = json_inputs(tmp_path)
+    params = Params(min_reviews=4, n_entities=2, max_per_topic=1)
+    rows = {r.restaurant_name: r for r in insights.run_files(spark, *paths, params).collect()}
+    assert set(rows) == {"Joe's", "Ann"}
+    assert rows["Ann"].food.startswith("Positive reviews. The food had fresh taste")
+    assert rows["Ann"].service.startswith("Negative reviews. The staff was rude, wait time b2")
+    capped = Params(min_reviews=4, n_entities=2, head_rows=3)
+    with pytest.raises(Exception, match="cannot draw 2 entities, eligible: 0"):
+        insights.run_files(spark, *paths, capped).collect()
+
+
+def test_run_with_a_client(spark, tmp_path):
+    calls = insights.generated(lambda: lambda p: "said\nso", parallelism=2)
+    params = Params(min_reviews=4, n_entities=2)
+    rows = insights.run_files(
+        spark, *json_inputs(tmp_path), params, summarizer=calls, out=str(tmp_path / "out")
+    ).collect()
+    assert sorted(tuple(r) for r in rows) == [(n, *["said so"] * 3) for n in ("Ann", "Joe's")]
 
 
 def test_defaults_match_the_documented_ones():
