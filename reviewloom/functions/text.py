@@ -22,7 +22,7 @@ _NFKC_STABLE = (
 
 def strip(text: Column) -> Column:
     """Trim Unicode white space at both ends."""
-    return F.trim(text, F.lit(WHITESPACE))
+    return F.btrim(text, F.lit(WHITESPACE))
 
 
 def _squeeze(text: Column) -> Column:

@@ -8,7 +8,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 METRICS = ("ip", "cosine", "l2")
-_SPARSE_TERMS = 32
+UNROLLED_TERMS = 256  # more would overflow one generated method
 
 
 def check_metric(metric: str) -> None:
@@ -83,18 +83,20 @@ def similarity(v: Column, q: Column, metric: str) -> Column:
     return dot(v, q)
 
 
-def similarity_to(vector_col: str, query: Sequence[float], metric: str) -> Column:
+def similarity_to(
+    vector_col: str, query: Sequence[float], metric: str, unroll: bool = False
+) -> Column:
     """Score of a vector column against a constant vector.
 
-    A zero weight adds nothing to an inner product, so a query with few non-zero
-    places becomes a short compiled sum; others use the array functions.
+    A zero weight adds nothing to an inner product. With ``unroll`` the non-zero
+    places become a compiled sum, which suits queries with few of them; otherwise
+    the array functions do it.
     """
     check_metric(metric)
     v, q = F.col(vector_col), [float(x) for x in query]
-    places = [i for i, x in enumerate(q) if x]
-    if metric == "l2" or not 0 < len(places) <= _SPARSE_TERMS:
+    terms = [f"double(get(`{vector_col}`, {i})) * {x!r}D" for i, x in enumerate(q) if x]
+    if metric == "l2" or not unroll or not terms:
         return similarity(v, F.lit(q), metric)
-    terms = [f"double(get(`{vector_col}`, {i})) * {q[i]!r}D" for i in places]
     product = F.expr(" + ".join(terms))
     if metric == "ip":
         return product

@@ -41,15 +41,14 @@ def score(
     kept = [c for c in chunks.columns if keep_vector or c != vector_col]
     if not queries:
         return chunks.select(*kept, F.lit("").alias("topic"), F.lit(0.0).alias("score")).limit(0)
-    v = F.col(vector_col)
-    scored = [
-        F.struct(
-            F.lit(q.topic).alias("topic"),
-            _same_size(v, len(q.qvec), V.stable(V.similarity_to(vector_col, q.qvec, metric))).alias("score"),
-        )
-        for q in queries
-    ]
-    return chunks.select(*kept, F.inline(F.array(*scored)))
+    unroll = sum(x != 0 for q in queries for x in q.qvec) <= V.UNROLLED_TERMS
+
+    def entry(q) -> Column:
+        value = V.stable(V.similarity_to(vector_col, q.qvec, metric, unroll))
+        checked = _same_size(F.col(vector_col), len(q.qvec), value)
+        return F.struct(F.lit(q.topic).alias("topic"), checked.alias("score"))
+
+    return chunks.select(*kept, F.inline(F.array(*map(entry, queries))))
 
 
 def score_many(

@@ -87,6 +87,20 @@ def test_many_topics_take_the_join_and_agree(spark, metric, monkeypatch):
     assert many.columns == retrieve.score(chunks, topics.limit(2), metric).columns
 
 
+def test_the_longest_inline_query_set(spark):
+    """64 dense topics fit one projection, sparse or not."""
+    rng = np.random.default_rng(5)
+    chunks = spark.createDataFrame(
+        [(f"c{i}", "b", f"r{i}", rng.normal(size=64).tolist()) for i in range(30)], CHUNK
+    )
+    vectors = {r.chunk_id: r.embedding for r in chunks.collect()}
+    queries = [(f"t{i}", rng.normal(size=64).tolist()) for i in range(retrieve.INLINE_TOPICS)]
+    scored = retrieve.score(chunks, spark.createDataFrame(queries, TOPIC)).collect()
+    assert len(scored) == 30 * 64
+    by_name = {t: np.asarray(q, dtype=np.float32).astype(float) for t, q in queries}
+    assert all(abs(np.dot(vectors[r.chunk_id], by_name[r.topic]) - r.score) < 1e-8 for r in scored)
+
+
 def test_cap_comes_after_top_k(spark):
     rows = [(f"c{i:02d}", "b", f"r{i % 2}", [1.0 - i / 100, 0.0]) for i in range(26)]
     assert len(search(spark, rows, [("t", [1.0, 0.0])])) == 2
