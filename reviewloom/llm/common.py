@@ -9,6 +9,7 @@ from collections.abc import Callable, Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
 #: Rows of a table that may be broadcast; callers multiply by a bounded row width.
@@ -40,41 +41,35 @@ def small(df: DataFrame, rows: int = SMALL_ROWS) -> DataFrame:
     return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
 
 
-def map_rows(df: DataFrame, make: Callable[[], Callable[..., tuple]], schema: str) -> DataFrame:
-    """Apply a Python function to rows, in Arrow batches.
+def map_batches(df: DataFrame, make: Callable[[], Callable[..., list[tuple]]], schema: str) -> DataFrame:
+    """Apply a Python function to short runs of rows, in Arrow batches.
 
-    make() runs once per task and returns a function from the values of a row,
-    in the order of df's columns, to a tuple in the order of the schema.
+    make() runs once per task and returns a function from the columns of a run, as
+    lists in the order of df's columns, to a list of tuples in the order of the schema.
     """
-    out = schema_of(df.sparkSession, schema)
-    arrow = arrow_schema(out)
+    out = StructType.fromDDL(schema)
+    arrow = to_arrow_schema(out)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fn = make()
         for batch in batches:
             for part in slices(batch):
-                rows = [fn(*row) for row in zip(*(c.to_pylist() for c in part.columns), strict=True)]
-                yield to_batch(rows, arrow)
+                yield to_batch(fn(*(c.to_pylist() for c in part.columns)), arrow)
 
     return df.mapInArrow(run, out)
 
 
-def map_flat(df: DataFrame, make: Callable[[], Callable[..., list]], schema: str) -> DataFrame:
-    """As map_rows, but the function returns a list of tuples."""
-    out = schema_of(df.sparkSession, schema)
-    arrow = arrow_schema(out)
+def map_rows(df: DataFrame, make: Callable[[], Callable[..., tuple]], schema: str) -> DataFrame:
+    """As map_batches, with a function from the values of a row to a tuple."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def make_batch() -> Callable[..., list[tuple]]:
         fn = make()
-        for batch in batches:
-            for part in slices(batch):
-                columns = zip(*(c.to_pylist() for c in part.columns), strict=True)
-                yield to_batch([r for row in columns for r in fn(*row)], arrow)
+        return lambda *columns: [fn(*row) for row in zip(*columns, strict=True)]
 
-    return df.mapInArrow(run, out)
+    return map_batches(df, make_batch, schema)
 
 
-def slices(batch: pa.RecordBatch, rows: int = 1000) -> Iterator[pa.RecordBatch]:
+def slices(batch: pa.RecordBatch, rows: int = 500) -> Iterator[pa.RecordBatch]:
     """Short runs of rows, so that Python holds few decoded texts at a time."""
     for start in range(0, batch.num_rows, rows):
         yield batch.slice(start, rows)
@@ -85,13 +80,3 @@ def to_batch(rows: list[tuple], arrow: pa.Schema) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(
         [pa.array(list(c), type=f.type) for c, f in zip(columns, arrow, strict=True)], schema=arrow
     )
-
-
-def schema_of(spark: SparkSession, text: str) -> StructType:
-    return StructType.fromDDL(text)
-
-
-def arrow_schema(schema: StructType) -> pa.Schema:
-    from pyspark.sql.pandas.types import to_arrow_schema
-
-    return to_arrow_schema(schema)

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from reviewloom.llm import chat, quality_rules
+from reviewloom.llm import bpe, chat, packing, quality_rules
 
 _ALL = [
+    bpe.op5_bpe,
     chat.op6_chat_format,
+    packing.op7_packing,
     quality_rules.op10_quality_rules,
 ]
 QUERIES = {f.__name__: f for f in _ALL}
