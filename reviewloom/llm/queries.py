@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from reviewloom.llm import bpe, chat, packing, quality_rules
+from reviewloom.llm import bpe, chat, langid, packing, quality_rules, secrets
 
 _ALL = [
+    secrets.op1_secrets,
+    langid.op2_language_id,
     bpe.op5_bpe,
     chat.op6_chat_format,
     packing.op7_packing,
