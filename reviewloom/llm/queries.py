@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from reviewloom.llm import bpe, chat, langid, packing, quality_rules, secrets
+from reviewloom.llm import bpe, chat, langid, packing, quality_rules, secrets, toxicity
 
 _ALL = [
     secrets.op1_secrets,
@@ -10,6 +10,7 @@ _ALL = [
     bpe.op5_bpe,
     chat.op6_chat_format,
     packing.op7_packing,
+    toxicity.op8_toxicity,
     quality_rules.op10_quality_rules,
 ]
 QUERIES = {f.__name__: f for f in _ALL}
