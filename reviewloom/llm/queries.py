@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from reviewloom.llm import bpe, chat, langid, packing, quality_rules, secrets, toxicity
+from reviewloom.llm import bpe, chat, langid, minhash, packing, quality_rules, secrets, toxicity
 
 _ALL = [
     secrets.op1_secrets,
     langid.op2_language_id,
+    minhash.op3_minhash,
     bpe.op5_bpe,
     chat.op6_chat_format,
     packing.op7_packing,
