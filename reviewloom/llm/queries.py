@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from reviewloom.llm import bpe, chat, langid, minhash, packing, quality_rules, secrets, toxicity
+from reviewloom.llm import bpe, chat, langid, minhash, packing, pivots, quality_rules, secrets, toxicity
 
 _ALL = [
     secrets.op1_secrets,
     langid.op2_language_id,
     minhash.op3_minhash,
+    pivots.op4_pivot_search,
     bpe.op5_bpe,
     chat.op6_chat_format,
     packing.op7_packing,
@@ -35,4 +36,15 @@ SELECT conv_id, count(*) AS n_turns,
   sha256(string_agg(CASE WHEN role = 'assistant' THEN text ELSE '' END, '' ORDER BY turn NULLS FIRST, role, text)) AS loss_sha256,
   sum(length(etext) + CASE WHEN prev = role THEN 8 ELSE 23 + length(erole) END)::BIGINT AS formatted_chars
 FROM e GROUP BY conv_id""",
+    "op4_pivot_search": """
+WITH v AS (
+  SELECT DISTINCT vec_id, [floor(1024 * x::DOUBLE)::BIGINT for x in embedding] AS v FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+    AND len([x for x in embedding if x IS NULL OR NOT isfinite(x)]) = 0),
+s AS (
+  SELECT q.vec_id AS query_id, x.vec_id AS vec_id,
+    list_sum([p[1] * p[2] for p in list_zip(q.v, x.v)])::BIGINT AS score
+  FROM v q JOIN v x ON q.vec_id % 100 = 0 AND q.vec_id <> x.vec_id)
+SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INT AS rank, vec_id, score
+FROM s QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) <= 10""",
 }
