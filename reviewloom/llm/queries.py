@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from reviewloom.llm import bpe, chat, langid, minhash, packing, pivots, quality_rules, secrets, toxicity
+import corpus_pipeline
+from reviewloom.llm import bpe, chat, langid, minhash, packing, pii, pivots, quality_rules, secrets, toxicity
 
 _ALL = [
     secrets.op1_secrets,
@@ -13,9 +14,10 @@ _ALL = [
     chat.op6_chat_format,
     packing.op7_packing,
     toxicity.op8_toxicity,
+    pii.op9_pii,
     quality_rules.op10_quality_rules,
 ]
-QUERIES = {f.__name__: f for f in _ALL}
+QUERIES = {f.__name__: f for f in _ALL} | {"pipeline": corpus_pipeline.run}
 
 _ESC = "replace(coalesce({c}, ''), '\\', '\\\\')"
 for _c in chat.Template().controls:
