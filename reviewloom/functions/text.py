@@ -50,7 +50,10 @@ def nfkc(text: Column) -> Column:
     # defined here so that it travels by value and workers need no package
     @F.pandas_udf(StringType())
     def normalize(batch: pd.Series) -> pd.Series:
-        return batch.map(lambda s: unicodedata.normalize("NFKC", s), na_action="ignore")
+        def form(s: str) -> str:
+            return s if unicodedata.is_normalized("NFKC", s) else unicodedata.normalize("NFKC", s)
+
+        return batch.map(form, na_action="ignore")
 
     unstable = F.when(~text.rlike(_NFKC_STABLE), text)
     return F.coalesce(normalize(unstable), text)
@@ -61,17 +64,12 @@ def one_line(text: Column) -> Column:
     return F.replace(strip(text), F.lit("\n"), F.lit(" "))
 
 
-def tokens(text: Column) -> Column:
-    """Lower-case runs of letters and digits."""
-    return F.regexp_extract_all(F.lower(text), F.lit("[a-zà-ÿ0-9]+"), F.lit(0))
-
-
 def first_sentence(text: Column) -> Column:
     return F.regexp_extract(text, "^[^.!?]*[.!?]?", 0)
 
 
 def fill(template: str, **values: Column | str) -> Column:
-    """Put columns or strings in place of ``@NAME@`` marks of a fixed template."""
+    """Put columns or strings in place of ``@NAME@`` marks of a fixed template; null counts as empty."""
     parts: list[Column] = []
     rest = template
     while rest:
@@ -82,5 +80,6 @@ def fill(template: str, **values: Column | str) -> Column:
             break
         name, _, rest = tail.partition("@")
         value = values[name]
-        parts.append(value if isinstance(value, Column) else F.lit(value))
+        # one null part would make the whole text null
+        parts.append(F.coalesce(value, F.lit("")) if isinstance(value, Column) else F.lit(value))
     return F.concat(*parts)

@@ -2,13 +2,18 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+import hashlib
+import re
+from collections.abc import Callable, Iterator
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 METRICS = ("ip", "cosine", "l2")
-UNROLLED_TERMS = 256  # more would overflow one generated method
+MAX_BUCKETS = 1 << 16  # the bucket is taken from 16 bits of the digest
+TERM = "[a-zà-ÿ0-9]+"
 
 
 def check_metric(metric: str) -> None:
@@ -51,22 +56,33 @@ def normalize(v: Column) -> Column:
     )
 
 
-def term_counts(words: Column, dim: int) -> Column:
-    """Histogram of md5 buckets: array<float> of length ``dim``.
+def term_counts(text: Column, dim: int) -> Column:
+    """Histogram of the md5 buckets of a text's terms: array<float> of length ``dim``.
 
-    ``array_remove`` is a compiled loop, so counting by "how many go away" is
-    cheaper than a filter lambda per bucket.
+    One pass over the terms in Arrow batches, whatever the dimension. Terms are
+    lower-case runs of letters and digits; Spark lowers the text.
     """
-    buckets = F.transform(
-        words, lambda w: (F.conv(F.substring(F.md5(w), 1, 4), 16, 10).cast("int") % dim)
-    )
-    return let(
-        buckets,
-        lambda b: F.transform(
-            F.sequence(F.lit(0), F.lit(dim - 1)),
-            lambda i: (F.size(b) - F.size(F.array_remove(b, i))).cast("float"),
-        ),
-    )
+    if not 0 < dim <= MAX_BUCKETS:
+        raise ValueError(f"dim must be between 1 and {MAX_BUCKETS}, got {dim}")
+
+    # defined here so that it travels by value and workers need no package
+    @F.pandas_udf("array<float>")
+    def count(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        find = re.compile(TERM).findall
+        bucket: dict[str, int] = {}
+        for batch in batches:
+            rows = []
+            for lowered in batch:
+                terms = find(lowered or "")
+                for t in set(terms).difference(bucket):
+                    bucket[t] = int(hashlib.md5(t.encode()).hexdigest()[:4], 16) % dim
+                at = np.fromiter(map(bucket.__getitem__, terms), np.int64, len(terms))
+                rows.append(np.bincount(at, minlength=dim).astype(np.float32))
+                if len(bucket) > 300_000:
+                    bucket.clear()
+            yield pd.Series(rows, dtype=object)
+
+    return count(F.lower(text))
 
 
 def _cosine(product: Column, norms: Column) -> Column:
@@ -83,24 +99,19 @@ def similarity(v: Column, q: Column, metric: str) -> Column:
     return dot(v, q)
 
 
-def similarity_to(
-    vector_col: str, query: Sequence[float], metric: str, unroll: bool = False
-) -> Column:
-    """Score of a vector column against a constant vector.
-
-    A zero weight adds nothing to an inner product. With ``unroll`` the non-zero
-    places become a compiled sum, which suits queries with few of them; otherwise
-    the array functions do it.
-    """
-    check_metric(metric)
-    v, q = F.col(vector_col), [float(x) for x in query]
-    terms = [f"double(get(`{vector_col}`, {i})) * {x!r}D" for i, x in enumerate(q) if x]
-    if metric == "l2" or not unroll or not terms:
-        return similarity(v, F.lit(q), metric)
-    product = F.expr(" + ".join(terms))
-    if metric == "ip":
-        return product
-    return _cosine(product, norm(v) * F.lit(sum(x * x for x in q) ** 0.5))
+def batch_scores(vectors: np.ndarray, queries: np.ndarray, metric: str) -> np.ndarray:
+    """Scores of all rows of vectors against all queries, rounded so that ranking does not
+    hang on the last bits of float sums."""
+    v, q = vectors.astype(np.float64), queries.astype(np.float64)
+    if metric == "l2":
+        # by differences: squares that cancel would cost digits
+        found = np.stack([((v - one) ** 2).sum(axis=1) for one in q], axis=1)
+    else:
+        found = v @ q.T
+        if metric == "cosine":
+            norms = np.sqrt((v * v).sum(axis=1))[:, None] * np.sqrt((q * q).sum(axis=1))
+            found = np.divide(found, norms, out=np.zeros_like(found), where=norms > 0)
+    return np.rint(found * 1e9) / 1e9
 
 
 def stable(score: Column, decimals: int = 9) -> Column:

@@ -16,17 +16,21 @@ def _sliding(text: Column, size: int, overlap: int, min_size: int) -> Column:
     while the text from there on is longer than ``min_size``. The text is cut into
     pieces of one step in a single pass and each chunk is a piece plus the end of
     the piece before it: linear in the text, where a substring per chunk would
-    walk from the start every time.
+    walk from the start every time. An overlap longer than a step takes the ends of
+    several pieces.
     """
     step = size - overlap
     pieces = F.regexp_extract_all(text, F.lit(f"(?s).{{1,{step}}}"), F.lit(0))
 
-    def piece(all_: Column, i: Column) -> Column:
-        return F.coalesce(F.get(all_, i), F.lit(""))
+    reach = max(1, -(-overlap // step))  # pieces that an overlap can touch
+
+    def pieces_from(all_: Column, i: Column, n: Column | int) -> Column:
+        return F.array_join(F.slice(all_, i + 1, n), "")
 
     def chunk(p: Column, i: Column, all_: Column) -> Column:
-        head = F.concat(p, F.left(piece(all_, i + 1), F.lit(overlap)))
-        later = F.concat(F.right(piece(all_, i - 1), F.lit(overlap)), p)
+        head = F.concat(p, F.left(pieces_from(all_, i + 1, reach), F.lit(overlap)))
+        first = F.greatest(i - reach, F.lit(0))
+        later = F.concat(F.right(pieces_from(all_, first, i - first), F.lit(overlap)), p)
         return F.when(i == 0, head).otherwise(later)
 
     def split(n: Column) -> Column:
@@ -61,8 +65,8 @@ def chunk_array(
         return _whole(F.left(text, F.lit(size)))
     if mode != "sliding":
         raise ValueError(f"mode must be 'sliding' or 'first', got {mode!r}")
-    if not 0 <= overlap <= size - overlap:
-        raise ValueError("overlap must be between 0 and half of the chunk size")
+    if not 0 <= overlap < size:
+        raise ValueError("overlap must be at least 0 and below the chunk size")
     return _sliding(text, size, overlap, min_size)
 
 
@@ -84,9 +88,14 @@ def chunk(
 
 
 def review_chunks(df: DataFrame, params: Params = Params()) -> DataFrame:
-    """Chunks with the review's metadata, in the stage-table layout."""
+    """Chunks with the review's metadata, in the stage-table layout.
+
+    ``chunk_id`` is for display: it repeats when a review id does. ``chunk_key`` is
+    unique among texts that are unique, as they are after deduplication.
+    """
     p = params
     narrow = df.select(
+        F.md5(p.col_text).alias("text_key"),
         F.col(p.col_entity).alias("business_id"),
         F.col(p.col_review).alias("review_id"),
         F.col(p.col_name).alias("restaurant_name"),
@@ -104,4 +113,5 @@ def review_chunks(df: DataFrame, params: Params = Params()) -> DataFrame:
         F.length("chunk").alias("n_chars"),
         "stars",
         "date",
+        F.concat_ws("_", "text_key", "chunk_index").alias("chunk_key"),
     )

@@ -46,7 +46,7 @@ def sample_per_stratum(
     df: DataFrame, stratum: str, key: str, n: int = 1, seed: int = 1
 ) -> DataFrame:
     """``n`` seeded random rows of every stratum; ``key`` identifies rows."""
-    return top_per_group(df, [stratum], draw_order(key, seed), n, spread_by=key)
+    return top_per_group(df, [stratum], draw_order(key, seed), n, salts=16)
 
 
 def distinct_names(df: DataFrame, name: str, order: str) -> DataFrame:

@@ -7,7 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-BROADCAST_ROWS = 100_000
+#: Rows of ids or of business descriptions (a few KB each) that may be broadcast.
+BROADCAST_ROWS = 10_000
 
 
 def hint_small(df: DataFrame, max_rows: int) -> DataFrame:
@@ -20,16 +21,15 @@ def top_per_group(
     keys: Sequence[str],
     order: Sequence[Column],
     k: int,
-    spread_by: str | None = None,
-    salts: int = 16,
+    salts: int = 0,
     rank: str | None = None,
 ) -> DataFrame:
     """Rows ranked at most ``k`` within ``keys``; ``order`` must be total.
 
     ``row_number() <= k`` lets each map task keep only k rows per group before the
-    shuffle. With ``spread_by`` the group is first cut into ``salts`` parts with
-    their own top k, so even a group held by every map task is never ranked whole
-    in one task.
+    shuffle. With ``salts`` a group is first ranked in that many parts. A part is
+    made of whole map tasks, so each of these still keeps k rows and not k per part;
+    which task holds a row does not matter, as the best of all parts are ranked again.
     """
 
     def keep(frame: DataFrame, parts: Sequence[str], out: str) -> DataFrame:
@@ -37,8 +37,8 @@ def top_per_group(
         return frame.withColumn(out, F.row_number().over(w)).filter(F.col(out) <= k)
 
     out = rank or "_rank"
-    if spread_by is not None and salts > 1:
-        salted = df.withColumn("_salt", F.pmod(F.xxhash64(spread_by), F.lit(salts)))
+    if salts > 1:
+        salted = df.withColumn("_salt", F.pmod(F.spark_partition_id(), F.lit(salts)))
         df = keep(salted, [*keys, "_salt"], "_part").drop("_salt", "_part")
     top = keep(df, keys, out)
     return top if rank else top.drop(out)
@@ -49,30 +49,32 @@ def first_by(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> Dat
     return top_per_group(df, keys, order, 1)
 
 
-def head_rows(df: DataFrame, n: int, order: str, width: int = 65_536) -> DataFrame:
+def head_rows(df: DataFrame, n: int, order: str, fan_out: int = 1024, enough: int = 10_000) -> DataFrame:
     """The ``n`` rows with the smallest values of a unique integer column.
 
     A plain ``orderBy.limit`` would send up to n rows of every partition to one
-    task. Instead: count rows per block of ``width`` order values, find the block
-    in which row n falls, and look up its exact cut-off inside that block only.
-    All of that reads one integer column; the wide rows meet just a comparison.
+    task. Instead the value of row n is looked for: the range of values is cut into
+    ``fan_out`` blocks, their rows are counted, and the block that holds row n is cut
+    again, until it holds few rows. Dense ids take two passes over one integer
+    column, and any 64-bit ids at most seven; the wide rows meet just a comparison.
     """
     if n <= 0:
         return df.limit(0)
-    block = F.floor(F.col(order) / F.lit(width))
-    counts = df.filter(F.col(order).isNotNull()).groupBy(block.alias("block")).agg(
-        F.count("*").alias("rows")
-    )
-    running = counts.select(
-        "block", (F.sum("rows").over(Window.orderBy("block")) - F.col("rows")).alias("before")
-    )
-    last = running.filter(F.col("before") < n).agg(
-        F.max_by(F.struct("block", "before"), "block").alias("last")
-    )
-    inside = df.select(order).filter(block == last.select("last.block").scalar())
-    cut = (
-        inside.select(order, F.row_number().over(Window.orderBy(order)).alias("_pos"))
-        .filter(F.col("_pos") <= F.lit(n) - last.select("last.before").scalar())
-        .agg(F.max(order))
-    )
-    return df.filter(F.col(order) <= cut.scalar())
+    known = df.filter(F.col(order).isNotNull())
+    low, high, rows = known.agg(F.min(order), F.max(order), F.count("*")).first()
+    if rows <= n:
+        return known
+    before = 0
+    while rows > enough and low < high:
+        width = -(-(high - low + 1) // fan_out)
+        inside = known.filter(F.col(order).between(low, high))
+        # in decimals, as the range of 64-bit ids does not fit 64 bits
+        block = F.floor((F.col(order).cast("decimal(20,0)") - F.lit(low)) / F.lit(width).cast("decimal(20,0)"))
+        counts = inside.groupBy(block.cast("int").alias("block")).agg(F.count("*").alias("n"))
+        for r in sorted(counts.collect()):  # at most fan_out rows
+            if before + r["n"] >= n:
+                break
+            before += r["n"]
+        low, high, rows = low + r["block"] * width, min(high, low + (r["block"] + 1) * width - 1), r["n"]
+    left = known.select(order).filter(F.col(order).between(low, high)).orderBy(order).limit(n - before)
+    return known.filter(F.col(order) <= left.agg(F.max(order)).first()[0])

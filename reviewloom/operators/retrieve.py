@@ -2,149 +2,187 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator, Sequence
+
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from reviewloom.functions import vectors as V
-from reviewloom.operators.ranking import hint_small, top_per_group
+from reviewloom.functions.vectors import batch_scores, check_metric
+from reviewloom.operators.ranking import top_per_group
 
-INLINE_TOPICS = 64
+#: Bytes of query vectors that one pass over the chunks is scored against.
+BLOCK_BYTES = 8 << 20
 RESULT_COLUMNS = (
     "topic", "score", "rank", "chunk_id", "business_id",
     "restaurant_name", "stars", "review_id", "chunk",
 )
+#: What identifies a chunk; ``chunk_key`` is unique where ids repeat.
+KEYS = ("chunk_key", "chunk_id")
+Topics = DataFrame | Sequence[tuple[str, Sequence[float]]]
 
 
-def _same_size(v: Column, dim: int, score: Column) -> Column:
-    """The score, or an error when the vector has another dimension."""
-    message = F.concat(F.lit(f"expected {dim} dimensions, found "), F.size(v))
-    return F.when(F.size(v) == dim, score).otherwise(F.raise_error(message).cast("double"))
+def query_blocks(topics: Topics) -> Iterator[tuple[list[str], np.ndarray]]:
+    """(names, matrix) of query vectors, in blocks of at most BLOCK_BYTES.
 
+    A table of topics is read row by row, so that no more than a block is held at a time.
+    """
+    rows = topics.select("topic", "qvec").toLocalIterator() if isinstance(topics, DataFrame) else topics
+    names: list[str] = []
+    vectors: list[np.ndarray] = []
+    for name, vector in rows:
+        v = np.asarray(vector, dtype=np.float64)
+        if names and (len(names) * v.nbytes >= BLOCK_BYTES or len(v) != len(vectors[0])):
+            yield names, np.stack(vectors)
+            names, vectors = [], []
+        names.append(name)
+        vectors.append(v)
+    if names:
+        yield names, np.stack(vectors)
 
-def score(
-    chunks: DataFrame,
-    topics: DataFrame,
-    metric: str = "ip",
-    vector_col: str = "embedding",
-    keep_vector: bool = False,
-) -> DataFrame:
-    """One row per (chunk, topic) with a double ``score``.
 
-    ``topics(topic, qvec)`` is a query set, not data: up to ``INLINE_TOPICS`` of
-    them become constants of the plan, so scoring is a projection of the chunk
-    scan. A longer query set takes :func:`score_many`.
-    """
-    V.check_metric(metric)
-    queries = topics.select("topic", "qvec").limit(INLINE_TOPICS + 1).collect()
-    if len(queries) > INLINE_TOPICS:
-        return score_many(chunks, topics, metric, vector_col, keep_vector)
-    kept = [c for c in chunks.columns if keep_vector or c != vector_col]
-    if not queries:
-        return chunks.select(*kept, F.lit("").alias("topic"), F.lit(0.0).alias("score")).limit(0)
-    unroll = sum(x != 0 for q in queries for x in q.qvec) <= V.UNROLLED_TERMS
+def _matrix(column: pd.Series, dim: int) -> np.ndarray:
+    for v in column:
+        if len(v) != dim:
+            raise ValueError(f"expected {dim} dimensions, found {len(v)}")
+    return np.stack(column.to_list()).astype(np.float64) if len(column) else np.zeros((0, dim))
+
 
-    def entry(q) -> Column:
-        value = V.stable(V.similarity_to(vector_col, q.qvec, metric, unroll))
-        checked = _same_size(F.col(vector_col), len(q.qvec), value)
-        return F.struct(F.lit(q.topic).alias("topic"), checked.alias("score"))
+def _scores(vector_col: str, queries: np.ndarray, metric: str) -> Column:
+    @F.pandas_udf("array<double>")
+    def scores(batch: pd.Series) -> pd.Series:
+        return pd.Series(list(batch_scores(_matrix(batch, queries.shape[1]), queries, metric)), dtype=object)
 
-    return chunks.select(*kept, F.inline(F.array(*map(entry, queries))))
+    return scores(vector_col)
 
 
-def score_many(
+def score(
     chunks: DataFrame,
-    topics: DataFrame,
+    topics: Topics,
     metric: str = "ip",
     vector_col: str = "embedding",
     keep_vector: bool = False,
-    block_topics: int = INLINE_TOPICS,
-    salts: int = 32,
 ) -> DataFrame:
-    """Scores against a topic table of any size.
+    """One row per (chunk, topic) with a double ``score``.
 
-    Topics are packed into blocks of about ``block_topics``; each chunk meets every
-    block through an equi-join on (block, salt). The salt spreads the chunks of one
-    block over many tasks; AQE broadcasts the blocks when they turn out small.
+    Vectors stay where they are: every Arrow batch of them is multiplied with the
+    matrix of query vectors, which travels with the task. One pass over the chunks
+    serves BLOCK_BYTES of query vectors. Of all pairs most callers need only the
+    best, see :func:`score_topk`.
     """
-    V.check_metric(metric)
-    n_blocks = max(1, -(-topics.count() // block_topics))
-    blocks = (
-        topics.groupBy(F.pmod(F.xxhash64("topic"), F.lit(n_blocks)).alias("_block"))
-        .agg(F.collect_list(F.struct("topic", "qvec")).alias("_queries"))
-        .withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    )
+    check_metric(metric)
     kept = [c for c in chunks.columns if keep_vector or c != vector_col]
-    spread = chunks.withColumn(
-        "_block", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(n_blocks - 1).cast("bigint")))
-    ).withColumn("_salt", F.pmod(F.xxhash64(vector_col), F.lit(salts)).cast("int"))
-    pairs = spread.join(blocks, ["_block", "_salt"]).select(
-        *dict.fromkeys([*kept, vector_col]), F.inline("_queries")
-    )
-    v, q = F.col(vector_col), F.col("qvec")
-    message = F.concat(F.lit("expected "), F.size(q), F.lit(" dimensions, found "), F.size(v))
-    value = F.when(F.size(v) == F.size(q), V.stable(V.similarity(v, q, metric))).otherwise(
-        F.raise_error(message).cast("double")
-    )
-    return pairs.select(*kept, "topic", value.alias("score"))
-
+    scored = chunks.select(*kept, F.lit("").alias("topic"), F.lit(0.0).alias("score")).limit(0)
+    for k, (names, queries) in enumerate(query_blocks(topics)):
+        # the outer form: for the inner one Spark infers a filter that computes the scores again
+        places = chunks.select(*kept, F.posexplode_outer(_scores(vector_col, queries, metric)).alias("_i", "score"))
+        topic = F.array(*map(F.lit, names))[F.col("_i")]
+        block = places.select(*kept, topic.alias("topic"), "score")
+        scored = block if k == 0 else scored.unionByName(block)
+    return scored
+
+
+def score_topk(
+    chunks: DataFrame, topics: Topics, k: int = 25, metric: str = "ip", vector_col: str = "embedding"
+) -> DataFrame:
+    """The k best chunks per (business, topic), without a row for any other pair.
 
-def best_first(metric: str = "ip", tie: str = "chunk_id") -> list[Column]:
-    """Similarity falls, distance rises; ties go to the smaller id."""
-    return [F.asc("score") if metric == "l2" else F.desc("score"), F.asc(tie)]
+    Each Arrow batch emits its own k best per (business, topic); these few rows of
+    ids and scores are then ranked per map task and in all.
+    """
+    check_metric(metric)
+    ids = [c for c in ("business_id", "review_id", *KEYS) if c in chunks.columns]
+    ties = [c for c in reversed(KEYS) if c in chunks.columns]
+    narrow = chunks.select(*ids, vector_col)
+    schema = T.StructType([
+        *(chunks.schema[c] for c in ids), T.StructField("topic", T.StringType()), T.StructField("score", T.DoubleType())
+    ])
+    found = None
+    for names, queries in query_blocks(topics):
+
+        def best(
+            batches: Iterator[pd.DataFrame], names: list = names, queries: np.ndarray = queries
+        ) -> Iterator[pd.DataFrame]:
+            for batch in batches:
+                scores = batch_scores(_matrix(batch[vector_col], queries.shape[1]), queries, metric)
+                own = batch[ids]
+                for j, name in enumerate(names):
+                    made = own.assign(topic=name, score=scores[:, j])
+                    made = made.sort_values(["score", *ties], ascending=[metric == "l2", *(True for _ in ties)])
+                    yield made.groupby("business_id", sort=False, dropna=False).head(k)
+
+        block = narrow.mapInPandas(best, schema)
+        found = block if found is None else found.unionByName(block)
+    if found is None:
+        found = narrow.select(*ids, F.lit("").alias("topic"), F.lit(0.0).alias("score")).limit(0)
+    return topic_topk(found, k, metric)
+
+
+def best_first(df: DataFrame, metric: str = "ip") -> list[Column]:
+    """Similarity falls, distance rises; ties go to the smaller id, then the smaller key."""
+    ties = [F.asc(c) for c in reversed(KEYS) if c in df.columns]
+    return [F.asc("score") if metric == "l2" else F.desc("score"), *ties]
 
 
 def topic_topk(scored: DataFrame, k: int = 25, metric: str = "ip", salts: int = 16) -> DataFrame:
     """The k best chunks per (business, topic); only real rows, never padding."""
-    return top_per_group(
-        scored, ["business_id", "topic"], best_first(metric), k, spread_by="chunk_id", salts=salts
-    )
+    return top_per_group(scored, ["business_id", "topic"], best_first(scored, metric), k, salts=salts)
 
 
 def cap_per_review(ranked: DataFrame, max_per_review: int = 1, metric: str = "ip") -> DataFrame:
     """At most ``max_per_review`` chunks of a review in each (business, topic)."""
     return top_per_group(
-        ranked, ["business_id", "topic", "review_id"], best_first(metric), max_per_review
+        ranked, ["business_id", "topic", "review_id"], best_first(ranked, metric), max_per_review
     )
 
 
 def topic_retrieval(
     chunks: DataFrame,
-    topics: DataFrame,
+    topics: Topics,
     k: int = 25,
     max_per_review: int = 1,
     max_per_topic: int = 12,
     metric: str = "ip",
     text_from: DataFrame | None = None,
-    max_found: int | None = None,
 ) -> DataFrame:
     """Top k, then the cap per review, then the first ``max_per_topic``, ranked.
 
-    The three ranked filters share the (business, topic) partitioning of the first.
-    When the text lies in another table, pass it as ``text_from``: then only ids
-    and scores are ranked and the text is looked up for the winners; ``max_found`` is
-    the known bound of their number, if there is one.
+    Only ids and scores are ranked. The other columns are looked up for the winners,
+    in ``text_from`` or, without it, in ``chunks``.
     """
-    top = topic_topk(score(chunks, topics, metric), k, metric)
+    top = score_topk(chunks, topics, k, metric)
     capped = cap_per_review(top, max_per_review, metric)
     ranked = top_per_group(
-        capped, ["business_id", "topic"], best_first(metric), max_per_topic, rank="rank"
+        capped, ["business_id", "topic"], best_first(capped, metric), max_per_topic, rank="rank"
     )
-    if text_from is not None:
-        if max_found is not None:
-            ranked = hint_small(ranked, max_found)
-        ranked = attach(ranked, text_from)
+    details = chunks.drop("embedding") if text_from is None else text_from
+    if set(details.columns) - set(ranked.columns):
+        ranked = attach(ranked, details)
     return ranked.select(*[c for c in RESULT_COLUMNS if c in ranked.columns])
 
 
-def attach(ranked: DataFrame, details: DataFrame, key: str = "chunk_id") -> DataFrame:
-    """Look up the columns of ``details`` that ``ranked`` lacks, by chunk id."""
+def attach(ranked: DataFrame, details: DataFrame, key: str | None = None) -> DataFrame:
+    """Look up the columns of ``details`` that ``ranked`` lacks, by key.
+
+    The key is ``chunk_key`` if both have it, else ``chunk_id``. A key that occurs twice in
+    ``details`` fails the job: it would make two rows of one.
+    """
+    key = key or next(c for c in KEYS if c in ranked.columns and c in details.columns)
     extra = [c for c in details.columns if c == key or c not in ranked.columns]
-    return ranked.join(details.select(*extra), key)
+    joined = ranked.join(details.select(*extra), key)
+    row = [c for c in (key, "business_id", "topic", "rank") if c in ranked.columns]
+    twice = F.count("*").over(Window.partitionBy(*row)) > 1
+    checked = F.when(twice, F.raise_error(F.concat(F.lit(f"{key} is not unique: "), F.col(key).cast("string")))).otherwise(
+        F.lit(True)
+    )
+    return joined.withColumn("_once", checked).filter("_once").drop("_once")
 
 
 def search(
     chunks: DataFrame,
-    query: DataFrame,
+    query: Topics,
     business_id,
     k: int = 5,
     metric: str = "ip",
@@ -154,5 +192,7 @@ def search(
     ``business_id`` is a value or a column such as a scalar subquery.
     """
     wanted = chunks.filter(F.col("business_id") == business_id)
-    best = score(wanted, query, metric).orderBy(*best_first(metric)).limit(k)
-    return best.withColumn("rank", F.row_number().over(Window.orderBy(*best_first(metric))))
+    scored = score(wanted, query, metric)
+    order = best_first(scored, metric)
+    best = scored.orderBy(*order).limit(k)
+    return best.withColumn("rank", F.row_number().over(Window.orderBy(*order)))

@@ -71,9 +71,11 @@ def draw_order(key: str, seed: int) -> list[Column]:
 
 
 def sample_keys(
-    keys: DataFrame, key: str, n: int, seed: int | None = 1, strict: bool = False
+    keys: DataFrame, key: str, n: int | None, seed: int | None = 1, strict: bool = False
 ) -> DataFrame:
-    """``n`` keys in seeded order; ``strict`` fails when fewer exist."""
+    """``n`` keys in seeded order, all if it is None; ``strict`` fails when fewer exist."""
+    if n is None:
+        return keys.select(key)
     drawn = secrets.randbits(31) if seed is None else seed
     chosen = keys.select(key).orderBy(*draw_order(key, drawn)).limit(n)
     if not strict:
@@ -86,9 +88,10 @@ def sample_keys(
     return listed.select(F.explode(enough).alias(key))
 
 
-def select_entities(df: DataFrame, keys: DataFrame, key: str, max_keys: int) -> DataFrame:
-    """Rows whose key was chosen; ``max_keys`` is the known bound of ``keys``."""
-    return df.join(hint_small(keys.select(key), max_keys), key, "left_semi")
+def select_entities(df: DataFrame, keys: DataFrame, key: str, max_keys: int | None) -> DataFrame:
+    """Rows whose key was chosen; ``max_keys`` is the known bound of ``keys``, if there is one."""
+    chosen = keys.select(key)
+    return df.join(chosen if max_keys is None else hint_small(chosen, max_keys), key, "left_semi")
 
 
 def sample_reviews(reviews: DataFrame, businesses: DataFrame, params: Params) -> DataFrame:
@@ -96,12 +99,14 @@ def sample_reviews(reviews: DataFrame, businesses: DataFrame, params: Params) ->
 
     Distinct reviews are counted on ids alone and before any join: the count spreads
     over (business, review), so a business with a large share of all reviews does
-    not skew it. The join for the category then sees one row per business. Both
-    inputs shrink to the sample before their wide rows meet.
+    not skew it. The join for the category then sees one row per business. A sample
+    of business rows, at most ``n_entities`` of them, is broadcast to the reviews, so
+    these are not shuffled. Without a sample the join is left to Spark, whose
+    adaptive execution splits the partition of a business with many reviews.
     """
     p = params
     key = p.col_entity
-    required = [key, p.col_category, p.col_review, p.col_text, p.col_name]
+    required = [key, p.col_category, p.col_review, p.col_text, p.col_name, p.col_stars]
     wanted = drop_nulls(businesses, p.null_policy, required)
     wanted = category_filter(wanted, p.col_category, p.include, p.exclude)
     usable = drop_nulls(reviews, p.null_policy, required)
@@ -109,9 +114,8 @@ def sample_reviews(reviews: DataFrame, businesses: DataFrame, params: Params) ->
     counted = eligible_keys(usable, key, p.col_review, p.min_reviews)
     eligible = counted.join(wanted.select(key), key, "left_semi")
     chosen = sample_keys(eligible, key, p.n_entities, p.seed, p.strict_sample)
-    return join_entities(
-        select_entities(usable, chosen, key, p.n_entities),
-        select_entities(wanted, chosen, key, p.n_entities),
-        key,
-        null_policy="required",
-    )
+    found = select_entities(wanted, chosen, key, p.n_entities)
+    reviews_, businesses_ = suffix_shared(usable, found, key)
+    if p.n_entities is not None:
+        businesses_ = hint_small(businesses_, p.n_entities)
+    return reviews_.join(businesses_, key)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import queue
+import threading
 import time
 from collections.abc import Callable, Iterator, Sequence
 
@@ -13,8 +15,6 @@ from pyspark.sql import types as ST
 from reviewloom.functions import text as T
 from reviewloom.params import LIMITED_DETAILS, PROMPT_EXCERPT, PROMPT_HEADER
 
-OFFLINE_SENTENCES = 3
-
 
 def _per_topic(
     retrieved: DataFrame,
@@ -89,13 +89,19 @@ def build_prompts(
 
 
 def offline_summaries(
-    retrieved: DataFrame, topics: Sequence[str], entities: DataFrame | None = None
+    retrieved: DataFrame,
+    topics: Sequence[str],
+    entities: DataFrame | None = None,
+    max_excerpts: int | None = None,
 ) -> DataFrame:
-    """Summaries without a model: a polarity word and the best excerpts' first sentences.
+    """Summaries without a model: a polarity word and the first sentence of each excerpt.
 
-    A stand-in for a language model, not an imitation of one.
+    A stand-in for a language model, not an imitation of one. ``max_excerpts`` keeps
+    the best ones only.
     """
-    sentence = F.when(F.col("rank") <= OFFLINE_SENTENCES, T.first_sentence(F.col("chunk")))
+    sentence = T.first_sentence(F.col("chunk"))
+    if max_excerpts is not None:
+        sentence = F.when(F.col("rank") <= max_excerpts, sentence)
     grouped = _per_topic(
         retrieved,
         topics,
@@ -126,11 +132,13 @@ def generate(
     backoff: float = 1.0,
     on_error: str = "raise",
     parallelism: int | None = None,
+    timeout: float | None = 120,
 ) -> DataFrame:
     """Send each prompt to a user client and add its one-line response.
 
-    ``client_factory()`` runs once per task and returns ``prompt -> response``; time
-    limits belong to the client. ``parallelism`` bounds the number of concurrent
+    ``client_factory()`` runs once per task and returns ``prompt -> response``. A call
+    that takes more than ``timeout`` seconds counts as failed (its thread is left
+    behind, so clients should give up by themselves too). ``parallelism`` bounds the number of concurrent
     clients. With ``on_error="column"`` a failed row gets a null response and its
     message in ``error`` instead of failing the job. A retried task repeats calls,
     so clients should be idempotent.
@@ -138,10 +146,30 @@ def generate(
     if on_error not in ("raise", "column"):
         raise ValueError(f"on_error must be 'raise' or 'column', got {on_error!r}")
 
+    def limited(client: Callable[[str], str], prompt: str) -> str:
+        if timeout is None:
+            return client(prompt)
+        answer: queue.Queue = queue.Queue()
+
+        def call() -> None:
+            try:
+                answer.put((client(prompt), None))
+            except Exception as e:
+                answer.put((None, e))
+
+        threading.Thread(target=call, daemon=True).start()
+        try:
+            said, error = answer.get(timeout=timeout)
+        except queue.Empty:
+            raise TimeoutError(f"no answer within {timeout} seconds") from None
+        if error is not None:
+            raise error
+        return said
+
     def ask(client: Callable[[str], str], prompt: str) -> tuple[str | None, str | None]:
         for attempt in range(retries + 1):
             try:
-                return client(prompt), None
+                return limited(client, prompt), None
             except Exception as e:  # any client failure counts as an attempt
                 if attempt == retries:
                     if on_error == "raise":

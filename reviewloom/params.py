@@ -21,15 +21,6 @@ CHAR_REPLACEMENTS = {
     "’": "'",
 }
 
-# Every character that counts as white space in Unicode-aware text handling.
-WHITESPACE = "".join(
-    chr(c)
-    for c in (
-        *range(0x09, 0x0E), *range(0x1C, 0x21), 0x85, 0xA0, 0x1680,
-        *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000,
-    )
-)
-
 HISTOGRAM_EDGES = (0, 5, 10, 20, 50, 80, 100)
 HISTOGRAM_LABELS = ("0-5", "6-10", "11-20", "21-50", "51-80", "81-100", "100+")
 
@@ -67,16 +58,25 @@ MISSING_SUMMARY = "No @topic@ summary available."
 SUFFIXES = ("_reviews", "_restaurant")
 # ----------------------------------------------------------------------------
 
+# Every character that counts as white space in Unicode-aware text handling.
+WHITESPACE = "".join(
+    chr(c)
+    for c in (
+        *range(0x09, 0x0E), *range(0x1C, 0x21), 0x85, 0xA0, 0x1680,
+        *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000,
+    )
+)
+
 
 @dataclass(frozen=True)
 class Params:
     """Settings of one run; every operator also takes them as keywords."""
 
     # ingest and selection
-    head_rows: int | None = 500_000  # first N lines of each input, None = all
+    head_rows: int | None = None  # only the first N lines of each input
     null_policy: str = "any"  # "any" column or only the "required" ones
     min_reviews: int = 100  # strictly more distinct reviews than this
-    n_entities: int = 10
+    n_entities: int | None = 10  # None: all eligible ones
     seed: int | None = 1  # None draws a seed
     strict_sample: bool = True  # fail when fewer entities qualify
     include: str = "restaurant"
@@ -106,4 +106,5 @@ class Params:
     top_k: int = 25
     max_per_review: int = 1
     max_per_topic: int = 12
+    vector_buckets: int = 64  # folders of the vector table
     topics: dict[str, str] = field(default_factory=lambda: dict(TOPICS))

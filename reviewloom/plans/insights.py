@@ -24,7 +24,6 @@ def retrieved_chunks(
     params: Params = Params(),
     embedder: embed.Embedder | None = None,
     text_from: DataFrame | None = None,
-    n_entities: int | None = None,
 ) -> DataFrame:
     """The ranked chunks of every (business, topic)."""
     topics = embed.topic_table(vectors.sparkSession, params.topics)
@@ -36,8 +35,6 @@ def retrieved_chunks(
         params.max_per_topic,
         params.metric,
         text_from,
-        # only a sampled run bounds the number of businesses
-        max_found=n_entities and n_entities * len(params.topics) * params.max_per_topic,
     )
 
 
@@ -62,8 +59,9 @@ def run(
     """Summaries by name, lazily as one plan, or stage by stage under ``out``.
 
     With ``out`` each stage table is written and the next stage reads it, which cuts
-    lineage, survives lost executors and lets model calls happen once. A report of
-    rows and businesses per stage is written beside them.
+    lineage, survives lost executors and lets model calls happen once. Beside them
+    go reports: rows and businesses per stage, what cleaning dropped, and the (business,
+    topic) pairs without excerpts. Vectors without metadata fail the run.
     """
     written: dict[str, DataFrame] = {}
 
@@ -79,17 +77,22 @@ def run(
     sampled = stage("reviews_df", sampled)
     chunks = stage("review_chunks", prepared_chunks(sampled, params))
     vectors = embed.embed(chunks, "chunk", embedder, normalize=params.normalize)
-    text = None
     if out is not None:
-        tables.write_vectors(vectors, f"{out}/chunk_vectors")
+        tables.write_vectors(vectors, f"{out}/chunk_vectors", buckets=params.vector_buckets)
         # rank ids only; the text of the few winners is looked up in the chunk table
         vectors = tables.read_vectors(vectors.sparkSession, f"{out}/chunk_vectors")
-        vectors = vectors.select("chunk_id", "business_id", "review_id", "embedding")
-        text = chunks.select("chunk_id", "restaurant_name", "stars", "chunk")
-    retrieved = retrieved_chunks(vectors, params, embedder, text, params.n_entities)
+        quality.require_metadata(vectors, chunks)
+        vectors = vectors.select("chunk_key", "chunk_id", "business_id", "review_id", "embedding")
+    # without a stage table too, the text of the winners comes from the chunks
+    text = chunks.select("chunk_key", "restaurant_name", "stars", "chunk")
+    retrieved = retrieved_chunks(vectors, params, embedder, text)
     retrieved = stage("topic_relevant_review_chunks", retrieved)
     long = stage("summaries_long", summarizer(retrieved, topics))
     if out is not None:
+        entities = chunks.select("business_id").distinct()
+        tables.write_table(quality.empty_topics(entities, topics, retrieved), f"{out}/empty_topics")
+        cleaning = quality.cleaning_report(sampled, params.col_text, params.min_chars)
+        tables.write_table(cleaning, f"{out}/cleaning_report")
         tables.write_table(quality.run_report(written), f"{out}/run_report")
     wide = summarize.pivot_summaries(long, topics)
     return stage("summaries", summarize.summaries_by_name(wide, topics))

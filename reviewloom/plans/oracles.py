@@ -53,7 +53,8 @@ _CHUNKS = {
         WHERE i = 0 OR (length(text) > 1000 AND length(text) - 800 * i + 200 > 230)""",
     "chunks": """
         SELECT i AS chunk_index, chunk, business_id, review_id, name AS restaurant_name,
-               review_id || '_' || i AS chunk_id, length(chunk) AS n_chars, stars, date
+               review_id || '_' || i AS chunk_id, length(chunk) AS n_chars, stars, date,
+               md5(text) || '_' || i AS chunk_key
         FROM cut""",
 }
 
@@ -135,8 +136,7 @@ def _long(found: str = "found") -> dict[str, str]:
             FROM {found} CROSS JOIN topics t GROUP BY business_id, t.topic""",
         "facts": f"""
             SELECT business_id, topic, avg(stars) AS mean_stars,
-                   string_agg(regexp_extract(chunk, '^[^.!?]*[.!?]?'), ' ' ORDER BY rank)
-                       FILTER (rank <= 3) AS sentences
+                   string_agg(regexp_extract(chunk, '^[^.!?]*[.!?]?'), ' ' ORDER BY rank) AS sentences
             FROM {found} GROUP BY 1, 2""",
         "long": f"""
             SELECT business_id, restaurant_name, topic, replace(regexp_replace(coalesce(
@@ -162,7 +162,7 @@ def _prompts() -> dict[str, str]:
     head = f"replace({_quote(PROMPT_HEADER)}, '@NAME@', restaurant_name)"
     head = f"replace(replace({head}, '@TOPIC@', upper(topic)), '@topic@', topic)"
     part = f"replace({_quote(PROMPT_EXCERPT)}, '@I@', cast(rank - 1 AS varchar))"
-    part = f"replace(replace({part}, '@STARS@', cast(stars AS varchar)), '@CHUNK@', chunk)"
+    part = f"replace(replace({part}, '@STARS@', coalesce(cast(stars AS varchar), '')), '@CHUNK@', chunk)"
     return {
         "pairs": """
             SELECT business_id, min(restaurant_name) AS restaurant_name, t.topic
@@ -186,6 +186,7 @@ def _sql(final: str, *steps: dict[str, str]) -> str:
 
 _SOURCE = _reviews()
 _LANG = _reviews("source || '-' || lang")
+_THIRDS = _LANG | {"reviews": _LANG["reviews"].replace("cast(doc_id AS varchar)", "cast(doc_id // 3 AS varchar)")}
 _GOOD = _reviews(
     "source || '-' || lang", "doc_id IN (SELECT doc_id FROM labels WHERE quality = 1)"
 )
@@ -209,22 +210,46 @@ _CHOSEN = {
 _JOINED_PARTS = """l_partkey AS business_id, l_orderkey AS review_id, l_linenumber::bigint AS line,
     l_quantity AS stars_reviews, p_name AS name, p_retailprice AS stars_restaurant
     FROM lineitem JOIN part ON p_partkey = l_partkey"""
-_ENTITY_SAMPLE = {
-    "businesses": """
-        SELECT source || '-' || lang AS business_id, min(lang) AS categories
-        FROM documents GROUP BY 1""",
-    "drawn": f"""
-        SELECT business_id FROM businesses JOIN (
-            SELECT source || '-' || lang AS business_id, doc_id FROM documents) USING (business_id)
-        WHERE lower(categories) LIKE '%{INSIGHTS.include}%'
-          AND NOT regexp_matches(lower(categories), '{INSIGHTS.exclude}')
-        GROUP BY 1 HAVING count(DISTINCT doc_id) > {INSIGHTS.min_reviews}
-        ORDER BY md5('{INSIGHTS.seed}:' || business_id), business_id LIMIT {INSIGHTS.n_entities}""",
-}
 _EDGES = "(0, 0, 5, '0-5'), (1, 5, 10, '6-10'), (2, 10, 20, '11-20'), (3, 20, 50, '21-50'), " \
     "(4, 50, 80, '51-80'), (5, 80, 100, '81-100'), (6, 100, 1e18, '100+')"
 
 
+def _keyed(steps: dict[str, str]) -> dict[str, str]:
+    """Chunks under a key of text and index in place of the review id, which may repeat."""
+    return {n: b.replace("chunk_id) <=", "chunk_id, chunk_key) <=").replace("chunk_id) AS rank", "chunk_id, chunk_key) AS rank")
+            .replace("SELECT chunk_id,", "SELECT chunk_key,").replace("GROUP BY chunk_id", "GROUP BY chunk_key")
+            .replace("p.chunk_id = c.chunk_id", "p.chunk_key = c.chunk_key").replace("PARTITION BY chunk_id", "PARTITION BY chunk_key")
+            for n, b in steps.items()}
+
+
+def _insights(chosen: str, reviews: dict[str, str]) -> str:
+    """The whole run over drawn or all eligible businesses."""
+    selected = reviews["reviews"] + f" AND source || '-' || lang IN (SELECT business_id FROM {chosen})"
+    entities = {
+        "businesses": """
+            SELECT source || '-' || lang AS business_id, min(lang) AS categories
+            FROM documents GROUP BY 1""",
+        "all_reviews": reviews["reviews"],
+        "eligible": f"""
+            SELECT business_id FROM businesses JOIN all_reviews USING (business_id)
+            WHERE lower(categories) LIKE '%{INSIGHTS.include}%'
+              AND NOT regexp_matches(lower(categories), '{INSIGHTS.exclude}')
+            GROUP BY 1 HAVING count(DISTINCT review_id) > {INSIGHTS.min_reviews}""",
+        "drawn": f"""
+            SELECT business_id FROM eligible
+            ORDER BY md5('{INSIGHTS.seed}:' || business_id), business_id LIMIT {INSIGHTS.n_entities}""",
+    }
+    return _sql(
+        "SELECT * FROM by_name",
+        entities,
+        reviews | {"reviews": selected},
+        _keyed(_CHUNKS),
+        _topics(),
+        _keyed(_RETRIEVED),
+        _long(),
+    )
+
+
 def _stage(name: str, source: str) -> str:
     return (
         f"SELECT '{name}' AS stage, count(*) AS n_rows, "
@@ -260,11 +285,16 @@ ORACLES: dict[str, str] = {
         UNION ALL
         SELECT conv_id || '-' || turn, NULL, length(text) FROM conversations""",
     "clean_text": _sql("SELECT review_id, text FROM cleaned", _SOURCE),
+    "clean_unicode": _sql(
+        "SELECT review_id, text FROM cleaned",
+        _SOURCE | {"reviews": _SOURCE["reviews"].replace(" text,", " replace(text, chr(10), ' ') AS text,")},
+    ),
     "dedup_text": _sql("SELECT review_id, text FROM uniq", _SOURCE),
     "chunk_first": _sql(
         """SELECT 0::bigint AS chunk_index, substring(text, 1, 1000) AS chunk, business_id, review_id,
                   name AS restaurant_name, review_id || '_0' AS chunk_id,
-                  length(substring(text, 1, 1000)) AS n_chars, stars, date
+                  length(substring(text, 1, 1000)) AS n_chars, stars, date,
+                  md5(text) || '_0' AS chunk_key
            FROM uniq WHERE text <> ''""",
         _SOURCE,
     ),
@@ -416,10 +446,11 @@ ORACLES: dict[str, str] = {
         QUALIFY row_number() OVER (PARTITION BY p_name ORDER BY p_partkey) = 1""",
     "entity_list": _sql("SELECT DISTINCT business_id FROM uniq WHERE text <> ''", _SOURCE),
     "topic_prompts": _sql("SELECT * FROM prompts", *_SEARCH, _prompts()),
-    "summaries_generated": _sql(
-        """SELECT business_id, topic, 'Read ' || length(prompt) || ' characters. Done.' AS summary
-           FROM prompts""",
-        *_SEARCH,
+    "topic_prompts_nulls": _sql(
+        "SELECT * FROM prompts",
+        _SOURCE | {"reviews": _SOURCE["reviews"].replace(
+            "cast(1 + doc_id % 5 AS double)", "CASE WHEN doc_id % 3 <> 0 THEN cast(1 + doc_id % 5 AS double) END")},
+        *_SEARCH[1:],
         _prompts(),
     ),
     "summaries_long": _sql("SELECT * FROM long", *_SUMMARIES),
@@ -437,15 +468,7 @@ ORACLES: dict[str, str] = {
         "SELECT * FROM by_name WHERE restaurant_name = (SELECT min(source) FROM documents)",
         *_SUMMARIES,
     ),
-    "review_insights": _sql(
-        "SELECT * FROM by_name",
-        _ENTITY_SAMPLE,
-        _reviews(
-            "source || '-' || lang", "source || '-' || lang IN (SELECT business_id FROM drawn)"
-        ),
-        _CHUNKS,
-        _topics(),
-        _RETRIEVED,
-        _long(),
-    ),
+    "review_insights": _insights("drawn", _LANG),
+    "review_insights_all": _insights("eligible", _LANG),
+    "review_insights_repeated": _insights("eligible", _THIRDS),
 }

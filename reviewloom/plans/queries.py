@@ -24,7 +24,6 @@ from reviewloom.operators import (
 from reviewloom.params import TOPICS
 from reviewloom.plans import insights, views
 from reviewloom.plans.views import PARAMS, table
-from reviewloom.sources import tables
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -36,6 +35,7 @@ SELECTION = dataclasses.replace(
 INSIGHTS = dataclasses.replace(
     PARAMS, include="e", exclude="de|fr", min_reviews=3, n_entities=10, head_rows=None
 )
+INSIGHTS_ALL = dataclasses.replace(INSIGHTS, n_entities=None)
 HEAD = 5000
 AD_HOC = "quiet table, slow service and cold soup"
 TOPIC_LIST = list(TOPICS)
@@ -55,7 +55,7 @@ def _rounded(df: DataFrame, *columns: str) -> DataFrame:
 
 
 def _documents(spark: SparkSession, folder: str) -> DataFrame:
-    return tables.spread(table(spark, folder, "documents"), "doc_id")
+    return table(spark, folder, "documents")
 
 
 def _reviews(spark: SparkSession, folder: str) -> DataFrame:
@@ -159,6 +159,15 @@ def clean_text(spark, folder):
     return clean.clean_text(_reviews(spark, folder)).select("review_id", "text")
 
 
+@query
+def clean_unicode(spark, folder):
+    """Other characters of the same meaning clean to the same text."""
+    plain = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789 \"'"
+    odd = "".join(chr(ord(c) + 0xFEE0) for c in plain[:62]) + "\u00a0\u201c\u2019"
+    text = F.translate(F.replace("text", F.lit("\n"), F.lit("\x0b")), plain, odd)
+    return clean.clean_text(_reviews(spark, folder).withColumn("text", text)).select("review_id", "text")
+
+
 @query
 def dedup_text(spark, folder):
     return clean.clean_dedup(_reviews(spark, folder)).select("review_id", "text")
@@ -251,16 +260,16 @@ def score_many(spark, folder):
     passages = table(spark, folder, "benchmark").select(
         F.col("item_id").cast("string").alias("topic"), F.col("text").alias("keywords")
     )
-    scored = retrieve.score_many(
-        views.stored_vectors(spark, folder), embed.embed_topics(passages), block_topics=16
+    best = retrieve.score_topk(
+        views.stored_vectors(spark, folder), embed.embed_topics(passages), 1
     )
-    return _rounded(retrieve.topic_topk(scored, 1), "score")
+    return _rounded(best, "score")
 
 
 @query
 def topic_topk(spark, folder):
-    scored = retrieve.score(views.stored_vectors(spark, folder), views.topic_vectors(spark))
-    return _rounded(retrieve.topic_topk(scored), "score")
+    best = retrieve.score_topk(views.stored_vectors(spark, folder), views.topic_vectors(spark))
+    return _rounded(best, "score")
 
 
 @query
@@ -391,15 +400,11 @@ def topic_prompts(spark, folder):
 
 
 @query
-def summaries_generated(spark, folder):
-    """A stand-in for a model answers with the length of its prompt."""
-
-    def client_factory():
-        return lambda prompt: f" Read {len(prompt)} characters.\nDone. "
-
-    prompts = summarize.build_prompts(_retrieved(_reviews(spark, folder)), TOPIC_LIST)
-    made = summarize.generate(prompts, "prompt", client_factory)
-    return made.select("business_id", "topic", "summary")
+def topic_prompts_nulls(spark, folder):
+    """Stars are unknown for a third of the documents: their excerpts stay in the prompts."""
+    known = F.when(F.col("ordinal") % 3 != 0, F.col("stars_reviews"))
+    reviews = _reviews(spark, folder).withColumn("stars_reviews", known)
+    return _big(summarize.build_prompts(_retrieved(reviews), TOPIC_LIST), "n_excerpts")
 
 
 def _long(spark, folder):
@@ -437,16 +442,34 @@ def summary_lookup(spark, folder):
     return present.lookup(view, first)
 
 
-@query
-def review_insights(spark, folder):
+def _insights(spark, folder, params, review_id=None):
     """The whole run: a business is a source in one language."""
     documents = table(spark, folder, "documents")
-    reviews = views.document_reviews(
-        _documents(spark, folder), views.source_lang(), stars="stars"
-    ).drop("name")
+    reviews = views.document_reviews(documents, views.source_lang(), stars="stars").drop("name")
+    if review_id is not None:
+        reviews = reviews.withColumn("review_id", review_id)
     businesses = documents.groupBy(views.source_lang().alias("business_id")).agg(
         F.min("source").alias("name"),
         F.min("lang").alias("categories"),
         F.avg("n_chars").alias("stars"),
     )
-    return insights.run(reviews, businesses, INSIGHTS)
+    return insights.run(reviews, businesses, params)
+
+
+@query
+def review_insights(spark, folder):
+    """Over drawn businesses."""
+    return _insights(spark, folder, INSIGHTS)
+
+
+@query
+def review_insights_all(spark, folder):
+    """Over all eligible businesses."""
+    return _insights(spark, folder, INSIGHTS_ALL)
+
+
+@query
+def review_insights_repeated(spark, folder):
+    """Over all eligible businesses, and three documents share a review id."""
+    thirds = F.expr("cast(ordinal div 3 AS string)")
+    return _insights(spark, folder, INSIGHTS_ALL, thirds)

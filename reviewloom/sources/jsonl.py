@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -14,13 +14,13 @@ def read_jsonl(
 ) -> DataFrame:
     """Read a JSON Lines file or folder; a malformed line fails the job.
 
-    ``head`` keeps the first lines in file order. Blank lines are skipped.
+    ``ordinal`` (file, split, position) orders rows as in the files, with or without
+    ``head``, which keeps the first lines only. Blank lines are skipped.
     """
-    if head is None:
-        return spark.read.schema(schema).option("mode", "FAILFAST").json(path)
-    lines = head_lines(spark, path, head).filter(F.trim("value") != "")
+    lines = ordered_lines(spark, path) if head is None else head_lines(spark, path, head)
     parsed = F.from_json("value", schema, {"mode": "FAILFAST"})
-    return lines.select("ordinal", parsed.alias("row")).select("row.*", "ordinal")
+    rows = lines.filter(F.trim("value") != "").select("ordinal", parsed.alias("row"))
+    return rows.select("row.*", "ordinal")
 
 
 def read_jsonl_lenient(
@@ -36,33 +36,49 @@ def read_jsonl_lenient(
     return good, parsed.filter(bad).select(F.col("value").alias("line"))
 
 
-def numbered_lines(spark: SparkSession, path: str) -> DataFrame:
-    """Lines with ``ordinal``, their position over all files in path order, from 0.
+def ordered_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """Lines with ``ordinal``, which orders them by file, split of the file, and place in it.
 
-    Spark packs splits by size, so partition order is not file order. Rows are
-    numbered within their split and shifted by the rows of the splits before it;
-    only the list of splits, which the driver plans anyway, is ordered as a whole.
-    Both scans must cut the same splits: a split that has no count fails the job.
+    It costs no pass over the data: a task reads each of its splits in order, so the
+    task's own row numbers order the lines of a split.
     """
-    lines = spark.read.text(path).select(
-        "value",
-        F.col("_metadata.file_path").alias("_file"),
-        F.col("_metadata.file_block_start").alias("_start"),
-        F.monotonically_increasing_id().alias("_id"),
-    )
-    splits = lines.groupBy("_file", "_start").agg(
-        F.min("_id").alias("_first"), F.count("*").alias("_rows")
-    )
-    before = F.sum("_rows").over(Window.orderBy("_file", "_start")) - F.col("_rows")
-    shifts = splits.select("_file", "_start", (before - F.col("_first")).alias("_shift"))
-    shift = F.coalesce(
-        "_shift", F.raise_error(F.lit("file splits changed while reading")).cast("bigint")
-    )
-    return lines.join(F.broadcast(shifts), ["_file", "_start"], "left").select(
-        "value", (F.col("_id") + shift).alias("ordinal")
+    place = F.struct(
+        F.col("_metadata.file_path").alias("file"),
+        F.col("_metadata.file_block_start").alias("start"),
+        F.monotonically_increasing_id().alias("position"),
     )
+    return spark.read.text(path).select("value", place.alias("ordinal"))
 
 
 def head_lines(spark: SparkSession, path: str, n: int) -> DataFrame:
-    """The first ``n`` lines of a text input, in file order, with their ``ordinal``."""
-    return numbered_lines(spark, path).filter(F.col("ordinal") < n)
+    """The first ``n`` lines of a text input, in file order, with their ``ordinal``.
+
+    Files are counted in the order of their paths until n lines are reached; the
+    others are not read. Of the last file the lines of each split are counted, and
+    the split that holds line n is cut.
+    """
+    needed: list[str] = []
+    before = last = 0
+    for file in sorted(spark.read.text(path).inputFiles()):
+        if before + last >= n:
+            break
+        before, last = before + last, spark.read.text(file).count()
+        needed.append(file)
+    lines = ordered_lines(spark, needed or path)
+    if not needed or n <= 0:
+        return lines.limit(0)
+    if before + last <= n:
+        return lines
+    at = F.col("ordinal")
+    end = lines.agg(F.max("ordinal.file")).first()[0]
+    splits = (
+        lines.filter(at["file"] == end)
+        .groupBy(at["start"].alias("start"))
+        .agg(F.min(at["position"]).alias("first"), F.count("*").alias("n"))
+    )
+    for start, first, rows in sorted(splits.collect()):  # the splits of one file
+        if before + rows >= n:
+            break
+        before += rows
+    inside = (at["start"] == start) & (at["position"] < first + n - before)
+    return lines.filter((at["file"] < end) | (at["start"] < start) | inside)

@@ -18,17 +18,6 @@ def read_table(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
-def spread(scan: DataFrame, key: str) -> DataFrame:
-    """Shuffle a scan with fewer splits than the session has cores; keep any other.
-
-    For heavy per-row work on a small table. A scan with fewer splits than cores is
-    small, so this never shuffles a large one. Apply it to a plain scan only.
-    """
-    cores = scan.sparkSession.sparkContext.defaultParallelism
-    # a few tasks per core even out rows of very different length
-    return scan.repartition(3 * cores, key) if scan.rdd.getNumPartitions() < cores else scan
-
-
 def write_csv(df: DataFrame, path: str) -> None:
     """Export with a header; nested columns become JSON text."""
     nested = (T.MapType, T.StructType, T.ArrayType)

@@ -9,6 +9,7 @@ from pyspark.sql import types as ST
 from reviewloom import schemas
 from reviewloom.operators import select
 from reviewloom.operators.present import require_columns
+from reviewloom.operators.clean import clean_dedup
 from reviewloom.operators.ranking import head_rows
 from reviewloom.params import Params
 from reviewloom.sources import jsonl, tables
@@ -25,7 +26,7 @@ def write_lines(folder, name, lines):
 def test_jsonl_with_schema(spark, tmp_path):
     write_lines(tmp_path / "in", "a.json", [json.dumps({"review_id": "r1", "stars": 4.0, "text": "é"}), ""])
     df = jsonl.read_jsonl(spark, str(tmp_path / "in"), schemas.REVIEWS)
-    assert df.schema == schemas.REVIEWS
+    assert df.drop("ordinal").schema == schemas.REVIEWS
     assert [(r.review_id, r.stars, r.text, r.date) for r in df.collect()] == [("r1", 4.0, "é", None)]
 
 
@@ -44,7 +45,7 @@ def test_lenient_reader_keeps_bad_lines_apart(spark, tmp_path):
     assert good.columns == schemas.REVIEWS.names
 
 
-def test_lines_are_numbered_in_file_order_over_many_splits(spark, tmp_path):
+def test_lines_are_ordered_as_in_the_files_over_many_splits(spark, tmp_path):
     want = []
     for name, n in (("a.txt", 50), ("b.txt", 4000), ("c.txt", 7)):
         lines = [f"{name} {i} {'x' * (i % 50)}" for i in range(n)]
@@ -52,12 +53,12 @@ def test_lines_are_numbered_in_file_order_over_many_splits(spark, tmp_path):
         want += lines
     spark.conf.set("spark.sql.files.maxPartitionBytes", "4096")
     try:
-        df = jsonl.numbered_lines(spark, str(tmp_path / "in"))
+        df = jsonl.ordered_lines(spark, str(tmp_path / "in"))
         assert df.rdd.getNumPartitions() > 8
         assert [r.value for r in df.orderBy("ordinal").collect()] == want
-        assert [r.ordinal for r in df.orderBy("ordinal").collect()] == list(range(len(want)))
-        head = jsonl.head_lines(spark, str(tmp_path / "in"), 53)
-        assert [r.value for r in head.orderBy("ordinal").collect()] == want[:53]
+        for n in (0, 50, 53, 2500, len(want), 10**6):
+            head = jsonl.head_lines(spark, str(tmp_path / "in"), n)
+            assert [r.value for r in head.orderBy("ordinal").collect()] == want[:n]
     finally:
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
 
@@ -71,10 +72,29 @@ def test_head_applies_to_each_input_before_the_join(spark, tmp_path):
     assert [r.review_id for r in joined.collect()] == ["r2"]
 
 
+def test_head_rows_of_sparse_ids(spark):
+    """Ids over the whole 64-bit range; windows without partition would sort them in one task."""
+    ids = [(i * 6364136223846793005 + 1442695040888963407) % 2**64 - 2**63 for i in range(3000)]
+    df = spark.createDataFrame([(i,) for i in ids], "id bigint").repartition(5)
+    for n in (1, 1234, 2999):
+        got = head_rows(df, n, "id", fan_out=16, enough=50)
+        assert "Window" not in got._jdf.queryExecution().executedPlan().toString()
+        assert sorted(r.id for r in got.collect()) == sorted(ids)[:n]
+
+
+def test_dedup_winner_does_not_depend_on_a_cap(spark, tmp_path):
+    text = "one text that is long enough to be kept as a review"
+    rows = [json.dumps({"review_id": r, "business_id": "b", "text": text}) for r in ("z9", "a1")]
+    write_lines(tmp_path / "r", "r.json", rows)
+    for head in (None, 2, 1000):
+        reviews = jsonl.read_jsonl(spark, str(tmp_path / "r"), schemas.REVIEWS, head)
+        assert [r.review_id for r in clean_dedup(reviews).collect()] == ["z9"]
+
+
 @pytest.mark.parametrize("n", [0, 1, 9, 10, 11, 500, 999, 1000, 5000])
 def test_head_rows_is_exact(spark, n):
     df = spark.range(-300, 2700, 3).withColumn("v", F.col("id") * 2).repartition(7)
-    got = sorted(r.id for r in head_rows(df, n, "id", width=10).collect())
+    got = sorted(r.id for r in head_rows(df, n, "id", fan_out=7, enough=5).collect())
     assert got == sorted(r.id for r in df.collect())[:n]
 
 

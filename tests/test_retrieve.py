@@ -71,36 +71,44 @@ def test_search_equals_brute_force(spark, metric, dense):
 
 
 @pytest.mark.parametrize("metric", V.METRICS)
-def test_many_topics_take_the_join_and_agree(spark, metric, monkeypatch):
+def test_blocks_of_topics_agree(spark, metric, monkeypatch):
     rng = np.random.default_rng(3)
     chunks = spark.createDataFrame(
         [(f"c{i}", f"b{i % 3}", f"r{i}", rng.normal(size=8).tolist()) for i in range(60)], CHUNK
     )
     topics = spark.createDataFrame([(f"t{i}", rng.normal(size=8).tolist()) for i in range(23)], TOPIC)
-    inline = {(r.chunk_id, r.topic): r.score for r in retrieve.score(chunks, topics, metric).collect()}
-    monkeypatch.setattr(retrieve, "INLINE_TOPICS", 5)
-    many = retrieve.score(chunks, topics, metric)
-    joined = {(r.chunk_id, r.topic): r.score for r in many.collect()}
-    assert len(joined) == many.count() == 60 * 23
-    assert joined.keys() == inline.keys()
-    assert all(abs(joined[k] - inline[k]) <= 1e-8 for k in inline)
-    assert many.columns == retrieve.score(chunks, topics.limit(2), metric).columns
-
-
-def test_the_longest_inline_query_set(spark):
-    """64 dense topics fit one projection, sparse or not."""
+    whole = {(r.chunk_id, r.topic): r.score for r in retrieve.score(chunks, topics, metric).collect()}
+    top = sorted(retrieve.score_topk(chunks, topics, 2, metric).collect())
+    monkeypatch.setattr(retrieve, "BLOCK_BYTES", 5 * 8 * 8)
+    assert len(list(retrieve.query_blocks(topics))) == 5
+    parts = {(r.chunk_id, r.topic): r.score for r in retrieve.score(chunks, topics, metric).collect()}
+    assert len(parts) == 60 * 23 and parts == whole
+    assert sorted(retrieve.score_topk(chunks, topics, 2, metric).collect()) == top and len(top) == 23 * 3 * 2
+
+
+def test_many_dense_topics(spark):
     rng = np.random.default_rng(5)
     chunks = spark.createDataFrame(
-        [(f"c{i}", "b", f"r{i}", rng.normal(size=64).tolist()) for i in range(30)], CHUNK
+        [(f"c{i}", "b", f"r{i}", rng.normal(size=384).tolist()) for i in range(30)], CHUNK
     )
     vectors = {r.chunk_id: r.embedding for r in chunks.collect()}
-    queries = [(f"t{i}", rng.normal(size=64).tolist()) for i in range(retrieve.INLINE_TOPICS)]
-    scored = retrieve.score(chunks, spark.createDataFrame(queries, TOPIC)).collect()
+    queries = [(f"t{i}", rng.normal(size=384).tolist()) for i in range(64)]
+    scored = retrieve.score(chunks, queries).collect()
     assert len(scored) == 30 * 64
-    by_name = {t: np.asarray(q, dtype=np.float32).astype(float) for t, q in queries}
+    by_name = dict(queries)
     assert all(abs(np.dot(vectors[r.chunk_id], by_name[r.topic]) - r.score) < 1e-8 for r in scored)
 
 
+def test_repeated_chunk_ids_are_told_apart_by_their_key(spark):
+    rows = [("c", "k1", "b", "r", [0.5, 0.0]), ("c", "k2", "b", "r", [0.9, 0.0]), ("d", "k3", "b", "q", [0.1, 0.0])]
+    chunks = spark.createDataFrame(rows, "chunk_id string, chunk_key string, business_id string, review_id string, embedding array<float>")
+    text = chunks.select("chunk_key", F.concat(F.lit("text of "), "chunk_key").alias("chunk"))
+    found = retrieve.topic_retrieval(chunks, [("t", [1.0, 0.0])], text_from=text).orderBy("rank").collect()
+    assert [(r.rank, r.chunk) for r in found] == [(1, "text of k2"), (2, "text of k3")]
+    with pytest.raises(Exception, match="not unique"):
+        retrieve.topic_retrieval(chunks.drop("chunk_key"), [("t", [1.0, 0.0])], text_from=text.withColumn("chunk_id", F.lit("c")).drop("chunk_key")).collect()
+
+
 def test_cap_comes_after_top_k(spark):
     rows = [(f"c{i:02d}", "b", f"r{i % 2}", [1.0 - i / 100, 0.0]) for i in range(26)]
     assert len(search(spark, rows, [("t", [1.0, 0.0])])) == 2

@@ -1,5 +1,6 @@
 """Prompts, summaries and the reader's view."""
 
+import dataclasses
 import json
 
 import pytest
@@ -129,13 +130,48 @@ def test_staged_run_equals_lazy_run(spark, folder, tmp_path):
     staged = insights.run(reviews, businesses, INSIGHTS, out=out)
     assert sorted(staged.collect()) == lazy and lazy
     chunks = tables.read_table(spark, f"{out}/review_chunks")
-    vectors = tables.read_vectors(spark, f"{out}/chunk_vectors")
+    vectors = tables.read_vectors(spark, f"{out}/chunk_vectors", buckets=INSIGHTS.vector_buckets)
     assert chunks.count() == vectors.count() > 0
     found = tables.read_table(spark, f"{out}/topic_relevant_review_chunks")
     assert found.columns == list(insights.retrieve.RESULT_COLUMNS)
     report = {r.stage: (r.n_rows, r.n_keys) for r in tables.read_table(spark, f"{out}/run_report").collect()}
     assert report["review_chunks"] == (chunks.count(), 10)
     assert report["summaries_long"] == (30, 10)
+    cleaning = tables.read_table(spark, f"{out}/cleaning_report").first()
+    assert cleaning.n_input == report["reviews_df"][0] >= cleaning.n_clean >= cleaning.n_unique > 0
+    empty = tables.read_table(spark, f"{out}/empty_topics").count()
+    assert empty + found.select("business_id", "topic").distinct().count() == 30
+
+
+def test_staged_run_equals_lazy_run_when_review_ids_repeat(spark, folder, tmp_path):
+    """Every review has the id of its business: one excerpt each, under a cap of one."""
+    reviews, businesses = inputs(spark, folder)
+    reviews = reviews.withColumn("review_id", F.expr("cast(ordinal div 4 AS string)"))
+    params = dataclasses.replace(INSIGHTS, n_entities=None, min_reviews=1)
+    lazy = sorted(insights.run(reviews, businesses, params).collect())
+    out = str(tmp_path / "out")
+    assert sorted(insights.run(reviews, businesses, params, out=out).collect()) == lazy and lazy
+    found = tables.read_table(spark, f"{out}/topic_relevant_review_chunks")
+    assert found.groupBy("business_id", "topic", "review_id").count().agg(F.max("count")).first()[0] == 1
+    assert found.groupBy("business_id", "topic", "rank").count().agg(F.max("count")).first()[0] == 1
+
+
+def test_excerpts_without_stars_stay_in_the_prompt(spark):
+    rows = [("b", "n", "food", 1, None, "first"), ("b", "n", "food", 2, 3.0, "second")]
+    found = spark.createDataFrame(rows, "business_id string, restaurant_name string, topic string, rank int, stars double, chunk string")
+    row = summarize.build_prompts(found, ["food"]).first()
+    assert row.n_excerpts == row.prompt.count("Review (") == 2 and "first" in row.prompt
+
+
+def test_a_call_without_an_answer_is_given_up(spark):
+    def factory():
+        import time
+
+        return lambda p: time.sleep(30) or "late"
+
+    df = spark.createDataFrame([("p",)], "prompt string")
+    made = summarize.generate(df, "prompt", factory, retries=0, on_error="column", timeout=0.5).first()
+    assert made.summary is None and "no answer" in made.error
 
 
 def json_inputs(folder):
@@ -183,6 +219,6 @@ def test_run_with_a_client(spark, tmp_path):
 
 def test_defaults_match_the_documented_ones():
     p = Params()
-    assert (p.head_rows, p.min_reviews, p.n_entities, p.seed) == (500_000, 100, 10, 1)
+    assert (p.head_rows, p.min_reviews, p.n_entities, p.seed) == (None, 100, 10, 1)
     assert (p.min_chars, p.chunk_size, p.overlap, p.min_chunk) == (30, 1000, 200, 230)
     assert (p.top_k, p.max_per_topic, p.max_per_review, p.batch_size) == (25, 12, 1, 64)

@@ -49,7 +49,7 @@ def expected_chunks(text, size=1000, overlap=200, min_size=230):
         if i == 0:
             out.append((0, text[:size]))
         elif len(text) - at + overlap > min_size:
-            out.append((i, text[at - overlap : at - overlap + size]))
+            out.append((i, text[max(0, at - overlap) : at - overlap + size]))
     return out
 
 
@@ -142,7 +142,7 @@ def test_chunks_count_code_points(spark):
 @SOME
 @given(
     st.lists(st.text(alphabet="ab \n😀é", max_size=80), max_size=10),
-    st.sampled_from([(10, 2, 3), (10, 5, 4), (7, 0, 1), (20, 4, 6)]),
+    st.sampled_from([(10, 2, 3), (10, 5, 4), (7, 0, 1), (20, 4, 6), (10, 7, 8), (9, 8, 8)]),
 )
 def test_chunks_equal_python(spark, texts, sizes):
     size, overlap, least = sizes
