@@ -32,6 +32,8 @@ PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\
 PLAIN_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?[^\W\d_]+| ?\d+| ?(?:[^\s\w]|_)+|\s+(?!\S)|\s+"
 NOT_PLAIN = r"[^\t\n\r -~¡-±´-¸»¿-ɏ‐-‧‰-⁞]"
 LONG = 64
+#: Short words go through the rank array in blocks of these widths.
+BLOCKS = (3, 5, 7, 9, 11, 14, 18, 24, 36, LONG)
 #: Words kept in a task's dictionary before it starts anew: about 80 MB.
 MAX_WORDS = 400_000
 NONE = np.int32(2**31 - 1)
@@ -102,19 +104,21 @@ class Codec:
         names = sorted(self.special, key=len, reverse=True)
         self.cut = re.compile("(" + "|".join(map(re.escape, names)) + ")").split if names else None
 
-    def merge_short(self, words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Join the parts of many words of one byte length at a time.
+    def merge_short(self, words: np.ndarray, left: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Join the parts of many words at a time.
 
-        words: a row of bytes each. Returns the ids left, -1 behind the last one, and their number.
+        words: a row of bytes each, of which the first `left` count. Returns the ids
+        left, -1 behind the last one, and their number.
         """
-        parts = self.of_byte[words]  # row: the part ids; a boundary lies between any two
-        n, width = parts.shape
+        n, width = words.shape
+        columns = np.arange(width)
+        # a row is the ids of the parts; a boundary lies between any two
+        parts = np.where(columns < left[:, None], self.of_byte[words], np.int32(-1))
         done, counts = np.full((n, width), -1, np.int32), np.ones(n, np.int64)
         if width == 1:
             return parts, counts
         rank = self.ranks.find(parts[:, :-1], parts[:, 1:])
-        rows, left = np.arange(n), np.full(n, width)
-        columns = np.arange(width)
+        rows = np.arange(n)
         while len(rows):
             at = rank.argmin(axis=1)
             every = np.arange(len(rows))
@@ -169,33 +173,31 @@ class Codec:
         """Encode words that the dictionary lacks."""
         if len(self.words) + len(fresh) > self.max_words:
             self.words.clear()
-        by_length: dict[int, list[tuple[str, bytes]]] = {}
-        for w in fresh:
-            own = w.encode()
-            by_length.setdefault(len(own), []).append((w, own))
-        for length, group in by_length.items():
-            if length > LONG:
-                self.words.update((w, np.array(self.merge_long(own), "<u4").tobytes()) for w, own in group)
-                continue
-            for i in range(0, len(group), 20_000):
-                some = group[i : i + 20_000]
-                matrix = np.frombuffer(b"".join(own for _, own in some), np.uint8).reshape(-1, length)
-                ids, counts = self.merge_short(matrix)
+        encoded = [w.encode() for w in fresh]
+        sizes = np.fromiter(map(len, encoded), np.int64, len(fresh))
+        for least, most in zip((0, *BLOCKS), BLOCKS):
+            group = np.flatnonzero((sizes > least) & (sizes <= most)).tolist()
+            for i in range(0, len(group), 50_000):
+                some = group[i : i + 50_000]
+                padded = b"".join([encoded[k].ljust(most, b"\0") for k in some])
+                ids, counts = self.merge_short(np.frombuffer(padded, np.uint8).reshape(-1, most), sizes[some])
                 flat, ends = ids[ids >= 0].astype("<u4").tobytes(), (4 * np.cumsum(counts)).tolist()
-                self.words.update((w, flat[a:b]) for (w, _), a, b in zip(some, [0, *ends], ends))
+                self.words.update([(fresh[k], flat[a:b]) for k, a, b in zip(some, [0, *ends], ends)])
+        for k in np.flatnonzero(sizes > LONG).tolist():
+            self.words[fresh[k]] = np.array(self.merge_long(encoded[k]), "<u4").tobytes()
 
     def find(self, text: str) -> list[str]:
         return self.full(text) if self.not_plain.search(text) else self.plain(text)
 
     def encode_batch(self, texts: list[str]) -> list[bytes]:
         """Ids of each text, as little-endian unsigned 32-bit integers."""
-        cuts = [[t] if self.cut is None or not any(s in t for s in self.special) else self.cut(t) for t in texts]
+        cuts = [self.cut(t) if self.cut and any(s in t for s in self.special) else [t] for t in texts]
         found = [[[p] if p in self.special else self.find(p) for p in parts] for parts in cuts]
-        fresh = {w for parts in found for words in parts for w in set(words) if w not in self.words}
-        needed = fresh
+        needed = set().union(*(words for parts in found for words in parts))
+        fresh = needed.difference(self.words)
         if len(self.words) + len(fresh) > self.max_words:  # the dictionary starts anew with this batch
-            needed = {w for parts in found for words in parts for w in words}
-        self.learn([w for w in needed if w not in self.special])
+            fresh = needed
+        self.learn([w for w in fresh if w not in self.special])
         for s, i in self.special.items():
             self.words[s] = np.uint32(i).tobytes()
         get = self.words.__getitem__
