@@ -7,7 +7,7 @@ import uuid
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
@@ -41,6 +41,11 @@ def small(df: DataFrame, rows: int = SMALL_ROWS) -> DataFrame:
     return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
 
 
+def whole_row(df: DataFrame) -> Column:
+    """All columns as one struct, _row, so that columns added beside it clash with none of them."""
+    return F.struct(*(F.col(f"`{c}`") for c in df.columns)).alias("_row")
+
+
 def map_batches(df: DataFrame, make: Callable[[], Callable[..., list[tuple]]], schema: str) -> DataFrame:
     """Apply a Python function to short runs of rows, in Arrow batches.
 

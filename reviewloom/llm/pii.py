@@ -263,13 +263,14 @@ def pseudonymize(docs: DataFrame, key: str = "change me", column: str = "text")
 
 def pseudonymize_documents(docs: DataFrame, key: str = "change me") -> DataFrame:
     """As pseudonymize; a column n_chars that counts the text's characters counts those of the new text."""
-    new = pseudonymized(F.col("text"), key)
     if "n_chars" not in docs.columns:
-        return docs.withColumn("text", new)
-    counted = F.col("n_chars") == F.length("text")
-    size = F.when(counted, F.length(F.col("_new"))).otherwise(F.col("n_chars")).cast(docs.schema["n_chars"].dataType)
-    kept = [F.col("_new").alias("text") if c == "text" else size.alias(c) if c == "n_chars" else F.col(f"`{c}`") for c in docs.columns]
-    return docs.withColumn("_new", new).select(*kept)
+        return pseudonymize(docs, key)
+    row, new = F.col("_row"), F.col("_new")
+    counted = row["n_chars"] == F.length(row["text"])
+    size = F.when(counted, F.length(new)).otherwise(row["n_chars"]).cast(docs.schema["n_chars"].dataType)
+    changed = {"text": new, "n_chars": size}
+    both = docs.select(common.whole_row(docs), pseudonymized(F.col("text"), key).alias("_new"))
+    return both.select(*(changed.get(c, row[c]).alias(c) for c in docs.columns))
 
 
 def op9_pii(spark: SparkSession, folder: str) -> DataFrame:

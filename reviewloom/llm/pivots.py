@@ -63,6 +63,11 @@ def matrix(column: pd.Series, dim: int) -> np.ndarray:
     return out
 
 
+def objects(rows) -> pd.Series:
+    """A column of arrays; typed, so that no rows convert too."""
+    return pd.Series(list(rows), dtype=object)
+
+
 def choose_pivots(sample: np.ndarray, n: int) -> np.ndarray:
     """Farthest-first from the first row: each next pivot is the one farthest from all before."""
     chosen = [0]
@@ -119,7 +124,7 @@ def keyed(entries: DataFrame, pivots: np.ndarray, s: Settings) -> DataFrame:
             at = d.argmin(axis=1)
             yield pd.DataFrame({
                 "pivot": at.astype(np.int32), "dist": d[np.arange(len(x)), at], "square": (x.astype(np.float64) ** 2).sum(axis=1),
-                "v": list(x), "ids": list(batch["ids"]),
+                "v": objects(x), "ids": objects(batch["ids"]),
             })
 
     return entries.select("v", "ids").mapInPandas(run, "pivot int, dist double, square double, v array<bigint>, ids array<bigint>")
@@ -176,7 +181,7 @@ def wanted(queries: DataFrame, known: Directory, s: Settings, floor: bool) -> Da
                 i, j = np.nonzero(look)
                 yield pd.DataFrame({
                     "pivot": known.pivot[j].astype(np.int32), "ring": known.ring[j].astype(np.int32),
-                    "id": part["id"].to_numpy()[i], "v": list(q[i]), "least": least[i],
+                    "id": part["id"].to_numpy()[i], "v": objects(q[i]), "least": least[i],
                 })
 
     return queries.mapInPandas(run, "pivot int, ring int, id bigint, v array<bigint>, least bigint")

@@ -194,8 +194,7 @@ def filter_documents(docs: DataFrame, rules: Rules = Rules()) -> DataFrame:
     when the fences are few, and rows need no unique id.
     """
     limits = common.kept_table(fences(measured_rows(docs), rules))
-    kept = F.struct(*docs.columns).alias("_row")
-    rows = docs.select(kept, "lang", "source", measures("text").alias("_m")).select("_row", "lang", "source", "_m.*")
+    rows = docs.select(common.whole_row(docs), "lang", "source", measures("text").alias("_m")).select("_row", "lang", "source", "_m.*")
     return join_fences(rows, limits).filter(within(rules)).select("_row.*")
 
 
