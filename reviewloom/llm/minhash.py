@@ -14,8 +14,8 @@ gathered in one task, and no list of all pairs in a group is made:
    are in different components yet are confirmed on the full sets.
 5. Components of all links give each document the smallest doc_id it can reach.
 
-A link is found unless all bands miss it or its signature deviates by 4.5 standard
-deviations: at 85 % and the default settings 2e-8 and 3e-6.
+A link is found unless all bands miss it or its signature deviates by 4.2 standard
+deviations: at exactly 85 % and the default settings 2e-8 and 1.3e-5, above it less.
 
 Null texts and texts without words have an empty set and are linked with nothing.
 Rows of equal doc_id are one document that has all their sets. Rows without
@@ -47,7 +47,7 @@ class Settings:
     percent: int = 85
     bands: int = 24
     rows: int = 4
-    hashes: int = 384
+    hashes: int = 640
     block: int = 512
     seed: int = 11
 
@@ -55,7 +55,7 @@ class Settings:
     def least_equal(self) -> int:
         """Equal places of two signatures below which the similarity is out of reach."""
         p = self.percent / 100
-        return int(self.hashes * (p - 4.5 * (p * (1 - p) / self.hashes) ** 0.5))
+        return int(self.hashes * (p - 4.2 * (p * (1 - p) / self.hashes) ** 0.5))
 
 
 class Hashes(dict):
@@ -68,6 +68,9 @@ class Hashes(dict):
         return h
 
 
+MAX_BANDS = 64
+#: Ids of 8 bytes that may be broadcast.
+MANY_IDS = 1_000_000
 MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -105,10 +108,10 @@ class Signer:
         return out
 
     def bands(self, minima: np.ndarray) -> list[int]:
+        """Hashes of the bands' minima; the lowest bits say which band it is."""
         r = self.s.rows
-        return [
-            xxhash.xxh64_intdigest(minima[r * k : r * k + r].tobytes(), seed=k) - (1 << 63) for k in range(self.s.bands)
-        ]
+        hashed = (xxhash.xxh64_intdigest(minima[r * k : r * k + r].tobytes()) for k in range(self.s.bands))
+        return [(h // MAX_BANDS * MAX_BANDS + k) - (1 << 63) for k, h in enumerate(hashed)]
 
     @staticmethod
     def signature(minima: np.ndarray) -> bytes:
@@ -165,7 +168,8 @@ def confirmed(pairs: DataFrame, docs: DataFrame, repeated: bool, s: Settings) ->
         return lambda doc_id, text: (doc_id, shingles(text, s.words, hashes).view(np.int64).tolist())
 
     ids = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
-    texts = docs.select("doc_id", "text").join(common.small(common.kept_table(ids)), "doc_id", "left_semi")
+    # up to a million ids (8 MB) go to the texts; more meet them in a shuffle
+    texts = docs.select("doc_id", "text").join(common.small(common.kept_table(ids), MANY_IDS), "doc_id", "left_semi")
     sets = common.map_rows(texts, make, "id bigint, x array<bigint>")
     sets = common.kept_table(sets.dropDuplicates(["id", "x"]) if repeated else sets)
     side = lambda c: sets.select(F.col("id").alias(c), F.col("x").alias(f"x{c}"))
@@ -199,11 +203,16 @@ def unsettled(members: DataFrame, centres: DataFrame, found: DataFrame, reps: Da
         if not len(a) or not len(b):
             return pd.DataFrame({"a": [], "b": []}, dtype="int64")
         sa, sb = matrix(a.sig, s.hashes), matrix(b.sig, s.hashes)
+        band = int(group.key.iloc[0]) % MAX_BANDS
         ids, comps, sizes = b.id.to_numpy(), b.component.to_numpy(), b.n.to_numpy()
         out = []
         for k, (i, c, n) in enumerate(zip(a.id, a.component, a.n)):
             near = np.flatnonzero((comps != c) & (100 * np.minimum(sizes, n) >= s.percent * np.maximum(sizes, n)))
-            near = near[alike(sb[near], sa[k]) >= s.least_equal]
+            same = sb[near] == sa[k]
+            near, same = near[ok := same.sum(axis=1) >= s.least_equal], same[ok]
+            # a pair is reported in the first band that it shares
+            shared = same[:, : s.bands * s.rows].reshape(-1, s.bands, s.rows).all(axis=2)
+            near = near[shared.argmax(axis=1) == band]
             out += [(min(i, j), max(i, j)) for j in ids[near].tolist()]
         return pd.DataFrame(out, columns=["a", "b"], dtype="int64").drop_duplicates()
 
@@ -256,7 +265,7 @@ def filter_documents(docs: DataFrame, s: Settings = Settings(words=5, percent=80
     """One document of each component, with all columns; of repeated ids one row, of rows without id all."""
     verdict = common.kept_table(near_duplicates(docs, s))
     gone = verdict.filter("NOT kept").select("doc_id").distinct()
-    left = docs.join(common.small(common.kept_table(gone)), "doc_id", "left_anti")
+    left = docs.join(common.small(common.kept_table(gone), MANY_IDS), "doc_id", "left_anti")
     again = common.kept_table(verdict.filter("kept").groupBy("doc_id").count().filter("count > 1 AND doc_id IS NOT NULL").select("doc_id"))
     if not again.take(1):
         return left
