@@ -7,8 +7,11 @@ from functools import reduce
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
+from reviewloom.functions import text as T
 from reviewloom.functions import vectors as V
+from reviewloom.operators.chunk import chunk_array
 from reviewloom.operators.clean import clean_text
+from reviewloom.params import Params
 
 
 def observed(df: DataFrame, name: str) -> tuple[DataFrame, Observation]:
@@ -89,6 +92,43 @@ def cleaning_report(df: DataFrame, col: str = "text", min_chars: int = 30) -> Da
     )
 
 
+def cleaning_funnel(reviews: DataFrame, params: Params = Params()) -> DataFrame:
+    """Rows and distinct businesses of reviews, clean, unique and chunks, in one pass over the texts.
+
+    Texts are cleaned and their chunks counted once per row; after that only digests and
+    numbers move. One count per (business, text) serves all four stages.
+    """
+    p = params
+    stripped = T.strip(F.col(p.col_text).cast("string"))
+    text = F.when(F.length(stripped) >= p.min_chars, stripped)
+    order = F.col(p.col_order if p.col_order in reviews.columns else p.col_review)
+    made = reviews.select(
+        F.col(p.col_entity).alias("key"), order.alias("order"), T.nfkc(T.replace_and_collapse(text)).alias("text")
+    )
+    chunks = F.size(chunk_array(F.col("text"), p.chunk_size, p.overlap, p.min_chunk, p.chunk_mode))
+    first = F.min(F.struct("order", "chunks")).alias("first")
+    texts = (
+        made.select("key", "order", F.md5("text").alias("digest"), F.greatest(chunks, F.lit(0)).alias("chunks"))
+        .groupBy("key", "digest").agg(F.count("*").alias("n"), first)
+    )
+    clean = F.when(F.col("digest").isNotNull(), F.col("n"))
+    before = texts.groupBy("key").agg(F.sum("n").alias("n"), F.coalesce(F.sum(clean), F.lit(0)).alias("clean"))
+    winner = F.min(F.struct("first.order", "key", "first.chunks")).alias("w")
+    after = texts.filter("digest IS NOT NULL").groupBy("digest").agg(winner).groupBy("w.key").agg(
+        F.count("*").alias("unique"), F.coalesce(F.sum("w.chunks"), F.lit(0)).cast("bigint").alias("chunks")
+    )
+    rows = before.join(after, "key", "full")
+    stages = {"reviews": "n", "clean": "clean", "unique": "unique", "chunks": "chunks"}
+    totals = rows.agg(*(f(c).alias(f"{name}_{c}") for c in stages.values() for name, f in (
+        ("rows", lambda c: F.coalesce(F.sum(c), F.lit(0))), ("keys", lambda c: F.count_if((F.col(c) > 0) & F.col("key").isNotNull())),
+    )))
+    entries = [
+        F.struct(F.lit(name).alias("stage"), F.col(f"rows_{c}").alias("n_rows"), F.col(f"keys_{c}").alias("n_keys"))
+        for name, c in stages.items()
+    ]
+    return totals.select(F.inline(F.array(*entries)))
+
+
 def run_report(stages: dict[str, DataFrame], key: str = "business_id") -> DataFrame:
     """Rows and distinct businesses of each stage table."""
     counted = [

@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 
 from reviewloom.functions import vectors as V
 from reviewloom.operators import (
-    chunk,
     clean,
     embed,
     explore,
@@ -352,15 +351,7 @@ def empty_topics(spark, folder):
 
 @query
 def run_report(spark, folder):
-    reviews = _reviews(spark, folder)
-    unique = clean.clean_dedup(reviews)
-    stages = {
-        "reviews": reviews,
-        "clean": clean.clean_text(reviews),
-        "unique": unique,
-        "chunks": chunk.review_chunks(unique),
-    }
-    return quality.run_report(stages)
+    return quality.cleaning_funnel(_reviews(spark, folder), PARAMS)
 
 
 # --- reports ----------------------------------------------------------------------
