@@ -16,7 +16,7 @@ def require_columns(df: DataFrame, expected: Sequence[str], what: str = "input")
     """Fail before any job when a column is missing."""
     missing = sorted(set(expected) - set(df.columns))
     if missing:
-        raise ValueError(f"Missing columns in {what}: {missing}")
+        raise ValueError(f"{what} lacks the columns {missing}")
     return df
 
 

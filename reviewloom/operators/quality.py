@@ -46,7 +46,7 @@ def require_metadata(vectors: DataFrame, metadata: DataFrame, key: str = "busine
     names = vectors.select(key).distinct()
     missing = names.join(metadata.select(key).distinct(), key, "left_anti").first()
     if missing is not None:
-        raise KeyError(f"Missing metadata for {key} {missing[0]}")
+        raise KeyError(f"vectors without a metadata row: {key} {missing[0]}")
 
 
 def index_stats(
