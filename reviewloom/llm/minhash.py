@@ -62,14 +62,14 @@ class Hashes(dict):
     """Word to a 64-bit hash; forgets all when it holds many."""
 
     def __missing__(self, word: bytes) -> int:
-        if len(self) > 500_000:
+        if len(self) > 150_000:
             self.clear()
         self[word] = h = xxhash.xxh64_intdigest(word)
         return h
 
 
 MAX_BANDS = 64
-#: Ids of 8 bytes that may be broadcast.
+#: Ids that may be broadcast: 8 MB.
 MANY_IDS = 1_000_000
 MIX = np.uint64(0x9E3779B97F4A7C15)
 
@@ -147,8 +147,17 @@ def matrix(column: pd.Series, width: int) -> np.ndarray:
     return np.frombuffer(b"".join(column), np.uint8).reshape(-1, width)
 
 
+def having(df: DataFrame, column: str, ids: DataFrame, how: str = "left_semi") -> DataFrame:
+    """Rows of df whose column is among ids, or with how="left_anti" is not.
+
+    Up to MANY_IDS ids go to the rows, so that wide ones stay where they are; more meet them in a shuffle.
+    """
+    return df.join(common.small(common.kept_table(ids.toDF(column).distinct()), MANY_IDS), column, how)
+
+
 def promising(pairs: DataFrame, reps: DataFrame, s: Settings) -> DataFrame:
-    """The pairs (a, b) whose sizes and signatures do not rule the similarity out."""
+    """The pairs (a, b) whose sizes and signatures do not rule the similarity out. pairs is a written table."""
+    reps = having(reps, "id", pairs.select(F.explode(F.array("a", "b"))))
     side = lambda c: reps.select(F.col("id").alias(c), F.col("n").alias(f"n{c}"), F.col("sig").alias(f"sig{c}"))
     both = pairs.join(side("b"), "b").join(side("a"), "a")
     near = 100 * F.least("na", "nb") >= s.percent * F.greatest("na", "nb")
@@ -167,9 +176,7 @@ def confirmed(pairs: DataFrame, docs: DataFrame, repeated: bool, s: Settings) ->
         hashes = Hashes()
         return lambda doc_id, text: (doc_id, shingles(text, s.words, hashes).view(np.int64).tolist())
 
-    ids = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
-    # up to a million ids (8 MB) go to the texts; more meet them in a shuffle
-    texts = docs.select("doc_id", "text").join(common.small(common.kept_table(ids), MANY_IDS), "doc_id", "left_semi")
+    texts = having(docs.select("doc_id", "text"), "doc_id", pairs.select(F.explode(F.array("a", "b"))))
     sets = common.map_rows(texts, make, "id bigint, x array<bigint>")
     sets = common.kept_table(sets.dropDuplicates(["id", "x"]) if repeated else sets)
     side = lambda c: sets.select(F.col("id").alias(c), F.col("x").alias(f"x{c}"))
@@ -189,8 +196,8 @@ def unsettled(members: DataFrame, centres: DataFrame, found: DataFrame, reps: Da
     )
     placed = common.kept_table(placed.select("key", "id", "component", "cnt", "open"))
     left = placed.filter("open").groupBy("key").agg(F.count("*").alias("left"))
-    own = reps.select("id", "n", "sig")
-    rows = placed.join(left, "key").join(own, "id")
+    rows = common.kept_table(placed.join(left, "key"))
+    rows = rows.join(having(reps.select("id", "n", "sig"), "id", rows.select("id")), "id")
     blocks = F.ceil(F.col("cnt") / s.block).cast("int")
     chunks = F.ceil(F.col("left") / s.block).cast("int")
     place = lambda n, seed: F.pmod(F.xxhash64("id", F.lit(seed)), n).cast("int")
@@ -226,7 +233,10 @@ def near_duplicates(docs: DataFrame, s: Settings = Settings()) -> DataFrame:
     repeated = bool(signed.groupBy("doc_id").count().filter("count > 1 AND doc_id IS NOT NULL").take(1))
     classes = known.groupBy("digest").agg(F.min(F.struct("doc_id", "row")).alias("first"))
     classes = common.kept_table(classes.select("digest", F.col("first.doc_id").alias("rep"), F.col("first.row").alias("row")))
-    reps = common.kept_table(known.join(classes.select("row"), "row").select(F.col("doc_id").alias("id"), "n", "keys", "sig"))
+    # rows of one class differ in nothing but their ids: all but the first leave
+    copies = known.select("digest", "row").join(classes.select("digest", F.col("row").alias("first")), "digest")
+    reps = having(known, "row", copies.filter("row != first").select("row"), "left_anti")
+    reps = common.kept_table(reps.select(F.col("doc_id").alias("id"), "n", "keys", "sig"))
 
     banded = reps.select("id", F.explode("keys").alias("key"))
     counts = banded.groupBy("key").agg(F.count("*").alias("cnt")).filter("cnt > 1")
@@ -238,7 +248,8 @@ def near_duplicates(docs: DataFrame, s: Settings = Settings()) -> DataFrame:
     star = members.join(centres, "key").filter("id != centre").select(
         F.least("id", "centre").alias("a"), F.greatest("id", "centre").alias("b")
     )
-    links = confirmed(common.kept_table(promising(star.distinct(), reps, s)), docs, repeated, s)
+    star = common.kept_table(star.distinct())
+    links = confirmed(common.kept_table(promising(star, reps, s)), docs, repeated, s)
     # rows of one doc_id with several sets are one node already; their classes meet in it
     equal = known.join(classes.select("digest", "rep"), "digest").filter("doc_id != rep").select(
         F.col("rep").alias("a"), F.col("doc_id").alias("b")
@@ -264,8 +275,7 @@ def near_duplicates(docs: DataFrame, s: Settings = Settings()) -> DataFrame:
 def filter_documents(docs: DataFrame, s: Settings = Settings(words=5, percent=80)) -> DataFrame:
     """One document of each component, with all columns; of repeated ids one row, of rows without id all."""
     verdict = common.kept_table(near_duplicates(docs, s))
-    gone = verdict.filter("NOT kept").select("doc_id").distinct()
-    left = docs.join(common.small(common.kept_table(gone), MANY_IDS), "doc_id", "left_anti")
+    left = having(docs, "doc_id", verdict.filter("NOT kept").select("doc_id"), "left_anti")
     again = common.kept_table(verdict.filter("kept").groupBy("doc_id").count().filter("count > 1 AND doc_id IS NOT NULL").select("doc_id"))
     if not again.take(1):
         return left
