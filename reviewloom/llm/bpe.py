@@ -34,8 +34,8 @@ NOT_PLAIN = r"[^\t\n\r -~¡-±´-¸»¿-ɏ‐-‧‰-⁞]"
 LONG = 64
 #: Short words go through the rank array in blocks of these widths.
 BLOCKS = (3, 5, 7, 9, 11, 14, 18, 24, 36, LONG)
-#: Words kept in a task's dictionary before it starts anew: about 80 MB.
-MAX_WORDS = 400_000
+#: Words kept in a task's dictionary before it starts anew: about 40 MB.
+MAX_WORDS = 200_000
 NONE = np.int32(2**31 - 1)
 
 
