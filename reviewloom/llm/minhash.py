@@ -14,8 +14,8 @@ gathered in one task, and no list of all pairs in a group is made:
    are in different components yet are confirmed on the full sets.
 5. Components of all links give each document the smallest doc_id it can reach.
 
-A link is found unless all bands miss it or its signature deviates by 4.2 standard
-deviations: at exactly 85 % and the default settings 2e-8 and 1.3e-5, above it less.
+A link is found unless all bands miss it or its signature deviates by 4.5 standard
+deviations: at exactly 85 % and the default settings 2e-8 and 3.4e-6, above it less.
 
 Null texts and texts without words have an empty set and are linked with nothing.
 Rows of equal doc_id are one document that has all their sets. Rows without
@@ -55,7 +55,7 @@ class Settings:
     def least_equal(self) -> int:
         """Equal places of two signatures below which the similarity is out of reach."""
         p = self.percent / 100
-        return int(self.hashes * (p - 4.2 * (p * (1 - p) / self.hashes) ** 0.5))
+        return int(self.hashes * (p - 4.5 * (p * (1 - p) / self.hashes) ** 0.5))
 
 
 class Hashes(dict):
@@ -197,11 +197,11 @@ def unsettled(members: DataFrame, centres: DataFrame, found: DataFrame, reps: Da
     placed = common.kept_table(placed.select("key", "id", "component", "cnt", "open"))
     left = placed.filter("open").groupBy("key").agg(F.count("*").alias("left"))
     rows = common.kept_table(placed.join(left, "key"))
-    rows = rows.join(having(reps.select("id", "n", "sig"), "id", rows.select("id")), "id")
+    rows = rows.join(having(reps.select("id", "n", "sig", "keys"), "id", rows.select("id")), "id")
     blocks = F.ceil(F.col("cnt") / s.block).cast("int")
     chunks = F.ceil(F.col("left") / s.block).cast("int")
     place = lambda n, seed: F.pmod(F.xxhash64("id", F.lit(seed)), n).cast("int")
-    columns = ["key", "id", "component", "n", "sig"]
+    columns = ["key", "id", "component", "n", "sig", "keys"]
     every = rows.select(*columns, F.lit(False).alias("probe"), place(blocks, 1).alias("block"), F.explode(F.sequence(F.lit(0), chunks - 1)).alias("chunk"))
     probes = rows.filter("open").select(*columns, F.lit(True).alias("probe"), F.explode(F.sequence(F.lit(0), blocks - 1)).alias("block"), place(chunks, 2).alias("chunk"))
 
@@ -210,16 +210,15 @@ def unsettled(members: DataFrame, centres: DataFrame, found: DataFrame, reps: Da
         if not len(a) or not len(b):
             return pd.DataFrame({"a": [], "b": []}, dtype="int64")
         sa, sb = matrix(a.sig, s.hashes), matrix(b.sig, s.hashes)
+        ka, kb = np.stack(a["keys"].to_list()), np.stack(b["keys"].to_list())
         band = int(group.key.iloc[0]) % MAX_BANDS
         ids, comps, sizes = b.id.to_numpy(), b.component.to_numpy(), b.n.to_numpy()
         out = []
         for k, (i, c, n) in enumerate(zip(a.id, a.component, a.n)):
             near = np.flatnonzero((comps != c) & (100 * np.minimum(sizes, n) >= s.percent * np.maximum(sizes, n)))
-            same = sb[near] == sa[k]
-            near, same = near[ok := same.sum(axis=1) >= s.least_equal], same[ok]
-            # a pair is reported in the first band that it shares
-            shared = same[:, : s.bands * s.rows].reshape(-1, s.bands, s.rows).all(axis=2)
-            near = near[shared.argmax(axis=1) == band]
+            near = near[alike(sb[near], sa[k]) >= s.least_equal]
+            # a pair is reported in the first bucket that it shares: by the keys, as bytes of unequal minima may be equal
+            near = near[~(kb[near, :band] == ka[k, :band]).any(axis=1)]
             out += [(min(i, j), max(i, j)) for j in ids[near].tolist()]
         return pd.DataFrame(out, columns=["a", "b"], dtype="int64").drop_duplicates()
 

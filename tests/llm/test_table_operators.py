@@ -107,6 +107,35 @@ def test_near_duplicates_of_the_test_table_and_edges(spark, edges, nothing):
     assert minhash.near_duplicates(nothing).count() == 0 == minhash.filter_documents(nothing).count()
 
 
+def test_pairs_that_no_centre_takes_part_in(spark):
+    """Bytes of the first band are equal by chance, its keys are not: the pairs meet in the crowded bucket of band 3 only."""
+    s = minhash.Settings(block=16)
+    rng = np.random.default_rng(2)
+
+    def key(band, value):
+        return value * minhash.MAX_BANDS + band
+
+    rows = [(0, 100, [key(k, 10**6 + k) if k != 3 else key(3, 7) for k in range(s.bands)], rng.bytes(s.hashes))]
+    want = set()
+    for i in range(1, 120, 2):
+        sig = rng.bytes(s.hashes)
+        for doc_id in (i, i + 1):
+            keys = [key(k, doc_id * 100 + k) for k in range(s.bands)]
+            keys[3] = key(3, 7)
+            rows.append((doc_id, 100, keys, sig))
+        want.add((i, i + 1))
+    # these share an earlier bucket of more than two as well, and are reported once
+    for r in rows[1:5]:
+        r[2][1] = key(1, 8)
+    reps = spark.createDataFrame(rows, "id bigint, n bigint, keys array<bigint>, sig binary")
+    banded = reps.select("id", F.explode("keys").alias("key"))
+    members = banded.join(banded.groupBy("key").agg(F.count("*").alias("cnt")).filter("cnt > 1"), "key")
+    centres = spark.createDataFrame([(key(3, 7), 0), (key(1, 8), 1)], "key bigint, centre bigint")
+    found = spark.createDataFrame([], "node bigint, component bigint")
+    got = [tuple(r) for r in minhash.unsettled(members, centres, found, reps, s).collect()]
+    assert sorted(got) == sorted(want)
+
+
 # --- search ------------------------------------------------------------------------
 
 
