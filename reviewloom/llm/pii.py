@@ -30,9 +30,28 @@ from reviewloom.llm import common
 ROUNDS = 10
 KINDS = ("email", "iban", "ip", "date", "ssn", "phone", "card")
 START, STOP = r"(?<![A-Za-z0-9])", r"(?![A-Za-z0-9])"
+#: Characters of an IBAN by country.
+IBAN_LENGTHS = {
+    15: "NO", 16: "BE", 18: "DK FI FK FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK", 21: "CH HR LI LV",
+    22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ OM SO TL", 24: "AD CZ ES MD PK RO SA SE SK TN VG", 25: "LY PT ST",
+    26: "IS TR", 27: "BI DJ FR GR IT MC MR SM", 28: "AL AZ BY CY DO GT HN HU LB NI PL SV", 29: "BR EG PS QA UA",
+    30: "JO KW MU YE", 31: "MT SC", 32: "LC", 33: "RU",
+}
+
+
+def iban_of_length(n: int, countries: str) -> str:
+    """In one run or in groups of four: a word that follows the last group is not taken for another one."""
+    groups, rest = divmod(n - 4, 4)
+    spaced = r"(?: [A-Z0-9]{4}){%d}" % groups + (r" [A-Z0-9]{%d}" % rest if rest else "")
+    return r"(?:%s)\d{2}(?:[A-Z0-9]{%d}|%s)%s" % (countries.replace(" ", "|"), n - 4, spaced, STOP)
+
+
+#: Of other countries and lengths: as far as the groups go.
+ANY_IBAN = r"[A-Z]{2}\d{2}(?:[A-Z0-9]{11,30}|(?: [A-Z0-9]{4}){2,7}(?: [A-Z0-9]{1,3})?)" + STOP
+IBAN = "|".join([*(iban_of_length(n, c) for n, c in IBAN_LENGTHS.items()), ANY_IBAN])
 PATTERNS = {
     "email": r"(?<![\p{L}\p{N}_.%+-])[\p{L}\p{N}_.%+-]++@[\p{L}\p{N}_-]++(?:\.[\p{L}\p{N}_-]++)+",
-    "iban": START + r"[A-Z]{2}\d{2}(?:[A-Z0-9]{11,30}|(?: [A-Z0-9]{4}){2,7}(?: [A-Z0-9]{1,3})?)" + STOP,
+    "iban": START + r"(?=[A-Z]{2}\d{2})(?:" + IBAN + ")",
     "ip": r"(?<![\w.])\d{1,3}(?:\.\d{1,3}){3}(?!\w|\.\d)",
     "date": START + r"(?:\d{4}-\d{2}-\d{2}|\d{2}/\d{2}/\d{4}|\d{2}\.\d{2}\.\d{4})" + STOP,
     "ssn": START + r"\d{3}-\d{2}-\d{4}" + STOP + r"(?!-\d)",

@@ -344,6 +344,17 @@ def test_pseudonyms_in_texts_and_edges(spark, edges, nothing):
     assert pii.pseudonymize_documents(nothing).count() == 0
 
 
+def test_words_behind_grouped_ibans_are_left_alone(spark):
+    ibans = ["ES91 2100 0418 4502 0005 1332", "BE68 5390 0754 7034", "AT61 1904 3002 3457 3201", "DE89 3704 0044 0532 0130 00",
+             "NO93 8601 1117 947", "GB82 WEST 1234 5698 7654 32"]
+    tails = [" BIC CAIXESBB", " USD 50", " 50 EUR", "", " A", ". END", " 4111 1111 1111 1111"]
+    texts = [f"IBAN {i}{t}" for i in ibans for t in tails]
+    alone = dict(zip(ibans, renamed(spark, ibans)))
+    card = renamed(spark, ["4111 1111 1111 1111"])[0]
+    assert all(alone[i] != i for i in ibans)
+    assert renamed(spark, texts) == [f"IBAN {alone[i]}{card.rjust(20) if len(t) == 20 else t}" for i in ibans for t in tails]
+
+
 def test_native_operators_run_no_python(spark):
     for name in ("op6_chat_format", "op9_pii"):
         plan = QUERIES[name](spark, TINY)._jdf.queryExecution().executedPlan().toString()
