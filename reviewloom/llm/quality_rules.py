@@ -61,9 +61,10 @@ class Rules:
 
 
 RATES = {
-    "symbols": Rate("n_symbols", "n_words", 1000, 5000, 40),
-    "word_length": Rate("word_chars", "n_words", 10, 1000, 12, below=True),
-    "dup_lines": Rate("n_dup_lines", "n_lines", 1000, 1000, 250),
+    "symbols": Rate("n_symbols", "n_words", 1000, 5000, 2),
+    "word_length": Rate("word_chars", "n_words", 10, 1000, 3, below=True),
+    # one line of three may be repeated, half of them may not
+    "dup_lines": Rate("n_dup_lines", "n_lines", 1000, 1000, 120),
 }
 
 

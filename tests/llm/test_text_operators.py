@@ -241,6 +241,19 @@ def test_quality_edges_and_filter(spark, edges, nothing):
     assert {r.doc_id for r in left.collect()} == set(range(40))
 
 
+def test_quality_fences_fire_and_follow_their_group(spark):
+    def text(i, symbols=0, menu=0):
+        lines = [" ".join(f"w{i}{chr(97 + k)}{j}" for j in range(10)) for k in range(10)]
+        lines = [f"{x}\nHome" if k < menu else x for k, x in enumerate(lines)]
+        return "\n".join(lines) + "#" * symbols
+
+    rows = [(i, text(i), "en", "plain") for i in range(100, 300)] + [(i, text(i, i % 20), "en", "code") for i in range(300, 500)]
+    odd = [(900, text(900, menu=10), "en", "plain"), (901, text(901, symbols=6), "en", "plain"), (902, text(902, menu=3), "en", "plain"),
+           (903, text(903, symbols=25), "en", "code")]
+    kept = {r.doc_id for r in quality_rules.verdicts(documents(spark, rows + odd)).filter("kept").collect()}
+    assert kept == {r[0] for r in rows} | {902, 903}
+
+
 @pytest.mark.parametrize("name", ["op1_secrets", "op2_language_id", "op5_bpe", "op8_toxicity"])
 def test_texts_are_not_shuffled(spark, name):
     plan = QUERIES[name](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
