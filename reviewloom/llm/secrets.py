@@ -4,9 +4,11 @@ Two models of character pairs are trained from labelled samples: random strings
 (secrets that the fixed shapes found, and strings drawn from common alphabets by
 seed) and ordinary identifiers (long words of the documents outside such finds,
 and plain numbers).
-A candidate, a long run of identifier characters that overlaps no base find, is
-reported as kind `markov` when the log-likelihood ratio of the two models, per
-character, exceeds the margin and the whole ratio exceeds the least evidence.
+A candidate, a long run of identifier characters outside base finds, is reported
+as kind `markov` when the log-likelihood ratio of the two models, per character,
+exceeds the margin and the whole ratio exceeds the least evidence. Of a run that
+does not, the parts between two of + / _ - = that do are reported, so ordinary
+words beside a random string do not hide it.
 
 Base finds are never dropped. Null text counts as empty. Ids, nulls and repeated
 rows of doc_id pass through as they are; other columns are ignored.
@@ -100,9 +102,12 @@ class PairModel:
                 np.add.at(counts, (np.concatenate([[n], c[:-1]]), c), 1)
         return cls(np.log(counts / counts.sum(axis=1, keepdims=True)))
 
-    def score(self, text: str) -> float:
+    def each(self, text: str) -> np.ndarray:
         c = self.codes(text)
-        return float(self.log_p[np.concatenate([[len(ALPHABET) + 1], c[:-1]]), c].sum()) if len(c) else 0.0
+        return self.log_p[np.concatenate([[len(ALPHABET) + 1], c[:-1]]), c] if len(c) else np.zeros(0)
+
+    def score(self, text: str) -> float:
+        return float(self.each(text).sum())
 
 
 def code_table() -> np.ndarray:
@@ -128,6 +133,9 @@ class Ratio:
         models = [PairModel.train(s for s, label in samples if label == k) for k in (0, 1)]
         return cls(models[1].log_p - models[0].log_p)
 
+    def each(self, text: str) -> np.ndarray:
+        return PairModel(self.log_ratio).each(text)
+
     def __call__(self, text: str) -> float:
         return PairModel(self.log_ratio).score(text)
 
@@ -159,6 +167,24 @@ def candidates(text: str, base: list[Span], find: Callable) -> list[tuple[int, i
     return out
 
 
+def outside(text: str, base: list[Span], find: Callable) -> list[tuple[int, int]]:
+    """Long runs of identifier characters, without the parts that base spans cover."""
+    out, k, least = [], 0, 16
+    for m in find(text):
+        start, end = m.span()
+        while k < len(base) and base[k][1] <= start:
+            k += 1
+        j = k
+        while j < len(base) and base[j][0] < end:
+            if base[j][0] - start >= least:
+                out.append((start, base[j][0]))
+            start = max(start, base[j][1])
+            j += 1
+        if end - start >= least:
+            out.append((start, end))
+    return out
+
+
 def labelled_samples(docs: DataFrame, s: Settings) -> DataFrame:
     """(string, label): base finds are random (1), other long words ordinary (0)."""
     rows = docs.count()
@@ -198,17 +224,42 @@ class Scanner:
     def __init__(self, ratio: Ratio, s: Settings):
         self.base, self.ratio, self.s = Base(), ratio, s
         self.find = re.compile(CANDIDATE).finditer
+        self.cut = re.compile(r"[+/_=-]").finditer
 
     def __call__(self, text: str) -> tuple[list[Span], list[Span]]:
         """(base spans, all spans)."""
         base = self.base.spans(text)
         more = []
-        for start, end in candidates(text, base, self.find):
-            r = self.ratio(text[start:end])
-            if r > self.s.evidence and r > self.s.margin * (end - start):
-                more.append((start, end, "markov"))
+        for start, end in outside(text, base, self.find):
+            more += [(start + a, start + b, "markov") for a, b in self.random_parts(text[start:end])]
         return base, ordered(base + more) if more else base
 
+    def random_parts(self, run: str) -> list[tuple[int, int]]:
+        """The whole run if it is random enough, else the parts between separators that exceed the margin most."""
+        each = self.ratio.each(run)
+        r = each.sum()
+        if r > self.s.evidence and r > self.s.margin * len(run):
+            return [(0, len(run))]
+        cuts = np.array([m.start() for m in self.cut(run)], np.int64)
+        if not len(cuts):
+            return []
+        begins, ends = np.append(0, cuts + 1), np.append(cuts, len(run))  # of the pieces
+        total = np.append(0.0, np.cumsum(each))
+        beyond = np.append(0.0, np.cumsum(each - self.s.margin))
+        out, left = [], [(0, len(begins))]
+        while left:
+            i, j = left.pop()
+            low = np.minimum.accumulate(beyond[begins[i:j]])
+            last = i + int((beyond[ends[i:j]] - low).argmax())
+            first = i + int(beyond[begins[i : last + 1]].argmin())
+            a, b = int(begins[first]), int(ends[last])
+            if beyond[b] <= beyond[a] or total[b] - total[a] <= self.s.evidence:
+                continue  # no other part has more evidence beyond its margin
+            if b - a >= 16:
+                out.append((a, b))
+            left += [(x, y) for x, y in ((i, first), (last + 1, j)) if x < y]
+        return sorted(out)
+
 
 def scan(docs: DataFrame, ratio: Ratio, s: Settings = Settings()) -> DataFrame:
     """doc_id, spans (array of start, end, kind; code points, end exclusive)."""
