@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
+from functools import cache
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -21,14 +22,20 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """A new path in the folder all executors share; a local one only if none is set (tests)."""
+    """A new path in the folder all executors share; one of this machine only in local mode (tests)."""
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
-        base = tempfile.mkdtemp(prefix="shared-")
-        spark.conf.set("spark.checkpoint.dir", base)
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
+        base = _local_folder()
     return f"{base.rstrip('/')}/{uuid.uuid4().hex}"
 
 
+@cache
+def _local_folder() -> str:
+    return tempfile.mkdtemp(prefix="shared-")
+
+
 def kept_table(df: DataFrame) -> DataFrame:
     """Write a table to the shared folder and read it back: lineage ends there."""
     path = shared_folder(df.sparkSession)

@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import corpus_pipeline
-from reviewloom.llm import bpe, chat, langid, minhash, packing, pii, pivots, quality_rules, secrets, toxicity
+from reviewloom.llm import (
+    bpe, chat, langid, merkle, minhash, oracles, packing, pii, pivots, quality_rules, secrets, toxicity, vector_codes,
+)
 
 _ALL = [
     secrets.op1_secrets,
@@ -16,6 +18,8 @@ _ALL = [
     toxicity.op8_toxicity,
     pii.op9_pii,
     quality_rules.op10_quality_rules,
+    merkle.op11_merkle,
+    vector_codes.op12_vector_codes,
 ]
 QUERIES = {f.__name__: f for f in _ALL} | {"pipeline": corpus_pipeline.run}
 
@@ -49,4 +53,6 @@ s AS (
   FROM v q JOIN v x ON q.vec_id % 100 = 0 AND q.vec_id <> x.vec_id)
 SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INT AS rank, vec_id, score
 FROM s QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) <= 10""",
+    "op11_merkle": oracles.MERKLE,
+    "op12_vector_codes": oracles.vector_codes(),
 }
