@@ -83,3 +83,19 @@ r AS (
 SELECT vec_id, code, error, (sum(error) OVER (PARTITION BY label))::BIGINT AS label_error,
   (SELECT sha256(string_agg(array_to_string(c, ','), ',' ORDER BY p, e)) FROM b{rounds}) AS codebooks_sha256
 FROM r"""
+
+SUFFIX_DEDUP = """
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id, encode(coalesce(text, '')) AS b FROM documents),
+w AS (
+  SELECT rid, doc_id, i, md5(b[i + 1 : i + 100]) AS s
+  FROM (SELECT rid, doc_id, b, unnest(range(greatest(octet_length(b) - 99, 0))) AS i FROM d)),
+f AS (SELECT rid, i, row_number() OVER (PARTITION BY s ORDER BY doc_id, i) AS k FROM w),
+g AS (SELECT rid, i, coalesce(i - lag(i) OVER (PARTITION BY rid ORDER BY i) > 100, true) AS first FROM f WHERE k > 1),
+r AS (SELECT rid, i, sum(first::INT) OVER (PARTITION BY rid ORDER BY i) AS run FROM g),
+s AS (SELECT rid, run, min(i) AS a, max(i) + 100 AS z FROM r GROUP BY rid, run),
+p AS (
+  SELECT rid, a, z, coalesce(lag(z) OVER (PARTITION BY rid ORDER BY z), 0) AS after FROM (
+    SELECT rid, a, z FROM s UNION ALL SELECT rid, octet_length(b), octet_length(b) + 1 FROM d))
+SELECT doc_id, octet_length(b)::BIGINT AS n_bytes, sum(least(z, octet_length(b)) - a)::BIGINT AS n_removed,
+  (count(*) - 1)::BIGINT AS n_spans, sha256(unhex(string_agg(hex(b[after + 1 : a]), '' ORDER BY a, z))) AS kept_sha256
+FROM p JOIN d USING (rid) GROUP BY rid, doc_id, b"""

@@ -4,7 +4,8 @@ from __future__ import annotations
 
 import corpus_pipeline
 from reviewloom.llm import (
-    bpe, chat, langid, merkle, minhash, oracles, packing, pii, pivots, quality_rules, secrets, toxicity, vector_codes,
+    bpe, chat, langid, merkle, minhash, oracles, packing, pii, pivots, quality_rules, repeats, secrets, toxicity,
+    vector_codes,
 )
 
 _ALL = [
@@ -20,6 +21,7 @@ _ALL = [
     quality_rules.op10_quality_rules,
     merkle.op11_merkle,
     vector_codes.op12_vector_codes,
+    repeats.op13_suffix_dedup,
 ]
 QUERIES = {f.__name__: f for f in _ALL} | {"pipeline": corpus_pipeline.run}
 
@@ -55,4 +57,5 @@ SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, v
 FROM s QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) <= 10""",
     "op11_merkle": oracles.MERKLE,
     "op12_vector_codes": oracles.vector_codes(),
+    "op13_suffix_dedup": oracles.SUFFIX_DEDUP,
 }

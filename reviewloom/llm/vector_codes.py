@@ -25,6 +25,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from reviewloom.llm import common
+from reviewloom.llm.common import slices
 
 LIMIT = 1 << 25
 STATE = "vec_id bigint, label int, v binary, code binary, error binary"
@@ -118,7 +119,7 @@ def assigned(rows: DataFrame, books: np.ndarray, moved: np.ndarray, width: int,
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
-            for batch in common.slices(whole, s.batch):
+            for batch in slices(whole, s.batch):
                 x = parts_of(batch["v"], width, s.parts)
                 code = error = None
                 if not first:
@@ -140,7 +141,7 @@ def sums(state: DataFrame, width: int, s: Settings) -> dict[tuple[int, int], tup
         total = np.zeros((s.parts, s.entries, width // s.parts), np.int64)
         count = np.zeros((s.parts, s.entries), np.int64)
         for whole in batches:
-            for batch in common.slices(whole, s.batch):
+            for batch in slices(whole, s.batch):
                 x = parts_of(batch["v"], width, s.parts)
                 code = np.frombuffer(b"".join(batch["code"].to_pylist()), np.uint8).reshape(-1, s.parts)
                 for p in range(s.parts):
@@ -177,7 +178,7 @@ def fit(vectors: DataFrame, s: Settings = Settings()) -> tuple[DataFrame, np.nda
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
-            for batch in common.slices(whole, s.batch):
+            for batch in slices(whole, s.batch):
                 v = blobs(matrix(batch["w"], width).astype(np.int32))
                 yield pa.RecordBatch.from_arrays([batch["vec_id"], batch["label"], v], names=["vec_id", "label", "v"])
 
