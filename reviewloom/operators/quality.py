@@ -4,22 +4,16 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from reviewloom.functions import text as T
 from reviewloom.functions import vectors as V
 from reviewloom.operators.chunk import chunk_array
-from reviewloom.operators.clean import clean_text
+from reviewloom.operators.clean import clean_text, observed  # noqa: F401
 from reviewloom.params import Params
 
 
-def observed(df: DataFrame, name: str) -> tuple[DataFrame, Observation]:
-    """Count rows as a side effect of the job that reads ``df``."""
-    seen = Observation(name)
-    return df.observe(seen, F.count(F.lit(1)).alias("rows")), seen
-
-
 def index_listing(vectors: DataFrame, metadata: DataFrame, key: str = "business_id") -> DataFrame:
     """Per business: how many vectors and metadata rows there are, and whether they pair."""
     v = vectors.groupBy(key).agg(F.count("*").alias("n_vectors"))
@@ -41,6 +35,47 @@ def index_integrity(vectors: DataFrame, metadata: DataFrame, key: str = "chunk_i
     return v.join(m, key, "full").select(key, missing.alias("missing")).filter("missing IS NOT NULL")
 
 
+def fingerprints(df: DataFrame, key: str = "business_id", ids: str = "chunk_key") -> DataFrame:
+    """Per key: rows and the sum of the hashes of their ids, which no order of rows changes."""
+    hashed = F.xxhash64(F.col(ids).cast("string")).cast("decimal(38,0)")
+    return df.groupBy(key).agg(F.count("*").alias("n"), F.sum(hashed).alias("total"))
+
+
+def differing_keys(vectors: DataFrame, metadata: DataFrame, key: str = "business_id", ids: str = "chunk_key") -> DataFrame:
+    """Keys whose sets of ids differ, by their fingerprints: one pass over each table, one small row per key."""
+    v, m = fingerprints(vectors, key, ids), fingerprints(metadata, key, ids)
+    both = v.select(key, F.struct("n", "total").alias("v")).alias("a").join(
+        m.select(key, F.struct("n", "total").alias("m")).alias("b"), F.col(f"a.{key}").eqNullSafe(F.col(f"b.{key}")), "full"
+    )
+    return both.filter(~F.col("v").eqNullSafe(F.col("m"))).select(F.coalesce(f"a.{key}", f"b.{key}").alias(key))
+
+
+def index_differences(vectors: DataFrame, metadata: DataFrame, key: str = "business_id", ids: str = "chunk_key") -> DataFrame:
+    """Ids that one table lacks, with their key; ids are joined only for keys whose fingerprints differ."""
+    wrong = differing_keys(vectors, metadata, key, ids).select(F.col(key).alias("_wrong"))
+
+    def suspects(df: DataFrame) -> DataFrame:
+        return df.select(key, F.col(ids)).join(wrong, F.col(key).eqNullSafe(F.col("_wrong")), "left_semi")
+
+    sides = [suspects(df).groupBy(key, ids).agg(F.lit(True).alias(name)) for df, name in ((vectors, "v"), (metadata, "m"))]
+    a, b = sides[0].alias("a"), sides[1].alias("b")
+    same = F.col(f"a.{key}").eqNullSafe(F.col(f"b.{key}")) & F.col(f"a.{ids}").eqNullSafe(F.col(f"b.{ids}"))
+    missing = F.when(F.col("m").isNull(), "metadata").when(F.col("v").isNull(), "vector")
+    found = a.join(b, same, "full").select(
+        F.coalesce(f"a.{key}", f"b.{key}").alias(key), F.coalesce(f"a.{ids}", f"b.{ids}").alias(ids), missing.alias("missing")
+    )
+    return found.filter("missing IS NOT NULL")
+
+
+def require_pairs(vectors: DataFrame, metadata: DataFrame, key: str = "business_id", ids: str = "chunk_key") -> None:
+    """Fail when vectors and metadata of a business do not pair one to one, and say which id is alone."""
+    wrong = differing_keys(vectors, metadata, key, ids).first()
+    if wrong is not None:
+        alone = index_differences(vectors, metadata, key, ids).first()
+        what = f"{ids} {alone[1]} of {key} {alone[0]} lacks its {alone['missing']}" if alone else f"{ids} repeats in {key} {wrong[0]}"
+        raise KeyError(f"vectors and metadata do not pair: {what}")
+
+
 def require_metadata(vectors: DataFrame, metadata: DataFrame, key: str = "business_id") -> None:
     """Fail when a business has vectors but no metadata."""
     names = vectors.select(key).distinct()
@@ -92,6 +127,16 @@ def cleaning_report(df: DataFrame, col: str = "text", min_chars: int = 30) -> Da
     )
 
 
+def counted_report(df: DataFrame, counts: dict[str, int]) -> DataFrame:
+    """The report of :func:`cleaning_report` from numbers counted while a stage was written."""
+    n = {name: F.lit(value).cast("bigint") for name, value in counts.items()}
+    one = df.sparkSession.range(1)
+    return one.select(
+        *(c.alias(name) for name, c in n.items()),
+        (n["n_input"] - n["n_clean"]).alias("dropped_cleaning"), (n["n_clean"] - n["n_unique"]).alias("dropped_dedup"),
+    )
+
+
 def cleaning_funnel(reviews: DataFrame, params: Params = Params()) -> DataFrame:
     """Rows and distinct businesses of reviews, clean, unique and chunks, in one pass over the texts.
 

@@ -16,6 +16,28 @@ def hint_small(df: DataFrame, max_rows: int) -> DataFrame:
     return F.broadcast(df) if max_rows <= BROADCAST_ROWS else df
 
 
+def row_bytes(df: DataFrame) -> Column:
+    """About how many bytes a row takes: texts as they are, 16 for any other value."""
+    texts = [F.coalesce(F.octet_length(f.name), F.lit(0)) for f in df.schema if f.dataType.typeName() in ("string", "binary")]
+    others = [f for f in df.schema if f.dataType.typeName() not in ("string", "binary", "array", "map", "struct")]
+    nested = [
+        F.coalesce(F.octet_length(F.to_json(F.struct(f.name))), F.lit(0))
+        for f in df.schema if f.dataType.typeName() in ("array", "map", "struct")
+    ]
+    return sum((*texts, *nested), F.lit(16 * (len(others) + len(texts)))).cast("bigint")
+
+
+def hint_measured(df: DataFrame, of: DataFrame, key: str, max_keys: int, most: int = 64 << 20) -> DataFrame:
+    """Broadcast rows of ``of`` for at most ``max_keys`` keys only when their size has a proven bound.
+
+    The bound is the ``max_keys`` times the largest bytes that one key has in ``of``, rows
+    that repeat a key included; measuring it moves keys and numbers.
+    """
+    per_key = of.groupBy(key).agg(F.sum(row_bytes(of)).alias("bytes"))
+    largest = per_key.agg(F.max("bytes")).first()[0] or 0
+    return F.broadcast(df) if max_keys * largest <= most else df
+
+
 def top_per_group(
     df: DataFrame,
     keys: Sequence[str],

@@ -2,19 +2,27 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from reviewloom.functions.vectors import batch_scores, check_metric
 from reviewloom.operators.ranking import top_per_group
+from reviewloom.sources import tables
 
-#: Bytes of query vectors that one pass over the chunks is scored against.
+#: Queries that travel with the plan; a table of more is joined block by block.
+FEW = 64
+#: Bytes of query vectors in one block, and of all blocks that may be broadcast.
 BLOCK_BYTES = 8 << 20
+BROADCAST_BYTES = 64 << 20
+#: Vectors in one block.
+BLOCK_ROWS = 2048
 RESULT_COLUMNS = (
     "topic", "score", "rank", "chunk_id", "business_id",
     "restaurant_name", "stars", "review_id", "chunk",
@@ -24,23 +32,15 @@ KEYS = ("chunk_key", "chunk_id")
 Topics = DataFrame | Sequence[tuple[str, Sequence[float]]]
 
 
-def query_blocks(topics: Topics) -> Iterator[tuple[list[str], np.ndarray]]:
-    """(names, matrix) of query vectors, in blocks of at most BLOCK_BYTES.
-
-    A table of topics is read row by row, so that no more than a block is held at a time.
-    """
-    rows = topics.select("topic", "qvec").toLocalIterator() if isinstance(topics, DataFrame) else topics
-    names: list[str] = []
-    vectors: list[np.ndarray] = []
-    for name, vector in rows:
-        v = np.asarray(vector, dtype=np.float64)
-        if names and (len(names) * v.nbytes >= BLOCK_BYTES or len(v) != len(vectors[0])):
-            yield names, np.stack(vectors)
-            names, vectors = [], []
-        names.append(name)
-        vectors.append(v)
-    if names:
-        yield names, np.stack(vectors)
+def few_topics(topics: Topics, few: int = FEW) -> tuple[list[str], np.ndarray] | None:
+    """(names, matrix) of a list, or of a table of at most ``few`` topics; no more rows than that come to the driver."""
+    rows = topics.select("topic", "qvec").limit(few + 1).collect() if isinstance(topics, DataFrame) else list(topics)
+    if isinstance(topics, DataFrame) and len(rows) > few:
+        return None
+    width = max((len(v) for _, v in rows), default=0)
+    if any(len(v) != width for _, v in rows):
+        raise ValueError("query vectors differ in length")
+    return [name for name, _ in rows], np.array([v for _, v in rows], dtype=np.float64).reshape(len(rows), width)
 
 
 def _matrix(column: pd.Series, dim: int) -> np.ndarray:
@@ -65,32 +65,59 @@ def score(
     vector_col: str = "embedding",
     keep_vector: bool = False,
 ) -> DataFrame:
-    """One row per (chunk, topic) with a double ``score``.
+    """One row per (chunk, topic) with a double ``score``, for a list or at most FEW rows of topics.
 
     Vectors stay where they are: every Arrow batch of them is multiplied with the
-    matrix of query vectors, which travels with the task. One pass over the chunks
-    serves BLOCK_BYTES of query vectors. Of all pairs most callers need only the
-    best, see :func:`score_topk`.
+    matrix of query vectors, which travels with the task. Of all pairs most callers
+    need only the best, see :func:`score_topk`, which takes any number of queries.
     """
     check_metric(metric)
+    few = few_topics(topics)
+    if few is None:
+        raise ValueError(f"more than {FEW} topics: use score_topk")
+    names, queries = few
     kept = [c for c in chunks.columns if keep_vector or c != vector_col]
-    scored = chunks.select(*kept, F.lit("").alias("topic"), F.lit(0.0).alias("score")).limit(0)
-    for k, (names, queries) in enumerate(query_blocks(topics)):
-        # the outer form: for the inner one Spark infers a filter that computes the scores again
-        places = chunks.select(*kept, F.posexplode_outer(_scores(vector_col, queries, metric)).alias("_i", "score"))
-        topic = F.array(*map(F.lit, names))[F.col("_i")]
-        block = places.select(*kept, topic.alias("topic"), "score")
-        scored = block if k == 0 else scored.unionByName(block)
-    return scored
+    if not names:
+        return chunks.select(*kept, F.lit("").alias("topic"), F.lit(0.0).alias("score")).limit(0)
+    # the outer form: for the inner one Spark infers a filter that computes the scores again
+    places = chunks.select(*kept, F.posexplode_outer(_scores(vector_col, queries, metric)).alias("_i", "score"))
+    return places.select(*kept, F.array(*map(F.lit, names))[F.col("_i")].alias("topic"), "score")
+
+
+def block_best(own: pd.DataFrame, scores: np.ndarray, k: int, metric: str, ties: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """(row, query) of the k best rows per business and query of a block, all queries at once."""
+    order = own.reset_index(drop=True).sort_values(["business_id", *ties], kind="stable").index.to_numpy()
+    business = own["business_id"].to_numpy()[order]
+    new = np.append(True, business[1:] != business[:-1]) if len(order) else np.zeros(0, bool)
+    cost = scores[order] if metric == "l2" else -scores[order]
+    rows, queries = [], []
+    starts = np.flatnonzero(new)
+    for a, z in zip(starts, np.append(starts[1:], len(order))):
+        part = cost[a:z]
+        if z - a > k:
+            limit = np.partition(part, k - 1, axis=0)[k - 1]
+            best = part <= limit
+            crowded = np.flatnonzero(best.sum(axis=0) > k)  # equals at the limit: the first ones in order of ids
+            if len(crowded):
+                first = np.argsort(part[:, crowded], axis=0, kind="stable")[:k]
+                best[:, crowded] = False
+                best[first, crowded] = True
+        else:
+            best = np.ones(part.shape, bool)
+        r, q = np.nonzero(best)
+        rows.append(order[a + r])
+        queries.append(q)
+    return (np.concatenate(rows), np.concatenate(queries)) if rows else (np.zeros(0, int), np.zeros(0, int))
 
 
 def score_topk(
-    chunks: DataFrame, topics: Topics, k: int = 25, metric: str = "ip", vector_col: str = "embedding"
+    chunks: DataFrame, topics: Topics, k: int = 25, metric: str = "ip", vector_col: str = "embedding", few: int = FEW
 ) -> DataFrame:
     """The k best chunks per (business, topic), without a row for any other pair.
 
-    Each Arrow batch emits its own k best per (business, topic); these few rows of
-    ids and scores are then ranked per map task and in all.
+    A few topics travel with the task; each Arrow batch emits its own k best per
+    (business, topic), and these rows of ids and scores are ranked per map task and in
+    all. A table of queries is cut into blocks, see :func:`blocks_topk`.
     """
     check_metric(metric)
     ids = [c for c in ("business_id", "review_id", *KEYS) if c in chunks.columns]
@@ -99,25 +126,94 @@ def score_topk(
     schema = T.StructType([
         *(chunks.schema[c] for c in ids), T.StructField("topic", T.StringType()), T.StructField("score", T.DoubleType())
     ])
-    found = None
-    for names, queries in query_blocks(topics):
-
-        def best(
-            batches: Iterator[pd.DataFrame], names: list = names, queries: np.ndarray = queries
-        ) -> Iterator[pd.DataFrame]:
-            for batch in batches:
-                scores = batch_scores(_matrix(batch[vector_col], queries.shape[1]), queries, metric)
-                own = batch[ids]
-                for j, name in enumerate(names):
-                    made = own.assign(topic=name, score=scores[:, j])
-                    made = made.sort_values(["score", *ties], ascending=[metric == "l2", *(True for _ in ties)])
-                    yield made.groupby("business_id", sort=False, dropna=False).head(k)
-
-        block = narrow.mapInPandas(best, schema)
-        found = block if found is None else found.unionByName(block)
-    if found is None:
-        found = narrow.select(*ids, F.lit("").alias("topic"), F.lit(0.0).alias("score")).limit(0)
-    return topic_topk(found, k, metric)
+    held = few_topics(topics, few)
+    if held is None:
+        return topic_topk(blocks_topk(narrow, topics, ids, ties, k, metric, schema), k, metric)
+    names, queries = held
+    if not names:
+        return narrow.select(*ids, F.lit("").alias("topic"), F.lit(0.0).alias("score")).limit(0)
+
+    def best(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            scores = batch_scores(_matrix(batch[vector_col], queries.shape[1]), queries, metric)
+            rows, at = block_best(batch[ids], scores, k, metric, ties)
+            made = batch[ids].iloc[rows]
+            yield made.assign(topic=np.array(names, dtype=object)[at], score=scores[rows, at])
+
+    return topic_topk(narrow.mapInPandas(best, schema), k, metric)
+
+
+def _listed(df: DataFrame, rows: int) -> DataFrame:
+    """Blocks of up to so many rows, each one row of arrays; nothing is shuffled."""
+    schema = T.StructType([T.StructField(f.name, T.ArrayType(f.dataType)) for f in df.schema])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for start in range(0, batch.num_rows, rows):
+                part = batch.slice(start, rows)
+                ends = pa.array([0, part.num_rows], pa.int32())
+                lists = [pa.ListArray.from_arrays(ends, c) for c in part.columns]
+                yield pa.RecordBatch.from_arrays(lists, names=part.schema.names)
+
+    return df.mapInArrow(run, schema)
+
+
+def blocks_topk(
+    narrow: DataFrame, topics: DataFrame, ids: list[str], ties: list[str], k: int, metric: str, schema: T.StructType
+) -> DataFrame:
+    """Each vector block times each query block: the k best per (business, topic) of every pair of blocks.
+
+    The product is a join on the number of the query block. Query blocks are broadcast when
+    their measured size allows it, and vectors stay in place. Beyond that both sides are
+    dealt over (query block, share), so a pair of blocks is the largest thing a task holds.
+    The plan is the same for any number of queries.
+    """
+    spark, vector_col = narrow.sparkSession, narrow.columns[-1]
+    stored = tables.scratch(spark)
+    tables.write_table(topics.select("topic", "qvec"), stored)
+    queries = tables.read_table(spark, stored)
+    n, width = queries.agg(F.count("*"), F.max(F.size("qvec"))).first()
+    size = n * (width or 0) * 4
+    blocks = max(1, math.ceil(size / BLOCK_BYTES))
+    block = F.pmod(F.xxhash64("topic"), F.lit(blocks)).cast("int")
+    sides = queries.groupBy(block.alias("_q")).agg(F.collect_list("topic").alias("_names"), F.collect_list("qvec").alias("_qvecs"))
+    vectors = _listed(narrow, BLOCK_ROWS).withColumn("_q", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
+    if size <= BROADCAST_BYTES:
+        pairs = vectors.join(F.broadcast(sides), "_q")
+    else:
+        shares = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        share = F.pmod(F.xxhash64(*ids), F.lit(shares)).cast("int")
+        dealt = sides.withColumn("_share", F.explode(F.sequence(F.lit(0), F.lit(shares - 1))))
+        pairs = vectors.withColumn("_share", share).join(dealt.hint("shuffle_hash"), ["_q", "_share"])
+    out = pa.schema([*((c, narrow_type) for c, narrow_type in _arrow_types(schema))])
+
+    def best(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(batch.num_rows):
+                own = pd.DataFrame({c: batch[c][i].values.to_pandas() for c in ids})
+                v, q = (_dense(batch[c][i].values) for c in (vector_col, "_qvecs"))
+                names = batch["_names"][i].values
+                scores = batch_scores(v, q, metric)
+                rows, at = block_best(own, scores, k, metric, ties)
+                columns = [batch[c][i].values.take(pa.array(rows)) for c in ids]
+                columns += [names.take(pa.array(at)), pa.array(scores[rows, at])]
+                yield pa.RecordBatch.from_arrays(columns, names=out.names).cast(out)
+
+    return pairs.select(*ids, vector_col, "_names", "_qvecs").mapInArrow(best, schema)
+
+
+def _arrow_types(schema: T.StructType) -> list[tuple[str, pa.DataType]]:
+    from pyspark.sql.pandas.types import to_arrow_schema
+
+    return [(f.name, f.type) for f in to_arrow_schema(schema)]
+
+
+def _dense(lists: pa.Array) -> np.ndarray:
+    """Lists of one length as rows of a matrix."""
+    lengths = np.unique(lists.value_lengths().to_numpy(zero_copy_only=False))
+    if len(lengths) != 1:
+        raise ValueError(f"expected vectors of one length, found {lengths.tolist()}")
+    return lists.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(len(lists), -1)
 
 
 def best_first(df: DataFrame, metric: str = "ip") -> list[Column]:
@@ -171,7 +267,8 @@ def attach(ranked: DataFrame, details: DataFrame, key: str | None = None) -> Dat
     """
     key = key or next(c for c in KEYS if c in ranked.columns and c in details.columns)
     extra = [c for c in details.columns if c == key or c not in ranked.columns]
-    joined = ranked.join(details.select(*extra), key)
+    # the winners are the side that is held: details stream by unsorted, and in place if bucketed by the key
+    joined = details.select(*extra).join(ranked.hint("shuffle_hash"), key)
     row = [c for c in (key, "business_id", "topic", "rank") if c in ranked.columns]
     twice = F.count("*").over(Window.partitionBy(*row)) > 1
     checked = F.when(twice, F.raise_error(F.concat(F.lit(f"{key} is not unique: "), F.col(key).cast("string")))).otherwise(

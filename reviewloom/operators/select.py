@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+import math
 import secrets
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from reviewloom.operators.ranking import hint_small
+from reviewloom.operators.ranking import hint_measured, hint_small
 from reviewloom.params import SUFFIXES, Params
 
 
@@ -40,16 +41,54 @@ def join_entities(
     suffixes: tuple[str, str] = SUFFIXES,
     null_policy: str = "any",
     required: Sequence[str] = (),
+    parts: int | None = None,
 ) -> DataFrame:
     """Inner join without nulls.
 
     "No null in any joined column" equals "no null on either side" for an inner
-    join, so nulls go before the shuffle rather than after it.
+    join, so nulls go before the shuffle rather than after it. With ``parts``, the number
+    of partitions to spread over, keys with many reviews are looked for and cut into shares.
     """
     left, right = suffix_shared(reviews, businesses, on, suffixes)
     left = drop_nulls(left, null_policy, [on, *required])
     right = drop_nulls(right, null_policy, [on, *required])
-    return left.join(right, on, "inner")
+    return left.join(right, on, "inner") if parts is None else salted_join(left, right, on, heavy_keys(left, on, parts))
+
+
+def heavy_keys(df: DataFrame, key: str, parts: int, tracked: int = 10_000) -> dict[str, int]:
+    """Keys that may hold more than half a part of the rows, with the shares to cut each into.
+
+    One pass over the key column fills a frequent-items sketch of bounded size per task;
+    sketches are merged. No more than 2 x ``parts`` keys can hold as much, and no such key is
+    missed while ``tracked`` is well above that. Counts of a sketch are at least the true ones.
+    """
+    tracked = max(tracked, 8 * parts)
+    # the items of a sketch have a plain type; their text tells keys of any type apart
+    text = F.col(key).cast("string")
+    sketch = F.expr(f"approx_top_k(`_text`, {min(2 * parts, 10_000)}, {min(tracked, 1_000_000)})")
+    found = df.select(text.alias("_text")).filter("_text IS NOT NULL").agg(F.count("*").alias("n"), sketch.alias("top")).first()
+    fair = max(1.0, found["n"] / parts)
+    return {r["item"]: math.ceil(4 * r["count"] / fair) for r in found["top"] or [] if r["count"] > fair / 2}
+
+
+def salted_join(left: DataFrame, right: DataFrame, on: str, heavy: dict[str, int]) -> DataFrame:
+    """Inner join that cuts the rows of heavy keys on the left into shares.
+
+    Rows of such keys on the right are repeated for each share; all other rows have share 0.
+    Shares follow the row numbers of map tasks, so they are even; there are several for each
+    partition, as some meet again by their hash.
+    """
+    if not heavy:
+        return left.join(right, on)
+    shares = left.sparkSession.createDataFrame(list(heavy.items()), "_heavy string, _shares int")
+
+    def counted(df: DataFrame) -> DataFrame:
+        looked_up = df.join(F.broadcast(shares), F.col(on).cast("string") == F.col("_heavy"), "left")
+        return looked_up.withColumn("_shares", F.coalesce("_shares", F.lit(1))).drop("_heavy")
+
+    dealt = counted(left).withColumn("_share", F.pmod(F.monotonically_increasing_id(), F.col("_shares")).cast("int"))
+    repeated = counted(right).withColumn("_share", F.explode(F.sequence(F.lit(0), F.col("_shares") - 1)))
+    return dealt.drop("_shares").join(repeated.drop("_shares"), [on, "_share"]).drop("_share")
 
 
 def category_filter(df: DataFrame, col: str, include: str, exclude: str) -> DataFrame:
@@ -101,8 +140,8 @@ def sample_reviews(reviews: DataFrame, businesses: DataFrame, params: Params) ->
     over (business, review), so a business with a large share of all reviews does
     not skew it. The join for the category then sees one row per business. A sample
     of business rows, at most ``n_entities`` of them, is broadcast to the reviews, so
-    these are not shuffled. Without a sample the join is left to Spark, whose
-    adaptive execution splits the partition of a business with many reviews.
+    these are not shuffled, if the drawn number of the largest businesses would still be
+    small. Without a sample the reviews of a business with many of them are cut into shares.
     """
     p = params
     key = p.col_entity
@@ -117,5 +156,6 @@ def sample_reviews(reviews: DataFrame, businesses: DataFrame, params: Params) ->
     found = select_entities(wanted, chosen, key, p.n_entities)
     reviews_, businesses_ = suffix_shared(usable, found, key)
     if p.n_entities is not None:
-        businesses_ = hint_small(businesses_, p.n_entities)
-    return reviews_.join(businesses_, key)
+        return reviews_.join(hint_measured(businesses_, wanted, key, p.n_entities), key)
+    parts = int(reviews.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return salted_join(reviews_, businesses_, key, heavy_keys(usable, key, parts))

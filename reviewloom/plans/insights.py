@@ -60,8 +60,9 @@ def run(
 
     With ``out`` each stage table is written and the next stage reads it, which cuts
     lineage, survives lost executors and lets model calls happen once. Beside them
-    go reports: rows and businesses per stage, what cleaning dropped, and the (business,
-    topic) pairs without excerpts. Vectors without metadata fail the run.
+    go reports: rows and businesses per stage, what cleaning dropped (counted while it was
+    written), and the (business, topic) pairs without excerpts. Vectors and chunks that do
+    not pair one to one, by key, fail the run.
     """
     written: dict[str, DataFrame] = {}
 
@@ -75,13 +76,19 @@ def run(
     topics = list(params.topics)
     sampled = select.sample_reviews(reviews, businesses.drop(params.col_order), params)
     sampled = stage("reviews_df", sampled)
-    chunks = stage("review_chunks", prepared_chunks(sampled, params))
+    if out is None:
+        chunks = prepared_chunks(sampled, params)
+    else:
+        # texts are cleaned once, counted as they are written, and never shuffled
+        unique, counts = clean.clean_stage(sampled, f"{out}/clean_reviews", params)
+        tables.write_table(quality.counted_report(unique, counts), f"{out}/cleaning_report")
+        chunks = stage("review_chunks", chunk.review_chunks(unique, params))
     vectors = embed.embed(chunks, "chunk", embedder, normalize=params.normalize)
     if out is not None:
         tables.write_vectors(vectors, f"{out}/chunk_vectors", buckets=params.vector_buckets)
         # rank ids only; the text of the few winners is looked up in the chunk table
         vectors = tables.read_vectors(vectors.sparkSession, f"{out}/chunk_vectors")
-        quality.require_metadata(vectors, chunks)
+        quality.require_pairs(vectors, chunks)
         vectors = vectors.select("chunk_key", "chunk_id", "business_id", "review_id", "embedding")
     # without a stage table too, the text of the winners comes from the chunks
     text = chunks.select("chunk_key", "restaurant_name", "stars", "chunk")
@@ -91,8 +98,6 @@ def run(
     if out is not None:
         entities = chunks.select("business_id").distinct()
         tables.write_table(quality.empty_topics(entities, topics, retrieved), f"{out}/empty_topics")
-        cleaning = quality.cleaning_report(sampled, params.col_text, params.min_chars)
-        tables.write_table(cleaning, f"{out}/cleaning_report")
         tables.write_table(quality.run_report(written), f"{out}/run_report")
     wide = summarize.pivot_summaries(long, topics)
     return stage("summaries", summarize.summaries_by_name(wide, topics))

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from reviewloom.params import PROMPT_EXCERPT, PROMPT_HEADER, TOPICS
-from reviewloom.plans.queries import AD_HOC, HEAD, INSIGHTS, SELECTION
+from reviewloom.plans.queries import AD_HOC, HEAD, HEAD_LINES, INSIGHTS, SELECTION
 
 _SPACE = (
     r"[\x{09}-\x{0d}\x{1c}-\x{20}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}"
@@ -257,6 +257,8 @@ def _stage(name: str, source: str) -> str:
     )
 
 
+_ROUND_TRIP = "review_id, business_id, name, stars AS stars_reviews, date, text"
+
 ORACLES: dict[str, str] = {
     "head_rows": f"SELECT o_orderkey, o_custkey FROM orders ORDER BY o_orderkey LIMIT {HEAD}",
     "json_props": "SELECT event_id, cast(json_extract(props, '$.k') AS bigint) AS k FROM events",
@@ -269,6 +271,9 @@ ORACLES: dict[str, str] = {
                o_totalprice AS amount_reviews, c_acctbal AS amount_restaurant
         FROM orders JOIN customer ON c_custkey = o_custkey""",
     "review_business_join": f"SELECT {_JOINED_PARTS}",
+    "hot_key_join": f"SELECT {_JOINED_PARTS}".replace(
+        "lineitem", "(SELECT * REPLACE (CASE WHEN l_linenumber % 2 = 1 THEN 1 ELSE l_partkey END AS l_partkey) FROM lineitem) lineitem"
+    ),
     "category_filter": f"""
         SELECT p_partkey AS business_id, p_name AS name FROM part WHERE {_WANTED_PARTS}""",
     "eligible_keys": _sql("SELECT * FROM eligible", _ELIGIBLE),
@@ -290,6 +295,30 @@ ORACLES: dict[str, str] = {
         _SOURCE | {"reviews": _SOURCE["reviews"].replace(" text,", " replace(text, chr(10), ' ') AS text,")},
     ),
     "dedup_text": _sql("SELECT review_id, text FROM uniq", _SOURCE),
+    "cleaning_counted": _sql(
+        """SELECT *, n_input - n_clean AS dropped_cleaning, n_clean - n_unique AS dropped_dedup
+           FROM (SELECT (SELECT count(*) FROM reviews) AS n_input, (SELECT count(*) FROM cleaned) AS n_clean,
+                        (SELECT count(*) FROM uniq) AS n_unique)""",
+        _SOURCE,
+    ),
+    "json_lines": _sql(f"SELECT {_ROUND_TRIP} FROM reviews", _SOURCE),
+    "json_head": _sql(f"SELECT {_ROUND_TRIP} FROM reviews ORDER BY ordinal LIMIT {HEAD_LINES}", _SOURCE),
+    "csv_round_trip": _sql(f"SELECT {_ROUND_TRIP} FROM reviews", _SOURCE),
+    "parquet_round_trip": _sql(f"SELECT {_ROUND_TRIP}, ordinal FROM reviews", _SOURCE),
+    "vector_refresh": _sql(
+        """SELECT chunk_id, business_id, review_id, round(CASE WHEN business_id = (SELECT min(business_id) FROM vectors)
+                  THEN (embedding[1] / 2)::float ELSE embedding[1] END::double, 6) AS first FROM vectors""",
+        _STORED,
+    ),
+    "bucketed_lookup": _sql(
+        f"SELECT topic, {_FOUND} FROM found WHERE business_id = (SELECT min(business_id) FROM reviews)", *_SEARCH
+    ),
+    "index_differences": """
+        WITH m AS (SELECT label, CASE WHEN vec_id % 97 = 5 THEN vec_id + 1000000007 ELSE vec_id END AS vec_id FROM embeddings)
+        SELECT label::bigint AS business_id, vec_id AS chunk_key, 'metadata' AS missing
+        FROM (SELECT label, vec_id FROM embeddings EXCEPT SELECT label, vec_id FROM m)
+        UNION ALL
+        SELECT label, vec_id, 'vector' FROM (SELECT label, vec_id FROM m EXCEPT SELECT label, vec_id FROM embeddings)""",
     "chunk_first": _sql(
         """SELECT 0::bigint AS chunk_index, substring(text, 1, 1000) AS chunk, business_id, review_id,
                   name AS restaurant_name, review_id || '_0' AS chunk_id,
@@ -356,6 +385,7 @@ ORACLES: dict[str, str] = {
         _topics(),
         _stored_scores(_IP),
     ),
+    "batch_retrieval": _sql(f"SELECT topic, {_FOUND} FROM found", *_SEARCH),
     "topic_retrieval": _sql(f"SELECT topic, {_FOUND} FROM found", *_SEARCH),
     "retrieval_l2": _sql(
         """SELECT topic, round(score, 6) AS score, rank, chunk_id, business_id, review_id FROM (

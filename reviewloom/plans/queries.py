@@ -7,6 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from reviewloom.functions import vectors as V
 from reviewloom.operators import (
@@ -21,8 +22,9 @@ from reviewloom.operators import (
     summarize,
 )
 from reviewloom.params import TOPICS
-from reviewloom.plans import insights, views
+from reviewloom.plans import incremental, insights, views
 from reviewloom.plans.views import PARAMS, table
+from reviewloom.sources import jsonl, tables
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -35,7 +37,10 @@ INSIGHTS = dataclasses.replace(
     PARAMS, include="e", exclude="de|fr", min_reviews=3, n_entities=10, head_rows=None
 )
 INSIGHTS_ALL = dataclasses.replace(INSIGHTS, n_entities=None)
+FEW_FOLDERS = dataclasses.replace(PARAMS, vector_buckets=8)
 HEAD = 5000
+HEAD_LINES = 300
+HOT_PARTS = 16
 AD_HOC = "quiet table, slow service and cold soup"
 TOPIC_LIST = list(TOPICS)
 
@@ -112,6 +117,15 @@ def review_business_join(spark, folder):
     return _big(joined, "line").drop("categories")
 
 
+@query
+def hot_key_join(spark, folder):
+    """As review_business_join, with half of all reviews moved to one business."""
+    key = F.when(F.col("line") % 2 == 1, F.lit(1).cast("bigint")).otherwise(F.col("business_id"))
+    reviews = views.part_reviews(spark, folder).withColumn("business_id", key)
+    joined = select.join_entities(reviews, views.parts(spark, folder), parts=HOT_PARTS)
+    return _big(joined, "line").drop("categories")
+
+
 @query
 def category_filter(spark, folder):
     kept = select.category_filter(
@@ -150,6 +164,60 @@ def union_batches(spark, folder):
     return _big(explore.union_batches(first, second), "n_chars")
 
 
+# --- stored and read again -------------------------------------------------------
+
+JSON_FIELDS = "review_id string, business_id string, name string, stars_reviews double, date string, text string"
+
+
+def _json_lines(spark, folder):
+    """The reviews as JSON Lines in the shared folder, several files in order of ids."""
+    path = tables.scratch(spark)
+    _reviews(spark, folder).repartitionByRange(4, "ordinal").sortWithinPartitions("ordinal").drop("ordinal").write.json(path)
+    return path, T._parse_datatype_string(JSON_FIELDS)
+
+
+@query
+def json_lines(spark, folder):
+    path, schema = _json_lines(spark, folder)
+    return jsonl.read_jsonl(spark, path, schema).drop("ordinal")
+
+
+@query
+def json_head(spark, folder):
+    """The first lines of several files."""
+    path, schema = _json_lines(spark, folder)
+    return jsonl.read_jsonl(spark, path, schema, HEAD_LINES).drop("ordinal")
+
+
+@query
+def csv_round_trip(spark, folder):
+    """Texts with line ends and quotes, in small CSV files and back; an empty text comes back as null."""
+    path, reviews = tables.scratch(spark), _reviews(spark, folder).drop("ordinal")
+    tables.write_csv(reviews, path, rows_per_file=500)
+    return tables.read_csv(spark, path, T._parse_datatype_string(JSON_FIELDS))
+
+
+@query
+def parquet_round_trip(spark, folder):
+    """A stage table that is replaced: only what was written last is read."""
+    path, reviews = tables.scratch(spark), _reviews(spark, folder)
+    tables.write_table(reviews.limit(1), path)
+    tables.write_table(reviews, path)
+    return tables.read_table(spark, path)
+
+
+@query
+def vector_refresh(spark, folder):
+    """Stored vectors by business, then the vectors of one business halved and put in place of the old ones."""
+    path, vectors = tables.scratch(spark), views.stored_vectors(spark, folder)
+    tables.write_vectors(vectors, path)
+    first = vectors.agg(F.min("business_id")).first()[0]
+    half = F.transform("embedding", lambda x: (x / 2).cast("float"))
+    tables.write_vectors(vectors.filter(F.col("business_id") == first).withColumn("embedding", half), path, refresh=True)
+    stored = tables.read_vectors(spark, path)
+    return stored.select("chunk_id", "business_id", "review_id", F.round(F.get("embedding", F.lit(0)).cast("double"), 6).alias("first"))
+
+
 # --- text ----------------------------------------------------------------------
 
 
@@ -169,7 +237,9 @@ def clean_unicode(spark, folder):
 
 @query
 def dedup_text(spark, folder):
-    return clean.clean_dedup(_reviews(spark, folder)).select("review_id", "text")
+    """By way of a stored table, as a staged run does; the lazy form is in every query with chunks."""
+    cleaned = clean.clean_text(_reviews(spark, folder))
+    return clean.stored_unique(cleaned, tables.scratch(spark))[0].select("review_id", "text")
 
 
 def _chunks(spark, folder, mode):
@@ -193,6 +263,13 @@ def cleaning_report(spark, folder):
     return quality.cleaning_report(table(spark, folder, "documents"))
 
 
+@query
+def cleaning_counted(spark, folder):
+    """The same numbers, counted while the cleaned table is written."""
+    unique, counts = clean.clean_stage(_reviews(spark, folder), tables.scratch(spark), PARAMS)
+    return quality.counted_report(unique, counts)
+
+
 # --- vectors ---------------------------------------------------------------------
 
 
@@ -260,7 +337,7 @@ def score_many(spark, folder):
         F.col("item_id").cast("string").alias("topic"), F.col("text").alias("keywords")
     )
     best = retrieve.score_topk(
-        views.stored_vectors(spark, folder), embed.embed_topics(passages), 1
+        views.stored_vectors(spark, folder), embed.embed_topics(passages), 1, few=0
     )
     return _rounded(best, "score")
 
@@ -276,6 +353,18 @@ def topic_retrieval(spark, folder):
     return _rounded(_big(_retrieved(_reviews(spark, folder)), "rank"), "score")
 
 
+@query
+def batch_retrieval(spark, folder):
+    """The same search, after three batches of reviews."""
+    reviews, store = _reviews(spark, folder), tables.scratch(spark)
+    last = reviews.agg(F.max("ordinal")).first()[0]
+    cuts = [-1, last // 2, last * 9 // 10, last]
+    for i, (a, z) in enumerate(zip(cuts, cuts[1:])):
+        batch = reviews.filter((F.col("ordinal") > a) & (F.col("ordinal") <= z))
+        found = incremental.add_batch(spark, batch, store, f"b{i}", FEW_FOLDERS)
+    return _rounded(_big(found, "rank"), "score")
+
+
 @query
 def retrieval_l2(spark, folder):
     """The nearest stored vectors by squared distance, with the cap per review."""
@@ -298,6 +387,23 @@ def adhoc_search(spark, folder):
     return _rounded(_big(found, "rank"), "score")
 
 
+@query
+def bucketed_lookup(spark, folder):
+    """Chunks and vectors stored by business and key; the search of one business reads its folders only."""
+    reviews = _reviews(spark, folder)
+    chunks = insights.prepared_chunks(reviews, PARAMS)
+    stored = tables.write_bucketed(chunks, tables.scratch(spark), "chunk_key")
+    ids = ("chunk_key", "chunk_id", "business_id", "review_id")
+    vectors = embed.embed(stored.select(*ids, "chunk"), "chunk").select(*ids, "embedding")
+    vectors = tables.write_bucketed(vectors, tables.scratch(spark), "chunk_key")
+    wanted = reviews.agg(F.min("business_id")).first()[0]
+    one, text = (tables.one_folder(df, wanted) for df in (vectors, stored))
+    found = insights.retrieved_chunks(one.select(*ids, "embedding"), PARAMS, text_from=text.select(
+        "chunk_key", "restaurant_name", "stars", "chunk"
+    ))
+    return _rounded(_big(found, "rank"), "score")
+
+
 @query
 def sample_per_topic(spark, folder):
     found = _retrieved(_reviews(spark, folder))
@@ -331,6 +437,14 @@ def index_integrity(spark, folder):
     return quality.index_integrity(vectors, metadata)
 
 
+@query
+def index_differences(spark, folder):
+    """Stored vectors against themselves with some ids swapped for others, so that all counts agree."""
+    vectors = table(spark, folder, "embeddings").select(F.col("label").alias("business_id"), F.col("vec_id").alias("chunk_key"))
+    other = F.when(F.col("chunk_key") % 97 == 5, F.col("chunk_key") + 1_000_000_007).otherwise(F.col("chunk_key"))
+    return _big(quality.index_differences(vectors, vectors.withColumn("chunk_key", other)), "business_id")
+
+
 @query
 def index_stats(spark, folder):
     stats = quality.index_stats(views.stored_vectors(spark, folder))

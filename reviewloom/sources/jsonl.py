@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -50,35 +50,35 @@ def ordered_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
     return spark.read.text(path).select("value", place.alias("ordinal"))
 
 
-def head_lines(spark: SparkSession, path: str, n: int) -> DataFrame:
+def head_lines(spark: SparkSession, path: str, n: int, files_at_once: int = 1000) -> DataFrame:
     """The first ``n`` lines of a text input, in file order, with their ``ordinal``.
 
-    Files are counted in the order of their paths until n lines are reached; the
-    others are not read. Of the last file the lines of each split are counted, and
-    the split that holds line n is cut.
+    One job counts the lines of every split of the first files and adds the counts up in
+    the order of files and splits; only the split that holds line n comes to the driver. If
+    these files are not enough, the next job takes 16 times as many, so all lines of a large
+    input are not counted for the sake of a few.
     """
-    needed: list[str] = []
-    before = last = 0
-    for file in sorted(spark.read.text(path).inputFiles()):
-        if before + last >= n:
-            break
-        before, last = before + last, spark.read.text(file).count()
-        needed.append(file)
-    lines = ordered_lines(spark, needed or path)
-    if not needed or n <= 0:
-        return lines.limit(0)
-    if before + last <= n:
-        return lines
-    at = F.col("ordinal")
-    end = lines.agg(F.max("ordinal.file")).first()[0]
-    splits = (
-        lines.filter(at["file"] == end)
-        .groupBy(at["start"].alias("start"))
-        .agg(F.min(at["position"]).alias("first"), F.count("*").alias("n"))
-    )
-    for start, first, rows in sorted(splits.collect()):  # the splits of one file
-        if before + rows >= n:
-            break
-        before += rows
-    inside = (at["start"] == start) & (at["position"] < first + n - before)
-    return lines.filter((at["file"] < end) | (at["start"] < start) | inside)
+    files = sorted(spark.read.text(path).inputFiles())
+    if n <= 0 or not files:
+        return ordered_lines(spark, path).limit(0)
+    before = taken = 0
+    while taken < len(files):
+        some = files[taken : taken + files_at_once]
+        at = F.col("ordinal")
+        splits = ordered_lines(spark, some).groupBy(at["file"].alias("file"), at["start"].alias("start")).agg(
+            F.min(at["position"]).alias("first"), F.count("*").alias("n")
+        )
+        upto = F.sum("n").over(Window.orderBy("file", "start")) + before  # a row per split
+        ends = splits.withColumn("upto", upto)
+        cut = F.min(F.when(F.col("upto") >= n, F.struct("file", "start", "first", "n", "upto"))).alias("cut")
+        found = ends.agg(cut, F.max("upto").alias("upto")).first()
+        if found["cut"] is not None:
+            c = found["cut"]
+            # row numbers hold within one read of files, so the last files are read as they were counted
+            inside = (at["start"] == c["start"]) & (at["position"] < c["first"] + c["n"] - (c["upto"] - n))
+            upto = (at["file"] < c["file"]) | (at["file"] == c["file"]) & ((at["start"] < c["start"]) | inside)
+            last = ordered_lines(spark, some).filter(upto)
+            return ordered_lines(spark, files[:taken]).unionAll(last) if taken else last
+        before = found["upto"] or before
+        taken, files_at_once = taken + len(some), 16 * files_at_once
+    return ordered_lines(spark, path)

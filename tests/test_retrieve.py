@@ -79,11 +79,9 @@ def test_blocks_of_topics_agree(spark, metric, monkeypatch):
     topics = spark.createDataFrame([(f"t{i}", rng.normal(size=8).tolist()) for i in range(23)], TOPIC)
     whole = {(r.chunk_id, r.topic): r.score for r in retrieve.score(chunks, topics, metric).collect()}
     top = sorted(retrieve.score_topk(chunks, topics, 2, metric).collect())
-    monkeypatch.setattr(retrieve, "BLOCK_BYTES", 5 * 8 * 8)
-    assert len(list(retrieve.query_blocks(topics))) == 5
-    parts = {(r.chunk_id, r.topic): r.score for r in retrieve.score(chunks, topics, metric).collect()}
-    assert len(parts) == 60 * 23 and parts == whole
-    assert sorted(retrieve.score_topk(chunks, topics, 2, metric).collect()) == top and len(top) == 23 * 3 * 2
+    assert len(whole) == 60 * 23 and all(abs(whole[r.chunk_id, r.topic] - r.score) < 1e-8 for r in top)
+    monkeypatch.setattr(retrieve, "BLOCK_BYTES", 5 * 8 * 4)
+    assert sorted(retrieve.score_topk(chunks, topics, 2, metric, few=0).collect()) == top and len(top) == 23 * 3 * 2
 
 
 def test_many_dense_topics(spark):
