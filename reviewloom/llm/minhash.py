@@ -9,9 +9,11 @@ gathered in one task, and no list of all pairs in a group is made:
 3. Every bucket has a centre, the member that shares most buckets with others.
    Members are checked against it: by signature, then on the full sets.
 4. Components of these links settle most buckets. What is left in a bucket, the
-   members outside the centre's component, is compared by signature with all its
-   members, in blocks of bounded size; pairs that may reach the similarity and
-   are in different components yet are confirmed on the full sets.
+   members outside the centre's component, is compared with all its members, in
+   blocks of bounded size. Members whose signatures may reach the similarity of
+   a member of another component bring their full sets there, and a block reports
+   a spanning forest of the components it links: as many rows as members at most,
+   however many pairs are near.
 5. Components of all links give each document the smallest doc_id it can reach.
 
 A link is found unless all bands miss it or its signature deviates by 4.5 standard
@@ -32,7 +34,7 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from reviewloom.llm import common
@@ -69,8 +71,8 @@ class Hashes(dict):
 
 
 MAX_BANDS = 64
-#: Ids that may be broadcast: 8 MB.
-MANY_IDS = 1_000_000
+#: Bits of the filter in front of a join: 1 MB.
+FILTER_BITS = 1 << 23
 MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -147,12 +149,36 @@ def matrix(column: pd.Series, width: int) -> np.ndarray:
     return np.frombuffer(b"".join(column), np.uint8).reshape(-1, width)
 
 
+def may_be_among(ids: DataFrame, column: str) -> Callable[[str], Column]:
+    """A test that is true for all ids of a table and for few others: a Bloom filter of bounded size.
+
+    Bits are set by two hashes and merged by Spark; at most FILTER_BITS / 64 words come to the driver.
+    """
+    bits = F.explode(F.array(*(F.pmod(F.xxhash64(column, F.lit(k)), F.lit(FILTER_BITS)) for k in (1, 2))))
+    bit = F.call_function("shiftleft", F.lit(1).cast("bigint"), F.pmod("bit", F.lit(64)).cast("int"))
+    words = ids.select(bits.alias("bit")).groupBy(F.floor(F.col("bit") / 64).alias("word")).agg(F.bit_or(bit).alias("set"))
+    table = np.zeros(FILTER_BITS // 64, np.int64)
+    found = words.toPandas()
+    table[found["word"].to_numpy(np.int64)] = found["set"].to_numpy(np.int64)
+
+    @F.pandas_udf("boolean")
+    def is_set(one: pd.Series, two: pd.Series) -> pd.Series:
+        hits = [table[x // 64] >> (x % 64) & 1 for x in (one.to_numpy(), two.to_numpy())]
+        return pd.Series((hits[0] & hits[1]).astype(bool))
+
+    return lambda c: is_set(*(F.pmod(F.xxhash64(c, F.lit(k)), F.lit(FILTER_BITS)) for k in (1, 2)))
+
+
 def having(df: DataFrame, column: str, ids: DataFrame, how: str = "left_semi") -> DataFrame:
     """Rows of df whose column is among ids, or with how="left_anti" is not.
 
-    Up to MANY_IDS ids go to the rows, so that wide ones stay where they are; more meet them in a shuffle.
+    Only rows that a Bloom filter of the ids lets through are shuffled, at any number of ids.
     """
-    return df.join(common.small(common.kept_table(ids.toDF(column).distinct()), MANY_IDS), column, how)
+    ids = common.kept_table(ids.toDF(column).distinct())
+    maybe = may_be_among(ids, column)(column)
+    if how == "left_semi":
+        return df.filter(maybe).join(ids, column, how)
+    return df.filter(~maybe).unionAll(df.filter(maybe).join(ids, column, how).select(*df.columns))
 
 
 def promising(pairs: DataFrame, reps: DataFrame, s: Settings) -> DataFrame:
@@ -169,16 +195,22 @@ def promising(pairs: DataFrame, reps: DataFrame, s: Settings) -> DataFrame:
     return both.filter(near).filter(equal("siga", "sigb") >= s.least_equal).select("a", "b")
 
 
-def confirmed(pairs: DataFrame, docs: DataFrame, repeated: bool, s: Settings) -> DataFrame:
-    """The pairs whose full sets reach the similarity. pairs is a written table."""
+def sets_of(docs: DataFrame, ids: DataFrame, s: Settings) -> DataFrame:
+    """(id, x) of these documents: their distinct sets."""
 
     def make() -> Callable[..., tuple]:
         hashes = Hashes()
         return lambda doc_id, text: (doc_id, shingles(text, s.words, hashes).view(np.int64).tolist())
 
-    texts = having(docs.select("doc_id", "text"), "doc_id", pairs.select(F.explode(F.array("a", "b"))))
-    sets = common.map_rows(texts, make, "id bigint, x array<bigint>")
-    sets = common.kept_table(sets.dropDuplicates(["id", "x"]) if repeated else sets)
+    texts = having(docs.select("doc_id", "text"), "doc_id", ids)
+    sets = common.kept_table(common.map_rows(texts, make, "id bigint, x array<bigint>"))
+    again = sets.groupBy("id").count().filter("count > 1")
+    return sets if again.isEmpty() else common.kept_table(sets.dropDuplicates(["id", "x"]))
+
+
+def confirmed(pairs: DataFrame, docs: DataFrame, s: Settings) -> DataFrame:
+    """The pairs whose full sets reach the similarity. pairs is a written table."""
+    sets = sets_of(docs, pairs.select(F.explode(F.array("a", "b"))), s)
     side = lambda c: sets.select(F.col("id").alias(c), F.col("x").alias(f"x{c}"))
     both = pairs.join(side("b"), "b").join(side("a"), "a")
     shared = F.size(F.array_intersect("xa", "xb"))
@@ -186,7 +218,10 @@ def confirmed(pairs: DataFrame, docs: DataFrame, repeated: bool, s: Settings) ->
 
 
 def unsettled(members: DataFrame, centres: DataFrame, found: DataFrame, reps: DataFrame, s: Settings) -> DataFrame:
-    """Pairs (a, b) of one bucket and different components that may reach the similarity, centres' pairs excepted."""
+    """Members that may be linked to one of another component in their bucket, in the blocks where both are.
+
+    A block has a share of a bucket's open members, the probes, and a share of all its members.
+    """
     comp = found.select(F.col("node").alias("id"), "component")
     large = members.filter("cnt > 2").join(centres, "key").join(comp, "id", "left")
     large = large.withColumn("component", F.coalesce("component", "id"))
@@ -205,24 +240,78 @@ def unsettled(members: DataFrame, centres: DataFrame, found: DataFrame, reps: Da
     every = rows.select(*columns, F.lit(False).alias("probe"), place(blocks, 1).alias("block"), F.explode(F.sequence(F.lit(0), chunks - 1)).alias("chunk"))
     probes = rows.filter("open").select(*columns, F.lit(True).alias("probe"), F.explode(F.sequence(F.lit(0), blocks - 1)).alias("block"), place(chunks, 2).alias("chunk"))
 
-    def compare(group: pd.DataFrame) -> pd.DataFrame:
+    layout = f"{BLOCK}, {', '.join(f'{c} {reps.schema[c].dataType.simpleString()}' for c in ('n', 'sig', 'keys'))}"
+    in_blocks = common.kept_table(every.unionByName(probes))
+
+    def near_members(group: pd.DataFrame) -> pd.DataFrame:
+        """The members that have a near one, once each as probe and as member."""
+        a, b = group[group.probe], group[~group.probe]
+        hits = [(i, j) for i, j in enumerate(near_rows(a, b, s)) if len(j)] if len(a) and len(b) else []
+        used = [a.iloc[[i for i, _ in hits]], b.iloc[np.unique(np.concatenate([j for _, j in hits])) if hits else []]]
+        return pd.concat(used)[group.columns]
+
+    near = in_blocks.groupBy("key", "block", "chunk").applyInPandas(near_members, layout)
+    return common.kept_table(near)
+
+
+BLOCK = "key bigint, id bigint, component bigint, probe boolean, block int, chunk int"
+
+
+def near_rows(a: pd.DataFrame, b: pd.DataFrame, s: Settings) -> list[np.ndarray]:
+    """For each probe of a, the rows of b in other components whose sizes and signatures do not rule the similarity out."""
+    sa, sb = matrix(a.sig, s.hashes), matrix(b.sig, s.hashes)
+    ka, kb = np.stack(a["keys"].to_list()), np.stack(b["keys"].to_list())
+    band = int(a.key.iloc[0]) % MAX_BANDS
+    comps, sizes = b.component.to_numpy(), b.n.to_numpy()
+    out = []
+    for k, (c, n) in enumerate(zip(a.component, a.n)):
+        near = np.flatnonzero((comps != c) & (100 * np.minimum(sizes, n) >= s.percent * np.maximum(sizes, n)))
+        near = near[alike(sb[near], sa[k]) >= s.least_equal]
+        # a pair counts in the first bucket that it shares: by the keys, as bytes of unequal minima may be equal
+        out.append(near[~(kb[near, :band] == ka[k, :band]).any(axis=1)])
+    return out
+
+
+def linked(a: pd.DataFrame, b: pd.DataFrame, s: Settings) -> list[tuple[int, int]]:
+    """A spanning forest, over components, of the near pairs whose full sets (x) reach the similarity."""
+    parent: dict[int, int] = {}
+
+    def root(c: int) -> int:
+        while (up := parent.get(c, c)) != c:
+            parent[c] = c = parent.get(up, up)
+        return c
+
+    rows = [np.asarray(x, np.int64) for x in b.x]
+    flat, inverse = np.unique(np.concatenate(rows), return_inverse=True)
+    ends = np.cumsum([len(x) for x in rows])
+    places = np.split(inverse, ends[:-1])
+    ids, comps = b.id.to_numpy(), b.component.to_numpy()
+    sizes, out = np.diff(ends, prepend=0), []
+    for probe, component, x, near in zip(a.id, a.component, a.x, near_rows(a, b, s)):
+        x = np.asarray(x, np.int64)
+        mark = np.zeros(len(flat), bool)
+        mark[np.searchsorted(flat, x[np.isin(x, flat)])] = True
+        for j in near.tolist():
+            if root(comps[j]) == root(component):
+                continue
+            shared = int(mark[places[j]].sum())
+            if 100 * shared >= s.percent * (len(x) + int(sizes[j]) - shared):
+                parent[root(comps[j])] = root(component)
+                out.append((min(probe, ids[j]), max(probe, ids[j])))
+    return out
+
+
+def links_of_blocks(near: DataFrame, docs: DataFrame, s: Settings) -> DataFrame:
+    """Links (a, b) between components that the blocks of `near` members hold, no more than a forest each."""
+    sets = sets_of(docs, near.select("id"), s)
+    rows = near.join(sets, "id")
+
+    def confirm(group: pd.DataFrame) -> pd.DataFrame:
         a, b = group[group.probe], group[~group.probe]
-        if not len(a) or not len(b):
-            return pd.DataFrame({"a": [], "b": []}, dtype="int64")
-        sa, sb = matrix(a.sig, s.hashes), matrix(b.sig, s.hashes)
-        ka, kb = np.stack(a["keys"].to_list()), np.stack(b["keys"].to_list())
-        band = int(group.key.iloc[0]) % MAX_BANDS
-        ids, comps, sizes = b.id.to_numpy(), b.component.to_numpy(), b.n.to_numpy()
-        out = []
-        for k, (i, c, n) in enumerate(zip(a.id, a.component, a.n)):
-            near = np.flatnonzero((comps != c) & (100 * np.minimum(sizes, n) >= s.percent * np.maximum(sizes, n)))
-            near = near[alike(sb[near], sa[k]) >= s.least_equal]
-            # a pair is reported in the first bucket that it shares: by the keys, as bytes of unequal minima may be equal
-            near = near[~(kb[near, :band] == ka[k, :band]).any(axis=1)]
-            out += [(min(i, j), max(i, j)) for j in ids[near].tolist()]
-        return pd.DataFrame(out, columns=["a", "b"], dtype="int64").drop_duplicates()
-
-    return every.unionByName(probes).groupBy("key", "block", "chunk").applyInPandas(compare, "a bigint, b bigint").distinct()
+        out = linked(a, b, s) if len(a) and len(b) else []
+        return pd.DataFrame(out, columns=["a", "b"], dtype="int64")
+
+    return rows.groupBy("key", "block", "chunk").applyInPandas(confirm, "a bigint, b bigint").distinct()
 
 
 def near_duplicates(docs: DataFrame, s: Settings = Settings()) -> DataFrame:
@@ -248,18 +337,20 @@ def near_duplicates(docs: DataFrame, s: Settings = Settings()) -> DataFrame:
         F.least("id", "centre").alias("a"), F.greatest("id", "centre").alias("b")
     )
     star = common.kept_table(star.distinct())
-    links = confirmed(common.kept_table(promising(star, reps, s)), docs, repeated, s)
+    links = confirmed(common.kept_table(promising(star, reps, s)), docs, s)
     # rows of one doc_id with several sets are one node already; their classes meet in it
     equal = known.join(classes.select("digest", "rep"), "digest").filter("doc_id != rep").select(
         F.col("rep").alias("a"), F.col("doc_id").alias("b")
     ) if repeated else None
     links = common.kept_table(links.unionByName(equal) if repeated else links)
     found = components(links)
-    more = common.kept_table(unsettled(members, centres, found, reps, s))
-    links = links.unionByName(confirmed(more, docs, repeated, s))
+    near = unsettled(members, centres, found, reps, s)
+    links = links.unionByName(common.kept_table(links_of_blocks(near, docs, s)))
     found = components(links)
 
-    out = signed.select("doc_id", "n", "digest").join(classes.select("digest", "rep"), "digest", "left")
+    # rows without a set have no class; a key of their own keeps them from meeting in one task
+    own = F.coalesce("digest", F.col("row").cast("string").cast("binary")).alias("digest")
+    out = signed.select("doc_id", "n", own).join(classes.select("digest", "rep"), "digest", "left")
     rep = F.when(F.col("doc_id").isNotNull(), F.coalesce(F.col("doc_id") if repeated else F.col("rep"), "doc_id"))
     out = out.withColumn("node", rep).join(found, "node", "left")
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "node"))

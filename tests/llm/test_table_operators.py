@@ -132,10 +132,49 @@ def test_pairs_that_no_centre_takes_part_in(spark):
     members = banded.join(banded.groupBy("key").agg(F.count("*").alias("cnt")).filter("cnt > 1"), "key")
     centres = spark.createDataFrame([(key(3, 7), 0), (key(1, 8), 1)], "key bigint, centre bigint")
     found = spark.createDataFrame([], "node bigint, component bigint")
-    got = [tuple(r) for r in minhash.unsettled(members, centres, found, reps, s).collect()]
+    text = lambda i: " ".join(f"w{(i + 1) // 2}x{k}" for k in range(30))
+    docs = spark.createDataFrame([(r[0], text(r[0])) for r in rows], "doc_id bigint, text string")
+    near = minhash.unsettled(members, centres, found, reps, s)
+    assert near.count() <= 2 * near.select("id").distinct().count()  # as a probe and as a member, at most
+    got = [tuple(r) for r in minhash.links_of_blocks(near, docs, s).collect()]
     assert sorted(got) == sorted(want)
 
 
+def crowd(spark, text_of, n):
+    """Documents of one crowded bucket, all with the same signature, whose centre is linked to none."""
+    sig = np.random.default_rng(3).bytes(640)
+    rows = [(i, 100, [k if k == 0 else i * 6400 + k for k in range(24)], sig) for i in range(n)]
+    reps = spark.createDataFrame(rows, "id bigint, n bigint, keys array<bigint>, sig binary")
+    members = reps.select("id", F.lit(0).cast("bigint").alias("key"), F.lit(n).cast("bigint").alias("cnt"))
+    centres = spark.createDataFrame([(0, 0)], "key bigint, centre bigint")
+    docs = spark.createDataFrame([(i, text_of(i)) for i in range(n)], "doc_id bigint, text string")
+    return members, centres, spark.createDataFrame([], "node bigint, component bigint"), reps, docs
+
+
+def test_a_crowded_bucket_reports_a_forest(spark):
+    """All pairs look near: rows grow with the members, whether the sets are linked or not."""
+    s, n = minhash.Settings(block=16), 60
+    *tables, docs = crowd(spark, lambda i: " ".join(f"g{i % 4}w{k}" for k in range(20)), n)
+    near = minhash.unsettled(*tables, s)
+    assert near.count() <= 2 * n * -(-n // s.block)
+    links = minhash.links_of_blocks(near, docs, s).collect()
+    assert len(links) <= 4 * n
+    assert set(smallest_reachable(range(n), [tuple(r) for r in links]).values()) == {0, 1, 2, 3}
+    *tables, docs = crowd(spark, lambda i: " ".join(f"d{i}w{k}" for k in range(20)), n)
+    assert minhash.links_of_blocks(minhash.unsettled(*tables, s), docs, s).count() == 0
+
+
+def test_id_filter_lets_all_ids_and_few_others_through(spark):
+    ids = spark.range(0, 20_000, 10).select(F.col("id").alias("x"))
+    test = minhash.may_be_among(ids, "x")
+    rows = spark.range(20_000).withColumn("maybe", test("id"))
+    assert rows.filter("maybe AND id % 10 = 0").count() == 2000 and rows.filter("maybe AND id % 10 <> 0").count() < 40
+    df = spark.range(100).select(F.when(F.col("id") > 2, F.col("id")).alias("k"), F.lit("wide").alias("text"))
+    some = df.select("k").filter("k % 3 = 0")
+    assert minhash.having(df, "k", some).count() == 33 and minhash.having(df, "k", some, "left_anti").count() == 67
+    assert minhash.having(df, "k", some.limit(0)).count() == 0 and minhash.having(df, "k", some.limit(0), "left_anti").count() == 100
+
+
 # --- search ------------------------------------------------------------------------
 
 
