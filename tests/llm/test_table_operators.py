@@ -158,7 +158,7 @@ def test_a_crowded_bucket_reports_a_forest(spark):
     near = minhash.unsettled(*tables, s)
     assert near.count() <= 2 * n * -(-n // s.block)
     links = minhash.links_of_blocks(near, docs, s).collect()
-    assert len(links) <= 4 * n
+    assert len(links) <= near.count()  # each block reports fewer links than it has members
     assert set(smallest_reachable(range(n), [tuple(r) for r in links]).values()) == {0, 1, 2, 3}
     *tables, docs = crowd(spark, lambda i: " ".join(f"d{i}w{k}" for k in range(20)), n)
     assert minhash.links_of_blocks(minhash.unsettled(*tables, s), docs, s).count() == 0
