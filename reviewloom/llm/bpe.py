@@ -34,8 +34,8 @@ NOT_PLAIN = r"[^\t\n\r -~¡-±´-¸»¿-ɏ‐-‧‰-⁞]"
 LONG = 64
 #: Short words go through the rank array in blocks of these widths.
 BLOCKS = (3, 5, 7, 9, 11, 14, 18, 24, 36, LONG)
-#: Words kept in a task's dictionary before it starts anew: about 40 MB.
-MAX_WORDS = 200_000
+#: Words of one generation of a task's dictionary, which keeps two: about 30 MB each.
+MAX_WORDS = 150_000
 NONE = np.int32(2**31 - 1)
 
 
@@ -98,6 +98,7 @@ class Codec:
         self.pairs = {(vocab[a], vocab[b]): (i, vocab[a + b]) for i, (a, b) in enumerate(merges)}
         self.ranks = Ranks(self.pairs)
         self.words: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
         self.max_words = max_words
         self.not_plain = re.compile(NOT_PLAIN)
         self.plain, self.full = re.compile(PLAIN_PATTERN).findall, regex.compile(PATTERN).findall
@@ -171,8 +172,6 @@ class Codec:
 
     def learn(self, fresh: list[str]) -> None:
         """Encode words that the dictionary lacks."""
-        if len(self.words) + len(fresh) > self.max_words:
-            self.words.clear()
         encoded = [w.encode() for w in fresh]
         sizes = np.fromiter(map(len, encoded), np.int64, len(fresh))
         for least, most in zip((0, *BLOCKS), BLOCKS):
@@ -195,9 +194,11 @@ class Codec:
         found = [[[p] if p in self.special else self.find(p) for p in parts] for parts in cuts]
         needed = set().union(*(words for parts in found for words in parts))
         fresh = needed.difference(self.words)
-        if len(self.words) + len(fresh) > self.max_words:  # the dictionary starts anew with this batch
-            fresh = needed
-        self.learn([w for w in fresh if w not in self.special])
+        if len(self.words) + len(fresh) > self.max_words:  # a new generation; words in use move on to it
+            self.older, self.words, fresh = self.words, {}, needed
+        known = fresh.intersection(self.older)
+        self.words.update((w, self.older[w]) for w in known)
+        self.learn([w for w in fresh - known if w not in self.special])
         for s, i in self.special.items():
             self.words[s] = np.uint32(i).tobytes()
         get = self.words.__getitem__

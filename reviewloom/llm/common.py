@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
@@ -64,9 +66,13 @@ def map_batches(df: DataFrame, make: Callable[[], Callable[..., list[tuple]]], s
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fn = make()
-        for batch in batches:
-            for part in slices(batch):
-                yield to_batch(fn(*(c.to_pylist() for c in part.columns)), arrow)
+        try:
+            for batch in batches:
+                for part in slices(batch):
+                    yield to_batch(fn(*(c.to_pylist() for c in part.columns)), arrow)
+        finally:
+            del fn
+            give_back()
 
     return df.mapInArrow(run, out)
 
@@ -81,10 +87,24 @@ def map_rows(df: DataFrame, make: Callable[[], Callable[..., tuple]], schema: st
     return map_batches(df, make_batch, schema)
 
 
-def slices(batch: pa.RecordBatch, rows: int = 500) -> Iterator[pa.RecordBatch]:
-    """Short runs of rows, so that Python holds few decoded texts at a time."""
-    for start in range(0, batch.num_rows, rows):
-        yield batch.slice(start, rows)
+def slices(batch: pa.RecordBatch, rows: int = 500, size: int = 4 << 20) -> Iterator[pa.RecordBatch]:
+    """Short runs of rows, of about `size` bytes or one row, so that Python holds few decoded values at a time."""
+    start = 0
+    while start < batch.num_rows:
+        part = batch.slice(start, rows)
+        while part.num_rows > 1 and part.nbytes > size:
+            part = batch.slice(start, part.num_rows // 2)
+        yield part
+        start += part.num_rows
+
+
+def give_back() -> None:
+    """Return freed memory to the system: a worker process lives on behind its task."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc only
+    if trim is not None:
+        trim(0)
 
 
 def to_batch(rows: list[tuple], arrow: pa.Schema) -> pa.RecordBatch:

@@ -191,11 +191,12 @@ def verdicts(docs: DataFrame, rules: Rules = Rules()) -> DataFrame:
 def filter_documents(docs: DataFrame, rules: Rules = Rules()) -> DataFrame:
     """The documents that pass, with all their columns and no others.
 
-    Texts are measured again rather than joined to verdicts: they are never shuffled
-    when the fences are few, and rows need no unique id.
+    Rows are written with their measures and read twice, so texts are measured once and
+    never shuffled when the fences are few, and rows need no unique id.
     """
-    limits = common.kept_table(fences(measured_rows(docs), rules))
-    rows = docs.select(common.whole_row(docs), "lang", "source", measures("text").alias("_m")).select("_row", "lang", "source", "_m.*")
+    rows = docs.select(common.whole_row(docs), "lang", "source", measures("text").alias("_m"))
+    rows = common.kept_table(rows.select("_row", "lang", "source", "_m.*"))
+    limits = common.kept_table(fences(rows.select("lang", "source", *MEASURES), rules))
     return join_fences(rows, limits).filter(within(rules)).select("_row.*")
 
 
