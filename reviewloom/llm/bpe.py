@@ -20,6 +20,7 @@ import heapq
 import json
 import re
 from collections.abc import Callable
+from functools import cached_property
 
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
@@ -28,14 +29,18 @@ from reviewloom.llm import common
 
 #: Fixed values of the public byte-level format: the pattern that cuts a text into words.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-#: The same for the standard library's faster engine, right only for characters that PLAIN allows.
-PLAIN_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?[^\W\d_]+| ?\d+| ?(?:[^\s\w]|_)+|\s+(?!\S)|\s+"
+#: The same for the standard library's engine, right only for characters that NOT_PLAIN does not find. Their letters
+#: and digits are plain ranges, and words of letters come first: no other alternative begins like them.
+LETTERS = "A-Za-zªµÀ-ÖØ-öø-ɏ"
+PLAIN_PATTERN = rf" ?[{LETTERS}]+| ?[0-9]+|'(?:s|t|re|ve|m|ll|d)| ?[^\t\n\r 0-9{LETTERS}]+|[\t\n\r ]+(?![^\t\n\r ])|[\t\n\r ]+"
 NOT_PLAIN = r"[^\t\n\r -~¡-±´-¸»¿-ɏ‐-‧‰-⁞]"
 LONG = 64
 #: Short words go through the rank array in blocks of these widths.
 BLOCKS = (3, 5, 7, 9, 11, 14, 18, 24, 36, LONG)
-#: Words of one generation of a task's dictionary, which keeps two: about 30 MB each.
-MAX_WORDS = 150_000
+#: Words of one generation of a task's dictionary, which keeps two: about 45 MB each.
+MAX_WORDS = 220_000
+#: Documents encoded together, within the bytes of a run.
+ROWS = 2000
 NONE = np.int32(2**31 - 1)
 
 
@@ -54,12 +59,15 @@ class Ranks:
         size = 1 << self.bits
         self.keys, self.rank = np.full(size, -1, np.int64), np.full(size, NONE, np.int32)
         self.joined = np.array([new for _, new in sorted(pairs.values())], np.int32)  # by rank
-        for (a, b), (rank, _) in pairs.items():
-            key = a << 32 | b
-            at = int(self.slot(np.array([key]))[0])
-            while self.keys[at] >= 0:
-                at = (at + 1) % size
-            self.keys[at], self.rank[at] = key, rank
+        keys = np.array([a << 32 | b for a, b in pairs], np.int64)
+        rank = np.array([r for r, _ in pairs.values()], np.int32)
+        at = self.slot(keys)
+        while len(keys):  # one key of each free place is put there, the others go on to the next place
+            first = np.zeros(len(keys), bool)
+            first[np.unique(at, return_index=True)[1]] = True
+            put = first & (self.keys[at] < 0)
+            self.keys[at[put]], self.rank[at[put]] = keys[put], rank[put]
+            keys, rank, at = keys[~put], rank[~put], (at[~put] + 1) % size
 
     def slot(self, keys: np.ndarray) -> np.ndarray:
         return ((keys.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - self.bits)).astype(np.int64)
@@ -85,12 +93,7 @@ class Codec:
             content = json.load(f)
         letters, vocab = byte_alphabet(), content["model"]["vocab"]
         self.special = {x["content"]: x["id"] for x in content["added_tokens"]}
-        size = max([*vocab.values(), *self.special.values()]) + 1
-        self.spell: list[bytes] = [b""] * size
-        for k, v in vocab.items():
-            self.spell[v] = bytes(letters[c] for c in k) if all(c in letters for c in k) else k.encode()
-        for k, v in self.special.items():
-            self.spell[v] = k.encode()
+        self.vocab, self.letters = vocab, letters
         self.of_byte = np.zeros(256, np.int32)
         for c, b in letters.items():
             self.of_byte[b] = vocab[c]
@@ -105,6 +108,16 @@ class Codec:
         names = sorted(self.special, key=len, reverse=True)
         self.cut = re.compile("(" + "|".join(map(re.escape, names)) + ")").split if names else None
 
+    @cached_property
+    def spell(self) -> list[bytes]:
+        """The bytes of every id."""
+        out, letters = [b""] * (max([*self.vocab.values(), *self.special.values()]) + 1), self.letters
+        for k, v in self.vocab.items():
+            out[v] = bytes(letters[c] for c in k) if all(c in letters for c in k) else k.encode()
+        for k, v in self.special.items():
+            out[v] = k.encode()
+        return out
+
     def merge_short(self, words: np.ndarray, left: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Join the parts of many words at a time.
 
@@ -188,14 +201,17 @@ class Codec:
     def find(self, text: str) -> list[str]:
         return self.full(text) if self.not_plain.search(text) else self.plain(text)
 
+    def unknown(self, found: list[list[list[str]]]) -> set[str]:
+        return set().union(*(words for parts in found for words in parts)).difference(self.words)
+
     def encode_batch(self, texts: list[str]) -> list[bytes]:
         """Ids of each text, as little-endian unsigned 32-bit integers."""
         cuts = [self.cut(t) if self.cut and any(s in t for s in self.special) else [t] for t in texts]
         found = [[[p] if p in self.special else self.find(p) for p in parts] for parts in cuts]
-        needed = set().union(*(words for parts in found for words in parts))
-        fresh = needed.difference(self.words)
+        fresh = self.unknown(found)
         if len(self.words) + len(fresh) > self.max_words:  # a new generation; words in use move on to it
-            self.older, self.words, fresh = self.words, {}, needed
+            self.older, self.words = self.words, {}
+            fresh = self.unknown(found)
         known = fresh.intersection(self.older)
         self.words.update((w, self.older[w]) for w in known)
         self.learn([w for w in fresh - known if w not in self.special])
@@ -230,7 +246,7 @@ def encode_documents(docs: DataFrame, path: str | None = None) -> DataFrame:
 
         return rows
 
-    return common.map_batches(docs.select("doc_id", "text"), make, "doc_id bigint, ids array<int>")
+    return common.map_batches(docs.select("doc_id", "text"), make, "doc_id bigint, ids array<int>", ROWS)
 
 
 def decode_documents(encoded: DataFrame, path: str | None = None) -> DataFrame:
@@ -258,7 +274,7 @@ def round_trip(docs: DataFrame, path: str | None = None) -> DataFrame:
         ]
 
     schema = "doc_id bigint, n_tokens bigint, ids_sha256 string, decoded_sha256 string"
-    return common.map_batches(docs.select("doc_id", "text"), make, schema)
+    return common.map_batches(docs.select("doc_id", "text"), make, schema, ROWS)
 
 
 def op5_bpe(spark: SparkSession, folder: str) -> DataFrame:

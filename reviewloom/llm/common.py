@@ -55,7 +55,9 @@ def whole_row(df: DataFrame) -> Column:
     return F.struct(*(F.col(f"`{c}`") for c in df.columns)).alias("_row")
 
 
-def map_batches(df: DataFrame, make: Callable[[], Callable[..., list[tuple]]], schema: str) -> DataFrame:
+def map_batches(
+    df: DataFrame, make: Callable[[], Callable[..., list[tuple]]], schema: str, rows: int = 500
+) -> DataFrame:
     """Apply a Python function to short runs of rows, in Arrow batches.
 
     make() runs once per task and returns a function from the columns of a run, as
@@ -68,7 +70,7 @@ def map_batches(df: DataFrame, make: Callable[[], Callable[..., list[tuple]]], s
         fn = make()
         try:
             for batch in batches:
-                for part in slices(batch):
+                for part in slices(batch, rows):
                     yield to_batch(fn(*(c.to_pylist() for c in part.columns)), arrow)
         finally:
             del fn

@@ -129,7 +129,7 @@ def tokenized_pieces(docs: DataFrame, path: str | None = None, capacity: int = C
         return rows
 
     schema = "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint"
-    return common.map_batches(docs.select("doc_id", "text"), make, schema)
+    return common.map_batches(docs.select("doc_id", "text"), make, schema, bpe.ROWS)
 
 
 def ranked(pieces: DataFrame, total: int) -> DataFrame:
