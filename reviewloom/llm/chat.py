@@ -62,10 +62,13 @@ def quoted(marker: str) -> str:
 
 def format_conversations(turns: DataFrame, t: Template = Template()) -> DataFrame:
     """conv_id, formatted: one string for each conversation."""
-    text, role = (escape(F.coalesce(c, F.lit("")), t).alias(c) for c in ("text", "role"))
-    sorted_turns = turns.select("conv_id", F.struct("turn", role, text).alias("turn")).groupBy("conv_id").agg(
+    text, role = (F.coalesce(c, F.lit("")).alias(c) for c in ("text", "role"))
+    # sorted as they are: escaped texts sort otherwise
+    plain = turns.select("conv_id", F.struct("turn", role, text).alias("turn")).groupBy("conv_id").agg(
         F.sort_array(F.collect_list("turn")).alias("turns")
     )
+    escaped = F.transform("turns", lambda x: F.struct(escape(x["role"], t).alias("role"), escape(x["text"], t).alias("text")))
+    sorted_turns = plain.withColumn("turns", escaped)
     last = F.size("turns") - 1
     # places at which the role changes; the turns from one to the next make a block
     starts = F.filter(

@@ -67,6 +67,9 @@ HINT = r"@|\d[^A-Za-z]{0,3}\d"
 FIRST_DAY, DAY_HALVES = "1900-01-01", (256, 286)
 DATE_FORMS = ("yyyy-MM-dd", "dd/MM/yyyy", "MM/dd/yyyy", "dd.MM.yyyy")
 
+#: Where a run finds its key.
+KEY_SETTING = "spark.reviewloom.pseudonym.key"
+
 Fold = Callable[[Column, Column], Column]
 
 
@@ -189,14 +192,32 @@ def ip(m: Column, key: str) -> Column:
 
 
 def date(m: Column, key: str) -> Column:
-    """The first form that reads the text as a day in range decides."""
+    """The first form that reads the text as a day in range decides.
+
+    Month first is read only where the day is above 12. Such days are permuted among
+    themselves, by going on from day to day until another of them is met, so that their
+    pseudonyms are not read as day first either.
+    """
     a, b = DAY_HALVES
     first = F.lit(FIRST_DAY).cast("date")
 
+    def day(n: Column) -> Column:
+        return F.date_add(first, n.cast("int"))
+
+    def step(n: Column) -> Column:
+        pair = feistel(F.floor(n / b), n % b, (F.lit(a), F.lit(b)), key, "date")
+        return let(pair, lambda p: (p["a"] * b + p["b"]).cast("bigint"))
+
+    def walk(n: Column) -> Column:
+        # six days of ten are above the 12th: 60 steps fail once in 10^24
+        return F.aggregate(
+            F.sequence(F.lit(1), F.lit(60)), step(n), lambda m, _: F.when(F.dayofmonth(day(m)) > 12, m).otherwise(step(m))
+        )
+
     def read_as(form: str, rest: Column) -> Column:
         def moved(n: Column) -> Column:
-            pair = feistel(F.floor(n / b), n % b, (F.lit(a), F.lit(b)), key, "date")
-            new = let(pair, lambda p: F.date_add(first, (p["a"] * b + p["b"]).cast("int")))
+            n = n.cast("bigint")
+            new = day(walk(n) if form == "MM/dd/yyyy" else step(n))
             return F.when((n >= 0) & (n < a * b), F.date_format(new, form)).otherwise(rest)
 
         return let(F.datediff(F.try_to_timestamp(m, F.lit(form)).cast("date"), first), moved)
@@ -275,12 +296,17 @@ def pseudonymized(text: Column, key: str) -> Column:
     return F.when(F.rlike(text, F.lit(HINT)), whole).otherwise(text)
 
 
-def pseudonymize(docs: DataFrame, key: str = "change me", column: str = "text") -> DataFrame:
+def pseudonymize(docs: DataFrame, key: str, column: str = "text") -> DataFrame:
     """docs with pseudonyms in place of personal data. Keep the key secret, and the same for all runs to be linked."""
     return docs.withColumn(column, pseudonymized(F.col(column), key))
 
 
-def pseudonymize_documents(docs: DataFrame, key: str = "change me") -> DataFrame:
+def secret_key(spark: SparkSession) -> str:
+    """The key in the session's setting KEY_SETTING; without it one that is public and fit for test data only."""
+    return spark.conf.get(KEY_SETTING, "public key for test data")
+
+
+def pseudonymize_documents(docs: DataFrame, key: str) -> DataFrame:
     """As pseudonymize; a column n_chars that counts the text's characters counts those of the new text."""
     if "n_chars" not in docs.columns:
         return pseudonymize(docs, key)
@@ -295,4 +321,4 @@ def pseudonymize_documents(docs: DataFrame, key: str = "change me") -> DataFrame
 def op9_pii(spark: SparkSession, folder: str) -> DataFrame:
     """doc_id, text under pseudonyms, and whether it differs from the document's text."""
     docs = common.table(spark, folder, "documents").select("doc_id", F.col("text").alias("before"), "text")
-    return pseudonymize(docs).select("doc_id", "text", (~F.col("text").eqNullSafe(F.col("before"))).alias("changed"))
+    return pseudonymize(docs, secret_key(spark)).select("doc_id", "text", (~F.col("text").eqNullSafe(F.col("before"))).alias("changed"))

@@ -334,6 +334,16 @@ def renamed(spark, values, key="k"):
     return [r.text for r in pii.pseudonymize(df, key).orderBy("doc_id").collect()]
 
 
+def test_turns_of_one_place_are_sorted_by_their_plain_text(spark):
+    rows = [(1, 0, "user", t) for t in ("<a", "<|", "<|im_end|>", "\\x", "</s>", "<b")]
+    turns = spark.createDataFrame(rows, "conv_id bigint, turn int, role string, text string")
+    formatted = chat.format_conversations(turns, chat.Template()).first().formatted
+    t = chat.Template()
+    body = formatted[len(t.start) + len("user") + len(t.text) : -len(t.end)]
+    plain = spark.createDataFrame([(x,) for x in body.split(t.more)], "x string").select(chat.unescape(F.col("x"), t)).collect()
+    assert [r[0] for r in plain] == sorted(r[3] for r in rows)
+
+
 def test_pseudonyms_keep_format_and_validity(spark):
     texts = [
         "4111111111111111", "4111 1111 1111 1111", "4111111111111112", "3782-822463-10005", "233.254.104.120", "999.1.1.1", "1.2.3.4.5",
@@ -368,19 +378,30 @@ def test_pseudonyms_are_permutations(spark):
     assert wide and sorted(r.p for r in pairs) == [f"{n:02d}" for n in range(100)]
 
 
+def test_slash_dates_of_ten_years_keep_apart(spark):
+    """Day first and month first are written alike; no two dates get one pseudonym, and each is read as it was."""
+    days = [(y, m, d) for y in range(2001, 2011) for m in range(1, 13) for d in range(1, 32) if d < 29 or (d < 31 and m != 2) or m in (1, 3, 5, 7, 8, 10, 12)]
+    texts = sorted({f"{d:02d}/{m:02d}/{y}" for y, m, d in days} | {f"{m:02d}/{d:02d}/{y}" for y, m, d in days})
+    new = dict(zip(texts, renamed(spark, texts)))
+    assert len(set(new.values())) == len(texts) > 5500
+    assert new["07/29/2006"] != new["29/07/2006"]
+    for t in texts:
+        assert (int(t[3:5]) > 12) == (int(new[t][3:5]) > 12)  # month first stays month first
+
+
 def test_pseudonyms_in_texts_and_edges(spark, edges, nothing):
     texts = ["Mail a.b@c.org, a.b@c.org; (4111111111111111) v3.0. 4785380592391130 and 192.168.1.7.", "tel +1 (017) 555-7713 190.137.223.204 x"]
     one, two = renamed(spark, texts)
     first, second = re.findall(r"\S+@[a-z]+\.org", one)
     assert first == second != "a.b@c.org" and "v3.0. 4785380592391130 and" in one and "4111111111111111" not in one
     assert two.startswith("tel +1 (") and two.endswith(" x") and "190.137.223.204" not in two and "555-7713" not in two
-    rows = Counter((r.doc_id, r.text) for r in pii.pseudonymize(edges).collect())
+    rows = Counter((r.doc_id, r.text) for r in pii.pseudonymize(edges, "k").collect())
     assert rows == Counter((r[0], r[1]) for r in EDGES)
     docs = documents(spark, [(1, texts[0]), (2, None), (3, "ip 1.1.1.1")])
-    made = pii.pseudonymize_documents(docs)
+    made = pii.pseudonymize_documents(docs, "k")
     assert made.columns == docs.columns and made.schema["n_chars"].dataType == docs.schema["n_chars"].dataType
     assert all(r.n_chars == len(r.text or "") for r in made.collect())
-    assert pii.pseudonymize_documents(nothing).count() == 0
+    assert pii.pseudonymize_documents(nothing, "k").count() == 0
 
 
 def test_words_behind_grouped_ibans_are_left_alone(spark):
