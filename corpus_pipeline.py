@@ -29,8 +29,8 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, personal data under pseudonyms."""
-    return pii.pseudonymize_documents(docs)
+    """All documents, personal data under pseudonyms with the key of the session's settings."""
+    return pii.pseudonymize_documents(docs, pii.secret_key(spark))
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
