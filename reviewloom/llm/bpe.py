@@ -93,7 +93,7 @@ class Codec:
             content = json.load(f)
         letters, vocab = byte_alphabet(), content["model"]["vocab"]
         self.special = {x["content"]: x["id"] for x in content["added_tokens"]}
-        self.vocab, self.letters = vocab, letters
+        self.path = path
         self.of_byte = np.zeros(256, np.int32)
         for c, b in letters.items():
             self.of_byte[b] = vocab[c]
@@ -110,9 +110,11 @@ class Codec:
 
     @cached_property
     def spell(self) -> list[bytes]:
-        """The bytes of every id."""
-        out, letters = [b""] * (max([*self.vocab.values(), *self.special.values()]) + 1), self.letters
-        for k, v in self.vocab.items():
+        """The bytes of every id, read when they are needed."""
+        with open(self.path, encoding="utf-8") as f:
+            vocab = json.load(f)["model"]["vocab"]
+        out, letters = [b""] * (max([*vocab.values(), *self.special.values()]) + 1), byte_alphabet()
+        for k, v in vocab.items():
             out[v] = bytes(letters[c] for c in k) if all(c in letters for c in k) else k.encode()
         for k, v in self.special.items():
             out[v] = k.encode()

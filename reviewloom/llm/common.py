@@ -67,6 +67,7 @@ def map_batches(
     arrow = to_arrow_schema(out)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        give_back()  # what other kinds of tasks left
         fn = make()
         try:
             for batch in batches:

@@ -111,11 +111,18 @@ def cut(total: int, capacity: int = CAPACITY) -> list[tuple[int, int]]:
     return [(0, first)] + [(s, capacity) for s in range(first, total, capacity)]
 
 
-def tokenized_pieces(docs: DataFrame, path: str | None = None, capacity: int = CAPACITY, end_id: int = END_ID) -> DataFrame:
-    """doc_id, piece, start, length, ids_crc32."""
+def tokenized_pieces(
+    docs: DataFrame,
+    path: str | None = None,
+    capacity: int = CAPACITY,
+    end_id: int = END_ID,
+    max_words: int = bpe.MAX_WORDS,
+    rows_at_once: int = bpe.ROWS,
+) -> DataFrame:
+    """doc_id, piece, start, length, ids_crc32. Fewer words and rows at once take less memory and more time."""
 
     def make() -> Callable[..., list[tuple]]:
-        codec = bpe.Codec(path or bpe.public_path())
+        codec = bpe.Codec(path or bpe.public_path(), max_words)
         end = np.array([end_id], "<u4").tobytes()
 
         def rows(doc_ids: list, texts: list) -> list[tuple]:
@@ -129,7 +136,7 @@ def tokenized_pieces(docs: DataFrame, path: str | None = None, capacity: int = C
         return rows
 
     schema = "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint"
-    return common.map_batches(docs.select("doc_id", "text"), make, schema, bpe.ROWS)
+    return common.map_batches(docs.select("doc_id", "text"), make, schema, rows_at_once)
 
 
 def ranked(pieces: DataFrame, total: int) -> DataFrame:
@@ -187,9 +194,9 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     return common.map_batches(ranked(pieces, sum(counts.values())).select(*columns, "at"), make, schema)
 
 
-def pack_documents(docs: DataFrame, path: str | None = None, capacity: int = CAPACITY) -> DataFrame:
-    """Tokenize once into a written table of pieces, then pack that."""
-    return pack(common.kept_table(tokenized_pieces(docs, path, capacity)), capacity)
+def pack_documents(docs: DataFrame, path: str | None = None, capacity: int = CAPACITY, **memory: int) -> DataFrame:
+    """Tokenize once into a written table of pieces, then pack that; `memory` as in `tokenized_pieces`."""
+    return pack(common.kept_table(tokenized_pieces(docs, path, capacity, **memory)), capacity)
 
 
 def op7_packing(spark: SparkSession, folder: str) -> DataFrame:
