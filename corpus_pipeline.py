@@ -34,8 +34,8 @@ def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The pieces of all documents and their places in sequences."""
-    return packing.pack_documents(docs)
+    """The pieces of all documents and their places in sequences; small dictionaries, as earlier stages hold memory too."""
+    return packing.pack_documents(docs, max_words=90_000, rows_at_once=300)
 
 
 STAGES = [
