@@ -1,14 +1,26 @@
 """Quality rules whose thresholds follow each language and source.
 
 Every document is measured once. Measures are turned into whole-number rates,
-and each (language, source) group keeps a histogram of them: a quantile sketch of
-bounded size whose merge is an addition, so the result is the same in any order
-and on any cluster. Fences at quartile + reach * spread replace fixed cut-offs.
-Groups with few documents borrow the fences of their language, then of all.
-
-Null text counts as empty. Null languages and sources are groups of their own.
-Repeated rows are judged one by one, alike. Other columns are ignored by
-`verdicts` and kept by `filter_documents`.
+and each (language, source) group keeps histograms of them and of the sizes they
+are divided by: quantile sketches of bounded size whose merge is an addition, so
+the result is the same in any order and on any cluster.
+
+A group's fence lies `reach` spreads beyond its quartile, or beyond its far
+quantile, if that one is itself within reach of the quartile: a long but
+connected tail moves the fence, a separate heap of odd documents does not. The
+spread is that between the quartiles, and at least the scatter of a count (its
+square root, or one) in the group's document of median size and rate, so groups
+of equal documents do not reject every slight deviation. As rates of short
+documents scatter more, the distance from the median to the fence grows with the
+square root of median size / own size for those below the median. A group of
+`full` documents has its own fences; those of a smaller one are the mean of its own
+and its language's, weighed by how full it is, and so are a language's with all.
+
+Null text counts as empty, and an empty or blank text fails the base rules; a very
+long one is measured whole. Null languages and sources are groups of their own.
+Ties at a quantile belong to one bin. Repeated rows are judged one by one, alike,
+and all count. An empty table gives no rows. Other columns, whatever their names,
+are ignored by `verdicts` and kept by `filter_documents`.
 """
 
 from __future__ import annotations
@@ -33,17 +45,12 @@ SYMBOLS = "#*$%&|<>"
 
 @dataclass(frozen=True)
 class Rate:
-    """A whole-number rate: value * scale // per, at most `top`; fenced above and maybe below.
-
-    The spread between quartiles counts as `floor` at least, so groups of equal
-    documents do not reject every slight deviation.
-    """
+    """A whole-number rate: value * scale // per, at most `top`; fenced above and maybe below."""
 
     value: str
     per: str
     scale: int
     top: int
-    floor: int
     below: bool = False
 
     def column(self) -> Column:
@@ -54,18 +61,29 @@ class Rate:
 
 @dataclass(frozen=True)
 class Rules:
+    """tail: the far quantile, in thousandths; the one below is 1000 - tail."""
+
     min_words: int = 20
     max_repeat_percent: int = 30
     reach: int = 3
-    min_group: int = 100
+    tail: int = 950
+    full: int = 200
 
 
 RATES = {
-    "symbols": Rate("n_symbols", "n_words", 1000, 5000, 2),
-    "word_length": Rate("word_chars", "n_words", 10, 1000, 3, below=True),
-    # one line of three may be repeated, half of them may not
-    "dup_lines": Rate("n_dup_lines", "n_lines", 1000, 1000, 120),
+    "symbols": Rate("n_symbols", "n_words", 1000, 5000),
+    "word_length": Rate("word_chars", "n_words", 10, 1000, below=True),
+    "dup_lines": Rate("n_dup_lines", "n_lines", 1000, 1000),
 }
+SIZES = sorted({r.per for r in RATES.values()})
+#: What a group knows of a rate: its fences, the median, and the size of the median document.
+SIDES = ("low", "high", "mid", "size")
+
+
+def size_bin(name: str) -> Column:
+    """A size with its seven leading bits only, so that a histogram of sizes stays small."""
+    shift = f"greatest(length(bin({name})) - 7, 0)"
+    return F.expr(f"shiftleft(shiftright({name}, {shift}), {shift})")
 
 
 def measure_text(text: str | None, window: int = 8) -> tuple[int, ...]:
@@ -113,51 +131,66 @@ def base_failed(rules: Rules) -> Column:
     return (n < rules.min_words) | (100 * repeat > rules.max_repeat_percent * n)
 
 
-def quartiles(bins: DataFrame, keys: list[str], suffix: str) -> DataFrame:
-    """Per group: documents and the quartiles of each rate, read off histograms.
+def histograms(measured: DataFrame, rules: Rules) -> DataFrame:
+    """(lang, source, rate, bin, n) over documents that pass the base rules, of rates and of sizes."""
+    binned = {r: x.column() for r, x in RATES.items()} | {size: size_bin(size) for size in SIZES}
+    rates = F.explode(F.array(*(F.struct(F.lit(r).alias("rate"), x.alias("bin")) for r, x in binned.items())))
+    return (
+        measured.filter(~base_failed(rules)).select("lang", "source", rates.alias("r"))
+        .groupBy("lang", "source", "r.rate", "r.bin").agg(F.count("*").alias("n"))
+    )
+
+
+def own_fences(bins: DataFrame, keys: list[str], rules: Rules) -> DataFrame:
+    """Per group: n documents and <rate>_(SIDES), read off its histograms alone.
 
-    A quartile is the smallest rate with at least that share of the group at or below it.
+    A quantile is the smallest bin with at least that share of the group at or below it.
     """
     bins = bins.groupBy(*keys, "rate", "bin").agg(F.sum("n").alias("n"))
     running = W.partitionBy(*keys, "rate").orderBy("bin")
     whole = W.partitionBy(*keys, "rate")
     placed = bins.withColumns({"upto": F.sum("n").over(running), "all": F.sum("n").over(whole)})
-    quarter = lambda k: F.min(F.when(4 * F.col("upto") >= k * F.col("all"), F.col("bin")))
-    per_rate = placed.groupBy(*keys, "rate").agg(quarter(1).alias("q1"), quarter(3).alias("q3"), F.max("all").alias("all"))
+    levels = {"q1": 250, "q2": 500, "q3": 750, "low": 1000 - rules.tail, "high": rules.tail}
+    per_rate = placed.groupBy(*keys, "rate").agg(
+        F.max("all").alias("n"),
+        *(F.min(F.when(1000 * F.col("upto") >= at * F.col("all"), F.col("bin"))).alias(q) for q, at in levels.items()),
+    )
     wide = per_rate.groupBy(*keys).agg(
-        F.max("all").alias(f"n{suffix}"),
-        *(F.max(F.when(F.col("rate") == r, F.col(q))).alias(f"{r}_{q}{suffix}") for r in RATES for q in ("q1", "q3")),
+        F.max("n").alias("n"),
+        *(F.max(F.when(F.col("rate") == r, F.col(q))).alias(f"{r}_{q}") for r in [*RATES, *SIZES] for q in levels),
     )
-    return wide
-
-
-def histograms(measured: DataFrame, rules: Rules) -> DataFrame:
-    """(lang, source, rate, bin, n) over documents that pass the base rules."""
-    rates = F.explode(F.array(*(F.struct(F.lit(r).alias("rate"), x.column().alias("bin")) for r, x in RATES.items())))
-    return (
-        measured.filter(~base_failed(rules)).select("lang", "source", rates.alias("r"))
-        .groupBy("lang", "source", "r.rate", "r.bin").agg(F.count("*").alias("n"))
-    )
+    out = []
+    for r, x in RATES.items():
+        q1, q2, q3, low, high = (F.col(f"{r}_{q}") for q in ("q1", "q2", "q3", "low", "high"))
+        size = F.col(f"{x.per}_q2")
+        count = F.greatest(F.sqrt(q2 * size / x.scale), F.lit(1.0))
+        scatter = F.ceil(count * x.scale / F.greatest(size, F.lit(1)))
+        reach = rules.reach * F.greatest(q3 - q1, scatter)
+        out.append((F.when(high <= q3 + reach, high).otherwise(q3) + reach).alias(f"{r}_high"))
+        least = F.when(low >= q1 - reach, low).otherwise(q1) - reach
+        out.append(F.greatest(least if x.below else F.lit(0), F.lit(0)).cast("bigint").alias(f"{r}_low"))
+        out += [F.col(f"{r}_q2").alias(f"{r}_mid"), F.col(f"{x.per}_q2").alias(f"{r}_size")]
+    return wide.select(*keys, "n", *out)
 
 
 def fences(measured: DataFrame, rules: Rules) -> DataFrame:
-    """(lang, source, <rate>_low, <rate>_high) for each group."""
+    """(lang, source, <rate>_(SIDES)) for each group, drawn to its language and to all."""
     h = histograms(measured, rules)
-    groups, langs = quartiles(h, ["lang", "source"], ""), quartiles(h, ["lang"], "_l")
-    every = quartiles(h.withColumn("one", F.lit(1)), ["one"], "_e")  # a single row
-    both = groups.join(langs.withColumnRenamed("lang", "lang_l"), F.col("lang").eqNullSafe(F.col("lang_l")))
-    both = both.withColumn("one", F.lit(1)).join(F.broadcast(every), "one")
+    names = [f"{r}_{side}" for r in RATES for side in SIDES]
 
-    def best(name: str) -> Column:
-        enough = F.lit(rules.min_group)
-        return F.when(F.col("n") >= enough, F.col(name)).when(F.col("n_l") >= enough, F.col(f"{name}_l")).otherwise(F.col(f"{name}_e"))
+    def drawn(own: DataFrame, keys: list[str], to: DataFrame) -> DataFrame:
+        """The mean of own fences and those of the wider group, rounded down."""
+        held = f"least(n, {rules.full})"
+        mean = [F.expr(f"({held} * {c} + ({rules.full} - {held}) * _{c}) div {rules.full}").alias(c) for c in names]
+        return own.join(to, F.col(keys[0]).eqNullSafe(F.col("_key"))).select(*keys, *mean)
 
-    out = []
-    for r, x in RATES.items():
-        spread = rules.reach * F.greatest(best(f"{r}_q3") - best(f"{r}_q1"), F.lit(x.floor))
-        out.append((best(f"{r}_q3") + spread).alias(f"{r}_high"))
-        out.append((best(f"{r}_q1") - spread if x.below else F.lit(-1).cast("bigint")).alias(f"{r}_low"))
-    return both.select("lang", "source", *out)
+    def wider(df: DataFrame, key: Column) -> DataFrame:
+        return df.select(key.alias("_key"), *(F.col(c).alias(f"_{c}") for c in names))
+
+    every = own_fences(h.withColumn("one", F.lit(1)), ["one"], rules)  # a single row
+    langs = own_fences(h, ["lang"], rules).withColumn("one", F.lit(1))
+    langs = drawn(langs, ["one", "lang"], F.broadcast(wider(every, F.col("one"))))
+    return drawn(own_fences(h, ["lang", "source"], rules), ["lang", "source"], wider(langs, F.col("lang")))
 
 
 def join_fences(measured: DataFrame, limits: DataFrame) -> DataFrame:
@@ -169,8 +202,20 @@ def join_fences(measured: DataFrame, limits: DataFrame) -> DataFrame:
 
 def within(rules: Rules) -> Column:
     """Passes the base rules and lies within all fences."""
-    inside = [r.column().between(F.col(f"{name}_low"), F.col(f"{name}_high")) for name, r in RATES.items()]
-    return ~base_failed(rules) & F.coalesce(reduce(Column.__and__, inside), F.lit(True))
+
+    def inside(r: str, x: Rate) -> Column:
+        rate, size = x.column(), F.greatest(F.col(x.per), F.lit(1))
+        low, high, mid, median = (F.col(f"{r}_{side}") for side in SIDES)
+
+        def short(fence: Column) -> Column:
+            """Within the fence of a document of this size, when it is shorter than the median one."""
+            return (rate - mid) * (rate - mid) * size <= (fence - mid) * (fence - mid) * median
+
+        above = (rate <= high) | short(high)
+        return above & ((rate >= low) | short(low)) if x.below else above
+
+    every = reduce(Column.__and__, (inside(r, x) for r, x in RATES.items()))
+    return ~base_failed(rules) & F.coalesce(every, F.lit(True))
 
 
 def measured_rows(docs: DataFrame) -> DataFrame:

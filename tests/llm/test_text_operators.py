@@ -1,6 +1,7 @@
 """Secrets, language, BPE, toxicity and quality: brute force, round trips, held-out accuracy, edges."""
 
 import hashlib
+import math
 import random
 import re
 from collections import Counter
@@ -218,40 +219,74 @@ def test_quality_measures_equal_brute_force(spark):
     assert [quality_rules.measure_text(t) for t in texts] == [measures(t) for t in texts]
 
 
-def quartile(values, k):
-    """The smallest value with at least k quarters of all at or below it."""
+def quantile(values, thousandths):
+    """The smallest value with at least that share of all at or below it."""
     ordered = sorted(values)
-    return next(v for v in ordered if 4 * sum(x <= v for x in ordered) >= k * len(ordered))
+    return next(v for v in ordered if 1000 * sum(x <= v for x in ordered) >= thousandths * len(ordered))
+
+
+RATE = {
+    "symbols": lambda m: min(m[2] * 1000 // max(m[0], 1), 5000),
+    "word_length": lambda m: min(m[1] * 10 // max(m[0], 1), 1000),
+    "dup_lines": lambda m: min(m[3] * 1000 // max(m[5], 1), 1000),
+}
+
+
+def plain_fences(pool, rules):
+    """rate -> (low, high, median, median size) of one group's measures, by the words of the docstring."""
+    out = {}
+    for name, f in RATE.items():
+        x = quality_rules.RATES[name]
+        values = [f(m) for m in pool]
+        sizes = [m[0] if x.per == "n_words" else m[5] for m in pool]
+        sizes = [s >> max(s.bit_length() - 7, 0) << max(s.bit_length() - 7, 0) for s in sizes]
+        q1, q3 = quantile(values, 250), quantile(values, 750)
+        size = quantile(sizes, 500)
+        scatter = math.ceil(max(math.sqrt(quantile(values, 500) * size / x.scale), 1) * x.scale / max(size, 1))
+        reach = rules.reach * max(q3 - q1, scatter)
+        low, high = quantile(values, 1000 - rules.tail), quantile(values, rules.tail)
+        high = (high if high <= q3 + reach else q3) + reach
+        low = (low if low >= q1 - reach else q1) - reach
+        out[name] = max(low, 0) if x.below else 0, high, quantile(values, 500), size
+    return out
+
+
+def drawn_to(own, n, to, full):
+    n = min(n, full)
+    return {r: tuple((n * a + (full - n) * b) // full for a, b in zip(own[r], to[r])) for r in own}
 
 
 def test_quality_verdicts_equal_brute_force(spark):
-    rules = quality_rules.Rules(min_group=30)
     docs = common.table(spark, "/root/testdata/sf0.001", "documents")
     docs = docs.withColumn("source", F.expr("CASE WHEN doc_id % 9 = 0 THEN NULL ELSE 's' || doc_id % 3 END"))
     docs = docs.unionByName(docs.limit(3)).withColumn("lang", F.expr("CASE WHEN doc_id % 11 > 0 THEN lang END"))
-    got = {(r.doc_id, r.base_failed, r.kept) for r in quality_rules.verdicts(docs, rules).collect()}
     rows = [(r, measures(r.text)) for r in docs.collect()]
-    rate = {
-        "symbols": lambda m: min(m[2] * 1000 // max(m[0], 1), 5000),
-        "word_length": lambda m: min(m[1] * 10 // max(m[0], 1), 1000),
-        "dup_lines": lambda m: min(m[3] * 1000 // max(m[5], 1), 1000),
-    }
     failed = lambda m: m[0] < 20 or 100 * m[4] > 30 * m[0]
     good = [(r, m) for r, m in rows if not failed(m)]
-    want = set()
-    for r, m in rows:
-        pools = [
-            [b for a, b in good if (a.lang, a.source) == (r.lang, r.source)], [b for a, b in good if a.lang == r.lang], [b for _, b in good],
-        ]
-        pool = next((p for p in pools[:2] if len(p) >= 30), pools[2])
-        kept = not failed(m)
-        for name, f in rate.items():
-            q1, q3 = (quartile([f(b) for b in pool], k) for k in (1, 3))
-            reach = 3 * max(q3 - q1, quality_rules.RATES[name].floor)
-            low = q1 - reach if quality_rules.RATES[name].below else -1
-            kept = kept and (not pools[0] or low <= f(m) <= q3 + reach)
-        want.add((r.doc_id, failed(m), kept))
-    assert got == want
+    for rules in (quality_rules.Rules(), quality_rules.Rules(full=20, tail=800, reach=1)):
+        got = Counter((r.doc_id, r.base_failed, r.kept) for r in quality_rules.verdicts(docs, rules).collect())
+        every, fence, want = plain_fences([m for _, m in good], rules), {}, Counter()
+        for key in {(r.lang, r.source) for r, _ in good}:
+            same_lang = [m for r, m in good if r.lang == key[0]]
+            own = [m for r, m in good if (r.lang, r.source) == key]
+            lang = drawn_to(plain_fences(same_lang, rules), len(same_lang), every, rules.full)
+            fence[key] = drawn_to(plain_fences(own, rules), len(own), lang, rules.full)
+        for r, m in rows:
+            kept = not failed(m)
+            for name, (low, high, mid, median) in fence[r.lang, r.source].items() if kept else ():
+                wider = math.sqrt(max(1, median / (m[0] if quality_rules.RATES[name].per == "n_words" else m[5])))
+                kept = kept and mid - (mid - low) * wider - 1e-9 <= RATE[name](m) <= mid + (high - mid) * wider + 1e-9
+            want[r.doc_id, failed(m), kept] += 1
+        assert got == want
+
+
+def test_quality_fences_differ_by_group_in_every_rate(spark):
+    docs = common.table(spark, MEDIUM, "documents")
+    limits = quality_rules.fences(quality_rules.measured_rows(docs), quality_rules.Rules()).toPandas()
+    assert not limits.duplicated(["lang", "source"]).any()
+    for rate in quality_rules.RATES:
+        assert limits[f"{rate}_high"].nunique() > 1
+    assert limits["word_length_low"].nunique() > 1
 
 
 def test_quality_edges_and_filter(spark, edges, nothing):
