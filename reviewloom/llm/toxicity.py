@@ -6,14 +6,20 @@ to 3 run over the whole text, each is pooled by its maximum, and a linear layer
 gives the logit. All of it is trained in numpy on the driver, on a bounded sample
 of labelled rows; embeddings start from how far the label deviates from chance
 where their hash occurs. A decision threshold is then calibrated for each
-language on sample rows that training has not seen, and moved to score 0.5.
+language on all labelled rows that training has not seen, and moved to score 0.5:
+texts are read once for their logits and languages, Spark counts labelled rows by
+language and binned logit, and these histograms are added up. A language's
+threshold is drawn to that of all languages the more, the fewer toxic rows it has.
 The language is predicted from the text (`langid`), so neither the score nor the
 prediction reads the lang column; its values are used in training only.
 
-Null text counts as empty; a text without words gets the score of a lone blank.
-Rows without a label are scored, not learned. Without labels of both kinds every
-score is 0. Ids, nulls and repeated rows of doc_id pass through as they are;
-other columns are ignored by `scores` and kept by `filter_documents`.
+Null text counts as empty; a text without words gets the score of a lone blank; a
+very long one is read whole. Rows without a label are scored, not learned. Without
+labels of both kinds every score is 0. Ids, nulls and repeated rows of doc_id pass
+through as they are, and equal texts get equal scores up to rounding of 32-bit
+numbers; an empty table gives no rows. A label counts once for each row of its id
+in either table. Other columns, whatever their names, are ignored by `scores` and
+kept by `filter_documents`.
 """
 
 from __future__ import annotations
@@ -24,9 +30,8 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType
 
 from reviewloom.llm import common, langid
 
@@ -37,14 +42,17 @@ EDGES = ".,;:!?\"'()[]{}#*$%&|<>-_/\\~`+=@^"
 WIDTHS = (1, 2, 3)
 #: Rows of zeros behind each text, so that filters do not reach into the next one.
 PAD = max(WIDTHS) - 1
+#: Bins of logits between two whole numbers, and the largest logit that has a bin.
+BINS, FAR = 64, 30
 
 
 @dataclass(frozen=True)
 class Settings:
-    """per_label: about so many rows of either label are learned from, chosen by a hash of doc_id.
+    """per_label: about so many rows of either label are drawn by a hash of doc_id; training sees seven tenths of them.
 
-    Three tenths of them go to the thresholds. A language needs `least` toxic rows
-    among those for a threshold of its own.
+    Where an id repeats in either table, `rows` bounds what training reads. Thresholds come from
+    all other labelled rows; a language's own one weighs as much as its toxic rows there, the one
+    of all languages as `borrow` of them.
     """
 
     per_label: int = 2500
@@ -53,7 +61,8 @@ class Settings:
     epochs: int = 6
     batch: int = 64
     rate: float = 0.02
-    least: int = 10
+    rows: int = 20_000
+    borrow: int = 10
     seed: int = 3
 
 
@@ -110,18 +119,14 @@ class Model:
     thresholds: dict[str, float] = field(default_factory=dict)
     default: float = 0.0
 
-    def threshold(self, text: str) -> float:
-        lang, _ = self.languages.predict(text)
-        return self.thresholds.get(lang, self.default)
-
 
 def joined(docs: list[list[int]]) -> tuple[np.ndarray, np.ndarray]:
-    """Word numbers of all texts, each with its padding, and the place where each begins."""
+    """Word numbers of all texts, a lone blank if there are none, each with its padding; the place where each begins."""
     flat: list[int] = []
     starts = []
     for d in docs:
         starts.append(len(flat))
-        flat += d
+        flat += d or [0]
         flat += [0] * PAD
     return np.array(flat, np.int64), np.array(starts, np.int64)
 
@@ -169,7 +174,7 @@ def fit(docs: list[np.ndarray], features: np.ndarray, labels: np.ndarray, s: Set
         for i in range(0, len(order), s.batch):
             own = order[i : i + s.batch]
             flat, starts = joined([docs[d].tolist() for d in own])
-            sizes = np.diff(np.append(starts, len(flat)))
+            sizes = np.diff(np.append(starts, len(flat))) - PAD
             used, place_of = np.unique(flat, return_inverse=True)
             x = net.embed[features[used]].sum(axis=1)[place_of]
             # where each filter is largest in each text
@@ -236,6 +241,8 @@ class Scorer:
             self.clear()
         flat, starts = joined([self.words.of(t) for t in texts])
         self.grow()
+        ends = np.append(starts[1:], len(flat))
+        padding = np.concatenate([ends - 1 - j for j in range(PAD)])
         pooled, column = [], 0
         for k, b in zip(self.net.kernels, self.net.bias):
             w, _, f = k.shape
@@ -243,20 +250,19 @@ class Scorer:
             for j in range(w):
                 y[: len(flat) - j] += self.said[flat[j:], column : column + f]
                 column += f
+            y[padding] = -np.inf  # a filter that begins there reaches into the next text
             pooled.append(np.maximum.reduceat(y, starts, axis=0) + b)
         return np.maximum(np.concatenate(pooled, axis=1), 0) @ self.net.out + self.net.out_bias
 
 
-def best_threshold(logits: np.ndarray, labels: np.ndarray, weight: np.ndarray) -> float:
-    """The middle of the range of thresholds with the highest weighted F1."""
-    order = np.argsort(-logits, kind="stable")
-    z, y, w = logits[order], labels[order], weight[order]
-    hit, said = np.cumsum(w * y), np.cumsum(w)
-    f1 = 2 * hit / (said + (w * y).sum())
-    last = np.append(z[:-1] > z[1:], True)  # a threshold cannot part equal logits
-    f1 = np.where(last, f1, -1)
-    k = int(f1.argmax())
-    return float((z[k] + z[k + 1]) / 2) if k + 1 < len(z) else float(z[k] - 1)
+def best_threshold(bins: np.ndarray, toxic: np.ndarray, clean: np.ndarray) -> float:
+    """The middle of the range of thresholds with the highest F1, from the weights of toxic and clean rows per bin.
+
+    bins: ascending numbers of bins of width 1 / BINS; all rows of a bin are on one side.
+    """
+    z, hit, said = bins[::-1], np.cumsum(toxic[::-1]), np.cumsum((toxic + clean)[::-1])
+    k = int((2 * hit / (said + toxic.sum())).argmax())
+    return float(z[k] + z[k + 1] + 1) / (2 * BINS) if k + 1 < len(z) else float(z[k]) / BINS - 1
 
 
 def language_model(rows: list[tuple[str, str]]) -> langid.Model:
@@ -275,78 +281,134 @@ def language_model(rows: list[tuple[str, str]]) -> langid.Model:
     return langid.Model(langs, idf, weights, bias)
 
 
-def train(docs: DataFrame, labels: DataFrame, s: Settings = Settings()) -> Model:
-    """docs: doc_id, text, lang; labels: doc_id, toxic (0, 1 or null)."""
-    known = labels.select("doc_id", F.col("toxic").cast("int").alias("toxic")).filter("toxic IN (0, 1) AND doc_id IS NOT NULL")
-    sizes = {r["toxic"]: r["n"] for r in known.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
-    sample = langid.sample_rows(known, "toxic", s.per_label)  # bounded, so it may be broadcast
-    rows = docs.select("doc_id", "text", "lang").join(F.broadcast(sample), "doc_id").collect()
+def known_labels(labels: DataFrame) -> DataFrame:
+    """doc_id, toxic (0 or 1)."""
+    return labels.select("doc_id", F.col("toxic").cast("int").alias("toxic")).filter("toxic IN (0, 1) AND doc_id IS NOT NULL")
+
+
+def learn(docs: DataFrame, labels: DataFrame, s: Settings = Settings()) -> tuple[Model, DataFrame | None]:
+    """A model without thresholds, from a bounded sample, and the ids it learned from (None: too few to set any aside)."""
+    sample = langid.sample_rows(known_labels(labels), "toxic", s.per_label)  # bounded, so it may be broadcast
+    rows = docs.select("doc_id", "text", "lang").join(F.broadcast(sample), "doc_id")
+    rows = rows.orderBy(F.xxhash64("doc_id"), "doc_id", F.xxhash64("text")).limit(s.rows).collect()
     rows = sorted(((r["doc_id"], r["text"] or "", r["lang"], r["toxic"], r["_part"]) for r in rows), key=str)
     y = np.array([r[3] for r in rows], np.float64)
     languages = language_model([(t, lang) for _, t, lang, _, part in rows if part >= 7])
     if not len(rows) or y.min() == y.max():
-        return Model(None, languages)
-    unseen = np.array([r[4] < 3 for r in rows])
-    if len(set(y[~unseen])) < 2 or len(set(y[unseen])) < 2:
-        unseen[:] = True  # too few rows to set some aside: both steps use all
-        learned = np.ones(len(rows), bool)
-    else:
-        learned = ~unseen
+        return Model(None, languages), None
+    learned = np.array([r[4] >= 3 for r in rows])
+    enough = len(set(y[learned])) == 2 and len(set(y[~learned])) == 2
+    if not enough:
+        learned[:] = True
     words = Words()
     numbers = [np.array(words.of(r[1]), np.int32) for r in rows]
     net = fit([n for n, u in zip(numbers, learned) if u], words.take(), y[learned], s)
-    del numbers, words
-    texts = [r[1] for r, u in zip(rows, unseen) if u]
-    scorer = Scorer(net)
-    logits = np.concatenate([scorer.logits(texts[i : i + 100]) for i in range(0, len(texts), 100)])
-    yu = y[unseen]
-    weight = np.where(yu == 1, sizes.get(1, 0) / max(y.sum(), 1), sizes.get(0, 0) / max((1 - y).sum(), 1))
-    model = Model(net, languages, default=best_threshold(logits, yu, weight))
-    own = np.array([languages.predict(t)[0] for t in texts])
-    for lang in sorted(set(own)):
-        at = own == lang
-        if yu[at].sum() >= s.least and (1 - yu[at]).sum() >= s.least:
-            model.thresholds[lang] = best_threshold(logits[at], yu[at], weight[at])
-    return model
-
+    return Model(net, languages), sample.filter("_part >= 3").select("doc_id") if enough else None
 
-def score_texts(model: Model, scorer: Scorer | None, texts: list[str]) -> np.ndarray:
-    if scorer is None or not texts:
-        return np.zeros(len(texts))
-    moved = scorer.logits(texts) - np.array([model.threshold(t) for t in texts])
-    return 1 / (1 + np.exp(-np.clip(moved, -30, 30)))
 
-
-def scorer_udf(spark: SparkSession, model: Model) -> Callable:
-    """A Spark function from text to score."""
+def marks_udf(spark: SparkSession, model: Model) -> Callable:
+    """A Spark function from text to its logit (null without a net) and predicted language."""
     sent = spark.sparkContext.broadcast(model)
 
-    def score(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    def mark(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        common.give_back()
         own = sent.value
         scorer = Scorer(own.net) if own.net is not None else None
         for batch in batches:
             texts = [t or "" for t in batch]
-            parts = [score_texts(own, scorer, texts[i : i + 100]) for i in range(0, len(texts), 100)]
-            yield pd.Series(np.concatenate(parts) if parts else np.zeros(0), dtype="float64")
+            parts = [scorer.logits(texts[i : i + 100]) for i in range(0, len(texts), 100)] if scorer else []
+            logits = np.concatenate(parts) if parts else np.full(len(texts), np.nan)
+            langs = [own.languages.predict(t)[0] for t in texts] if scorer else [langid.UNKNOWN] * len(texts)
+            yield pd.DataFrame({"logit": logits.astype(np.float64), "lang": pd.Series(langs, dtype=object)})
+
+    mark.__annotations__ = {"batches": Iterator[pd.Series], "return": Iterator[pd.DataFrame]}
+    return F.pandas_udf(mark, "logit double, lang string")
+
+
+def calibrate(model: Model, marked: DataFrame, labels: DataFrame, learned: DataFrame | None, s: Settings) -> None:
+    """Set the thresholds. marked: doc_id, mark (logit, lang); learned: ids that training has seen.
+
+    The driver gets one row for each language, label and bin. Rows of a label weigh as if
+    training had taken none of them.
+    """
+    if model.net is None:
+        return
+    known = known_labels(labels)
+    held = known if learned is None else known.join(F.broadcast(learned.distinct()), "doc_id", "left_anti")
+    logit = F.greatest(F.least(F.col("mark.logit"), F.lit(float(FAR))), F.lit(-float(FAR)))
+    counts = (
+        marked.select("doc_id", F.col("mark.lang").alias("lang"), F.floor(logit * BINS).alias("bin")).join(held, "doc_id")
+        .groupBy("lang", "toxic", "bin").agg(F.count("*").alias("n")).toPandas()
+    )
+    sizes = {r["toxic"]: r["n"] for r in known.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
+    rows = counts.groupby("toxic")["n"].sum()
+    if len(rows) < 2:
+        return
+
+    def threshold(part: pd.DataFrame) -> float:
+        table = part.pivot_table(index="bin", columns="toxic", values="n", aggfunc="sum", fill_value=0).sort_index()
+        weight = [table[y].to_numpy() * (sizes[y] / rows[y]) for y in (1, 0)]
+        return best_threshold(table.index.to_numpy(), *weight)
+
+    model.default = threshold(counts)
+    for lang, part in counts.groupby("lang"):
+        n = part.loc[part.toxic == 1, "n"].sum()
+        if n and (part.toxic == 0).any():
+            model.thresholds[lang] = (n * threshold(part) + s.borrow * model.default) / (n + s.borrow)
+
+
+def score_column(model: Model, mark: Column) -> Column:
+    """From a mark: the logit less the threshold of its language, as a probability."""
+    if model.net is None:
+        return F.lit(0.0)
+    line = F.lit(model.default)
+    for lang, at in sorted(model.thresholds.items()):
+        line = F.when(mark["lang"] == lang, F.lit(at)).otherwise(line)
+    moved = mark["logit"] - line
+    return 1 / (1 + F.exp(-F.greatest(F.least(moved, F.lit(float(FAR))), F.lit(-float(FAR)))))
+
+
+def marked_rows(docs: DataFrame, model: Model, *columns: str | Column) -> DataFrame:
+    """The columns and mark, written once to the shared folder: texts are read once and never shuffled."""
+    return common.kept_table(docs.select(*columns, marks_udf(docs.sparkSession, model)("text").alias("mark")))
 
-    score.__annotations__ = {"batches": Iterator[pd.Series], "return": Iterator[pd.Series]}
-    return F.pandas_udf(score, DoubleType())
+
+def train(docs: DataFrame, labels: DataFrame, s: Settings = Settings()) -> Model:
+    """docs: doc_id, text, lang; labels: doc_id, toxic (0, 1 or null)."""
+    model, learned = learn(docs, labels, s)
+    if model.net is not None:
+        calibrate(model, marked_rows(docs, model, "doc_id"), labels, learned, s)
+    return model
+
+
+def scored(marked: DataFrame, model: Model) -> DataFrame:
+    rows = marked.select("doc_id", score_column(model, F.col("mark")).alias("score"))
+    return rows.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
 
 
 def scores(docs: DataFrame, model: Model) -> DataFrame:
-    """doc_id, score, predicted."""
-    scored = docs.select("doc_id", scorer_udf(docs.sparkSession, model)("text").alias("score"))
-    return scored.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
+    """doc_id, score, predicted of a trained model."""
+    return scored(docs.select("doc_id", marks_udf(docs.sparkSession, model)("text").alias("mark")), model)
+
+
+def learn_and_score(docs: DataFrame, labels: DataFrame, s: Settings = Settings()) -> DataFrame:
+    """As scores(docs, train(docs, labels)), with one pass over the texts for thresholds and scores."""
+    model, learned = learn(docs, labels, s)
+    marked = marked_rows(docs, model, "doc_id")
+    calibrate(model, marked, labels, learned, s)
+    return scored(marked, model)
 
 
 def filter_documents(docs: DataFrame, labels: DataFrame, s: Settings = Settings()) -> DataFrame:
     """The documents below score 0.5, learned from the labelled ones among them; columns unchanged."""
-    score = scorer_udf(docs.sparkSession, train(docs, labels, s))
-    return docs.select(common.whole_row(docs), score("text").alias("_score")).filter("_score < 0.5").select("_row.*")
+    model, learned = learn(docs, labels, s)
+    marked = marked_rows(docs, model, common.whole_row(docs), "doc_id")
+    calibrate(model, marked, labels, learned, s)
+    return marked.filter(score_column(model, F.col("mark")) < 0.5).select("_row.*")
 
 
 def op8_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     docs, labels = common.table(spark, folder, "documents"), common.table(spark, folder, "labels")
-    model = train(docs, labels.filter(langid.fold(5) != 0))
     held_out = F.coalesce(langid.fold(5) == 0, F.lit(False))
-    return scores(docs, model).select("doc_id", held_out.alias("held_out"), "score", "predicted")
+    rows = learn_and_score(docs, labels.filter(langid.fold(5) != 0))
+    return rows.select("doc_id", held_out.alias("held_out"), "score", "predicted")

@@ -165,6 +165,50 @@ def test_bpe_tables(spark, edges, nothing):
     assert bpe.round_trip(nothing).count() == 0
 
 
+def plain_ftrl(rows, labels, n_langs, s, seed=1):
+    """One weight after another, with the published update of follow-the-regularised-leader."""
+    z, n = {}, {}
+
+    def weight(key, l1):
+        zi = z.get(key, 0.0)
+        if abs(zi) <= l1:
+            return 0.0
+        return -(zi - math.copysign(l1, zi)) / ((s.beta + math.sqrt(n.get(key, 0.0))) / s.alpha + s.l2)
+
+    order = np.random.default_rng(seed)
+    for _ in range(s.epochs):
+        for i in order.permutation(len(rows)):
+            features = [*zip(rows[i][0].tolist(), rows[i][1].tolist(), [s.l1] * len(rows[i][0])), ("bias", 1.0, 0.0)]
+            w = {(f, k): weight((f, k), l1) for f, _, l1 in features for k in range(n_langs)}
+            logit = [sum(w[f, k] * x for f, x, _ in features) for k in range(n_langs)]
+            e = [math.exp(v - max(logit)) for v in logit]
+            for f, x, _ in features:
+                for k in range(n_langs):
+                    g = (e[k] / sum(e) - (k == labels[i])) * x
+                    old = n.get((f, k), 0.0)
+                    sigma = (math.sqrt(old + g * g) - math.sqrt(old)) / s.alpha
+                    z[f, k] = z.get((f, k), 0.0) + g - sigma * w[f, k]
+                    n[f, k] = old + g * g
+    return {key: weight(key, 0.0 if key[0] == "bias" else s.l1) for key in z}
+
+
+def test_language_regression_equals_plain_ftrl():
+    rng, s = np.random.default_rng(7), langid.Settings()
+    rows = []
+    for _ in range(25):
+        at = np.sort(rng.choice(40, int(rng.integers(1, 9)), replace=False))
+        rows.append((at, rng.random(len(at)) + 0.1))
+    labels = rng.integers(0, 3, len(rows))
+    weights, bias = langid.fit(rows, labels, 3, s)
+    want = plain_ftrl(rows, labels, 3, s)
+    assert np.allclose(bias, [want["bias", k] for k in range(3)])
+    full = np.zeros_like(weights)
+    for (f, k), w in want.items():
+        if f != "bias":
+            full[f, k] = w
+    assert np.allclose(weights, full) and (weights[:40] == 0).any() and (weights != 0).any()
+
+
 def test_toxicity_held_out_and_edges(spark, edges, nothing):
     labels = common.table(spark, MEDIUM, "labels")
     found = QUERIES["op8_toxicity"](spark, MEDIUM).join(labels, "doc_id").toPandas()
@@ -200,6 +244,91 @@ def test_toxicity_learns_words_and_stems_and_keeps_columns(spark):
     assert wrong <= 3 and {9000, 9001} <= kept
 
 
+def held_out_auc(spark, folder):
+    labels = common.table(spark, folder, "labels")
+    held = QUERIES["op8_toxicity"](spark, folder).filter("held_out").join(labels, "doc_id").toPandas()
+    held = held[held.toxic.notna()]
+    n1, n0 = (held.toxic == 1).sum(), (held.toxic == 0).sum()
+    return (held.score.rank()[held.toxic == 1].sum() - n1 * (n1 + 1) / 2) / (n1 * n0)
+
+
+def test_toxicity_ranks_held_out_rows(spark):
+    assert held_out_auc(spark, "/root/testdata/sf0.1") > 0.93
+
+
+def small_net(rng):
+    size, filters = 4, 3
+    embed = rng.normal(0, 1, (toxicity.BUCKETS, size)).astype(np.float32)
+    embed[0] = 0
+    kernels = [rng.normal(0, 1, (w, size, filters)).astype(np.float32) for w in toxicity.WIDTHS]
+    bias = [rng.normal(0, 1, filters).astype(np.float32) for _ in toxicity.WIDTHS]
+    return toxicity.Net(embed, kernels, bias, rng.normal(0, 1, 3 * filters).astype(np.float32), 0.3)
+
+
+def plain_logit(net, text):
+    """One filter at one place after another, by the words of the docstring."""
+    words = [sum(net.embed[f] for f in toxicity.word_features(w)) for w in text.lower().split()]
+    words = words or [np.zeros(net.embed.shape[1])]
+    pooled = []
+    for w, kernel, bias in zip(toxicity.WIDTHS, net.kernels, net.bias):
+        for f in range(kernel.shape[2]):
+            at = [sum(float(words[i + j] @ kernel[j, :, f]) for j in range(w) if i + j < len(words)) for i in range(len(words))]
+            pooled.append(max(0.0, max(at) + float(bias[f])))
+    return float(np.dot(pooled, net.out)) + net.out_bias
+
+
+def test_toxicity_logits_equal_plain_loop():
+    rng, letters = random.Random(4), "abcdefgh"
+    net = small_net(np.random.default_rng(4))
+    vocabulary = ["".join(rng.choices(letters, k=rng.randint(1, 10))) + rng.choice(["", ",", "!"]) for _ in range(60)]
+    texts = [" ".join(rng.choices(vocabulary, k=rng.randint(0, 30))) for _ in range(60)] + ["", " ", "One", "ONE"]
+    scorer = toxicity.Scorer(net, max_words=20)  # forgets words between calls
+    got = np.concatenate([scorer.logits(texts[i : i + 7]) for i in range(0, len(texts), 7)])
+    assert np.allclose(got, [plain_logit(net, t) for t in texts], atol=1e-4)
+
+
+def test_toxicity_threshold_has_the_best_f1():
+    rng = np.random.default_rng(5)
+    for _ in range(30):
+        bins = np.sort(rng.choice(np.arange(-200, 200), int(rng.integers(1, 12)), replace=False))
+        toxic, clean = rng.integers(0, 5, len(bins)) + 0.5, rng.integers(0, 5, len(bins)) * 1.5
+        f1 = lambda t: 2 * toxic[t].sum() / (toxic[t].sum() + clean[t].sum() + toxic.sum()) if t.any() else 0
+        line = toxicity.best_threshold(bins, toxic, clean)
+        lower, upper = bins / toxicity.BINS, (bins + 1) / toxicity.BINS
+        assert ((lower >= line) | (upper <= line)).all()  # parts no bin
+        assert np.isclose(f1(lower >= line), max(f1(bins >= b) for b in bins))
+
+
+def test_toxicity_thresholds_cover_all_rows_outside_the_sample(spark):
+    """Labelled rows that are not drawn for the sample still move the threshold of their language."""
+    rng = random.Random(6)
+    clean = ["".join(rng.choices("abcdefghij", k=5)) for _ in range(200)]
+    rows = [(i, " ".join(rng.choices(clean, k=30) + ["zorkle"] * (i % 4 == 0))) for i in range(800)]
+    labels = spark.createDataFrame([(i, int(i % 4 == 0)) for i, _ in rows], "doc_id bigint, toxic int")
+    docs, s = documents(spark, rows), toxicity.Settings(per_label=60)
+    model, learned = toxicity.learn(docs, labels, s)
+    seen = {r.doc_id for r in learned.collect()}
+    assert 0 < len(seen) < 120
+    marked = toxicity.marked_rows(docs, model, "doc_id")
+    toxicity.calibrate(model, marked, labels, learned, s)
+    rest = [(r.doc_id % 4 == 0, r.mark.logit, r.mark.lang) for r in marked.collect() if r.doc_id not in seen]
+    weight = {y: sum((i % 4 == 0) == y for i in range(800)) / sum(t == y for t, _, _ in rest) for y in (True, False)}
+
+    def plain(some):
+        bins = sorted({math.floor(z * toxicity.BINS) for _, z, _ in some})
+        share = lambda y: np.array([weight[y] * sum(t == y and math.floor(z * toxicity.BINS) == b for t, z, _ in some) for b in bins])
+        return toxicity.best_threshold(np.array(bins), share(True), share(False))
+
+    assert np.isclose(model.default, plain(rest))
+    for lang, line in model.thresholds.items():
+        own = [r for r in rest if r[2] == lang]
+        n = sum(t for t, _, _ in own)
+        assert np.isclose(line, (n * plain(own) + s.borrow * model.default) / (n + s.borrow))
+    together = {r.doc_id: r.score for r in toxicity.learn_and_score(docs, labels, s).collect()}
+    apart = {r.doc_id: r.score for r in toxicity.scores(docs, toxicity.train(docs, labels, s)).collect()}
+    assert together.keys() == apart.keys() and all(abs(together[i] - apart[i]) < 1e-5 for i in apart)
+
+
 def measures(text):
     """By the words of the contract."""
     text = text or ""
