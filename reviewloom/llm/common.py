@@ -101,6 +101,12 @@ def slices(batch: pa.RecordBatch, rows: int = 500, size: int = 4 << 20) -> Itera
         start += part.num_rows
 
 
+def array_slices(values: pa.Array, rows: int) -> Iterator[pa.Array]:
+    """As slices, of one column."""
+    batch = pa.RecordBatch.from_arrays([values], names=["values"])
+    return (part.column(0) for part in slices(batch, rows))
+
+
 def give_back() -> None:
     """Return freed memory to the system: a worker process lives on behind its task."""
     gc.collect()

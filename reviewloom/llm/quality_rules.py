@@ -25,11 +25,12 @@ are ignored by `verdicts` and kept by `filter_documents`.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import reduce
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
@@ -121,9 +122,13 @@ def repeated_words(words: list[bytes], window: int) -> int:
     return int((np.cumsum(step[:-1]) > 0).sum())
 
 
-@F.pandas_udf(SCHEMA)
-def measures(texts: pd.Series) -> pd.DataFrame:
-    return pd.DataFrame([measure_text(t) for t in texts], columns=list(MEASURES), dtype="int64")
+@F.arrow_udf(SCHEMA)
+def measures(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+    common.give_back()
+    kind = pa.struct([(m, pa.int64()) for m in MEASURES])
+    for batch in batches:
+        rows = (measure_text(t) for part in common.array_slices(batch, 500) for t in part.to_pylist())
+        yield pa.array([dict(zip(MEASURES, r)) for r in rows], kind)
 
 
 def base_failed(rules: Rules) -> Column:

@@ -30,6 +30,7 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -220,7 +221,7 @@ def fit(docs: list[np.ndarray], features: np.ndarray, labels: np.ndarray, s: Set
 class Scorer:
     """Logits of texts; keeps what each filter says of each word seen so far."""
 
-    def __init__(self, net: Net, max_words: int = 100_000):
+    def __init__(self, net: Net, max_words: int = 50_000):
         self.net, self.max_words = net, max_words
         self.clear()
 
@@ -310,19 +311,28 @@ def marks_udf(spark: SparkSession, model: Model) -> Callable:
     """A Spark function from text to its logit (null without a net) and predicted language."""
     sent = spark.sparkContext.broadcast(model)
 
-    def mark(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+    def mark(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         common.give_back()
         own = sent.value
         scorer = Scorer(own.net) if own.net is not None else None
-        for batch in batches:
-            texts = [t or "" for t in batch]
-            parts = [scorer.logits(texts[i : i + 100]) for i in range(0, len(texts), 100)] if scorer else []
-            logits = np.concatenate(parts) if parts else np.full(len(texts), np.nan)
-            langs = [own.languages.predict(t)[0] for t in texts] if scorer else [langid.UNKNOWN] * len(texts)
-            yield pd.DataFrame({"logit": logits.astype(np.float64), "lang": pd.Series(langs, dtype=object)})
-
-    mark.__annotations__ = {"batches": Iterator[pd.Series], "return": Iterator[pd.DataFrame]}
-    return F.pandas_udf(mark, "logit double, lang string")
+
+        def run(part: pa.Array) -> list[dict]:
+            texts = [t or "" for t in part.to_pylist()]
+            if scorer is None:
+                return [{"logit": None, "lang": langid.UNKNOWN}] * len(texts)
+            return [{"logit": float(z), "lang": own.languages.predict(t)[0]} for z, t in zip(scorer.logits(texts), texts)]
+
+        try:
+            for batch in batches:
+                parts = [pa.array(run(part), kind) for part in common.array_slices(batch, 100)]
+                yield pa.concat_arrays(parts) if parts else pa.array([], kind)
+        finally:
+            scorer = None
+            common.give_back()
+
+    kind = pa.struct([("logit", pa.float64()), ("lang", pa.string())])
+    mark.__annotations__ = {"batches": Iterator[pa.Array], "return": Iterator[pa.Array]}
+    return F.arrow_udf(mark, "logit double, lang string")
 
 
 def calibrate(model: Model, marked: DataFrame, labels: DataFrame, learned: DataFrame | None, s: Settings) -> None:
