@@ -3,15 +3,22 @@
 Two models of character pairs are trained from labelled samples: random strings
 (secrets that the fixed shapes found, and strings drawn from common alphabets by
 seed) and ordinary identifiers (long words of the documents outside such finds,
-and plain numbers).
+such words joined as paths and names in code by seed, and plain numbers). Both are
+mixed with models of classes of characters (small and capital letters, digits,
+separators), so a pair that no sample has, as words of other documents do, is no
+evidence as such; that digits and capitals alternate is.
 A candidate, a long run of identifier characters outside base finds, is reported
 as kind `markov` when the log-likelihood ratio of the two models, per character,
 exceeds the margin and the whole ratio exceeds the least evidence. Of a run that
 does not, the parts between two of + / _ - = that do are reported, so ordinary
-words beside a random string do not hide it.
-
-Base finds are never dropped. Null text counts as empty. Ids, nulls and repeated
-rows of doc_id pass through as they are; other columns are ignored.
+words beside a random string do not hide it. A UUID is a random string and is
+reported: keys have that form, too.
+
+Base finds are never dropped. Null text counts as empty and has no spans; a very
+long one is read whole, in time linear in its length but for runs without a blank
+that are cut in many places. Ids, nulls and repeated rows of doc_id pass through as
+they are, rows with equal texts get equal spans (ties need no order), and an empty
+table gives no rows. Other columns, whatever their names, are ignored.
 """
 
 from __future__ import annotations
@@ -45,7 +52,8 @@ class Settings:
 
     At most about `sample_docs` documents (chosen by a hash of doc_id) give training
     samples, and each gives at most `per_doc` of either label, spread over its text;
-    a sample longer than 256 characters counts with its first 256.
+    a sample longer than 256 characters counts with its first 256. drawn: random strings,
+    numbers and joined words each. mix: the weight of the models of classes.
     """
 
     margin: float = 0.5
@@ -53,6 +61,7 @@ class Settings:
     sample_docs: int = 4000
     per_doc: int = 20
     drawn: int = 3000
+    mix: float = 0.2
     seed: int = 7
 
 
@@ -81,6 +90,14 @@ def written(spans: Iterable[Span]) -> str:
     return ",".join(f"{kind}:{start}:{end}" for start, end, kind in spans)
 
 
+def class_model(counts: np.ndarray) -> np.ndarray:
+    """Probabilities from pair counts with all characters of a class taken as one; a row for each character and the start."""
+    own = CLASS[:-1]
+    rows, columns = np.eye(CLASS.max() + 1)[CLASS], np.eye(own.max() + 1)[own]
+    pairs = rows.T @ counts @ columns + 0.5
+    return (pairs / pairs.sum(axis=1, keepdims=True))[CLASS][:, own] / columns.sum(axis=0)[own]
+
+
 class PairModel:
     """Log-probabilities of each character after the one before; other characters share a place."""
 
@@ -93,14 +110,16 @@ class PairModel:
         return CODE[raw]
 
     @classmethod
-    def train(cls, samples: Iterable[str], smooth: float = 0.5) -> PairModel:
+    def train(cls, samples: Iterable[str], mix: float = 0.2) -> PairModel:
         n = len(ALPHABET) + 1
-        counts = np.full((n + 1, n), smooth)
+        counts = np.zeros((n + 1, n))
         for s in samples:
             c = cls.codes(s)
             if len(c):
                 np.add.at(counts, (np.concatenate([[n], c[:-1]]), c), 1)
-        return cls(np.log(counts / counts.sum(axis=1, keepdims=True)))
+        classes = class_model(counts)
+        seen = (counts + classes) / (counts.sum(axis=1, keepdims=True) + 1)
+        return cls(np.log((1 - mix) * seen + mix * classes))
 
     def each(self, text: str) -> np.ndarray:
         c = self.codes(text)
@@ -118,6 +137,8 @@ def code_table() -> np.ndarray:
 
 
 CODE = code_table()
+#: Small letters, capitals, digits, separators, other characters, the start of a string.
+CLASS = np.repeat(np.arange(6), [26, 26, 10, len(ALPHABET) - 62, 1, 1])
 
 
 @dataclass
@@ -127,10 +148,10 @@ class Ratio:
     log_ratio: np.ndarray
 
     @classmethod
-    def train(cls, samples: Iterable[tuple[str, int]]) -> Ratio:
+    def train(cls, samples: Iterable[tuple[str, int]], mix: float = 0.2) -> Ratio:
         """samples: (string, 1 if random, else 0)."""
         samples = list(samples)
-        models = [PairModel.train(s for s, label in samples if label == k) for k in (0, 1)]
+        models = [PairModel.train((s for s, label in samples if label == k), mix) for k in (0, 1)]
         return cls(models[1].log_p - models[0].log_p)
 
     def each(self, text: str) -> np.ndarray:
@@ -152,6 +173,24 @@ def drawn_strings(n: int, seed: int) -> list[tuple[str, int]]:
     return [(draw(alphabets[k % len(alphabets)]), 1) for k in range(n)] + [(draw("0123456789"), 0) for _ in range(n)]
 
 
+def joined_words(samples: Iterable[tuple[str, int]], n: int, seed: int) -> list[tuple[str, int]]:
+    """Ordinary identifiers (0): words of ordinary samples, cut short, as paths, with _ or -, and with capitals; some numbered."""
+    words = sorted({w.lower() for s, label in samples if label == 0 for w in re.findall(r"[A-Za-z]{3,}", s)})
+    if not words:
+        return []
+    rng = np.random.default_rng(seed + 1)
+
+    def word() -> str:
+        short = words[int(rng.integers(len(words)))][: int(rng.integers(3, 11))]
+        return short + (str(rng.integers(100)) if rng.random() < 0.1 else "")
+
+    def draw(style: int) -> str:
+        parts = [word() for _ in range(int(rng.integers(2, 9)))]
+        return "".join(p.title() for p in parts) if style == 3 else "/_-"[style].join(parts)
+
+    return [(draw(k % 4), 0) for k in range(n)]
+
+
 def candidates(text: str, base: list[Span], find: Callable) -> list[tuple[int, int]]:
     """Long runs of identifier characters that overlap no base span."""
     out, k = [], 0
@@ -220,7 +259,7 @@ def train(docs: DataFrame, s: Settings = Settings()) -> Ratio:
     sample = labelled_samples(docs, s).orderBy(F.xxhash64("string"), "string", "label").limit(most)
     found = [(r["string"], r["label"]) for r in sample.collect()]
     found.sort()  # the same model in whatever order tasks end
-    return Ratio.train(found + drawn_strings(s.drawn, s.seed))
+    return Ratio.train(found + drawn_strings(s.drawn, s.seed) + joined_words(found, s.drawn, s.seed), s.mix)
 
 
 class Scanner:

@@ -1,9 +1,16 @@
 """Secrets, language, BPE, toxicity and quality: brute force, round trips, held-out accuracy, edges."""
 
+import argparse
 import hashlib
+import inspect
+import logging
 import math
 import random
 import re
+import subprocess
+import tarfile
+import typing
+import uuid
 from collections import Counter
 
 import numpy as np
@@ -102,6 +109,90 @@ def test_random_strings_inside_paths_and_identifiers(spark):
     assert np.mean([len(scanner(t)[1]) > 0 for t in ordinary]) < 0.02
 
 
+@pytest.fixture(scope="module")
+def trained(spark):
+    return secrets.train(common.table(spark, MEDIUM, "documents"))
+
+
+def test_ordinary_words_of_other_texts_are_left_alone(spark, trained):
+    own = {w for r in common.table(spark, MEDIUM, "documents").select("text").collect() for w in re.findall("[a-z]+", (r.text or "").lower())}
+    source = " ".join(inspect.getsource(m) for m in (argparse, logging, subprocess, tarfile, typing))
+    words = sorted(set(re.findall(r"(?<![A-Za-z_.])[a-z]{4,10}(?![A-Za-z_.(=])", source)) - own)
+    assert len(words) > 500
+    scanner, rng = secrets.Scanner(trained, secrets.Settings()), random.Random(11)
+    for join in ("/".join, "_".join, "-".join, lambda parts: "".join(p.title() for p in parts)):
+        for n in (5, 9):
+            assert np.mean([len(scanner(join(rng.choices(words, k=n)))[1]) > 0 for _ in range(300)]) <= 0.05
+    assert not scanner("/usr/local/lib/python3/site-packages/numpy/core")[1]
+    letters = "abcdefghijklmnopqrstuvwxyz0123456789"
+    for alphabet in (letters, letters + letters[:26].upper(), "0123456789abcdef"):
+        hits = [scanner("/".join([*rng.choices(words, k=5), "".join(rng.choices(alphabet, k=24))]))[1] for _ in range(200)]
+        assert np.mean([len(h) > 0 for h in hits]) >= 0.95
+    uuids = [str(uuid.UUID(int=rng.getrandbits(128))) for _ in range(100)]
+    assert np.mean([len(scanner(u)[1]) > 0 for u in uuids]) >= 0.95  # decided: reported
+
+
+def test_pair_model_equals_plain_counting():
+    samples, mix = ["ab/Ab9", "aab", "Z_z-9", "", "\u00e9a"], 0.3
+    groups = ["abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "0123456789", "+/_=-", None]
+    kind = lambda c: next((k for k, g in enumerate(groups) if g and c in g), 4) if c else 5
+    letter = lambda c: c if kind(c) != 4 else "other"
+    pairs, classes = Counter(), Counter()
+    for x in samples:
+        for a, b in zip(["", *x], x):
+            pairs[letter(a) if a else "", letter(b)] += 1
+            classes[kind(a), kind(b)] += 1
+
+    def log_p(a, b):
+        size = [26, 26, 10, 5, 1][kind(b)]
+        general = (classes[kind(a), kind(b)] + 0.5) / (sum(classes[kind(a), k] for k in range(5)) + 2.5) / size
+        n = sum(v for (x, _), v in pairs.items() if x == (letter(a) if a else ""))
+        return math.log((1 - mix) * (pairs[letter(a) if a else "", letter(b)] + general) / (n + 1) + mix * general)
+
+    model = secrets.PairModel.train(samples, mix)
+    for text in ("aZ9/_", "Abz", "\u00e9\u00e9x", "=+-9", "q"):
+        assert model.each(text) == pytest.approx([log_p(a, b) for a, b in zip(["", *text], text)])
+    assert np.exp(model.log_p).sum(axis=1) == pytest.approx(np.ones(len(model.log_p)))
+
+
+def test_markov_spans_equal_brute_force(trained):
+    s = secrets.Settings()
+    scanner, rng = secrets.Scanner(trained, s), random.Random(3)
+
+    def plain(run):
+        each = trained.each(run).tolist()
+        if sum(each) > max(s.evidence, s.margin * len(run)):
+            return [(0, len(run))]
+        pieces, at = [], 0
+        for piece in re.split("[+/_=-]", run):
+            pieces.append((at, at + len(piece)))
+            at += len(piece) + 1
+
+        def best(pieces):
+            if not pieces:
+                return []
+            parts = [(sum(each[a:d]) - s.margin * (d - a), i, j) for i, (a, _) in enumerate(pieces) for j, (_, d) in enumerate(pieces) if i <= j]
+            gain, i, j = max(parts)
+            a, b = pieces[i][0], pieces[j][1]
+            if gain <= 0 or sum(each[a:b]) <= s.evidence:
+                return []
+            return best(pieces[:i]) + [(a, b)] * (b - a >= 16) + best(pieces[j + 1 :])
+
+        return best(pieces) if len(pieces) > 1 else []
+
+    words = ["user", "nombre", "Haus", "index", "path", "lib", "2024", "v2"]
+    letters = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789"
+    several = 0
+    for _ in range(400):
+        random_part = lambda: "".join(rng.choices(letters, k=rng.randint(1, 30)))
+        parts = [rng.choice(words) if rng.random() < 0.9 else random_part() for _ in range(rng.randint(1, 40))]
+        run = "".join(p + rng.choice("+/_=-") for p in parts)
+        want = plain(run)
+        assert scanner.random_parts(run) == want, run
+        several += len(want) > 1
+    assert several > 10
+
+
 def test_language_held_out_accuracy_and_edges(spark, edges, nothing):
     docs = common.table(spark, MEDIUM, "documents").select("doc_id", "lang")
     found = QUERIES["op2_language_id"](spark, MEDIUM).join(docs, "doc_id").filter("held_out").toPandas()
