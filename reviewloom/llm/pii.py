@@ -15,7 +15,8 @@ values get equal pseudonyms in all documents and different values different ones
 (e-mail addresses: but for collisions of the hash). Texts keep their length but for
 the digits of IPv4 octets.
 
-Null text stays null. Repeated rows are treated alike. Other columns are kept.
+Null text stays null, empty text empty; a very long one is read whole. Repeated rows are treated alike, so ties
+need no order; an empty table gives no rows. Other columns, whatever their names, are kept.
 """
 
 from __future__ import annotations

@@ -17,7 +17,8 @@ bounded size, so a crowded region is spread over tasks.
 Vectors that are null or hold null or non-finite components, and rows without
 id, take no part. Shorter vectors count as padded with zeros. Repeated rows (same
 id and vector) count once; candidates with the query's own id are its own row.
-Other columns are ignored. Components are limited to what keeps scores in 64
+Equal scores rank by the smaller id. An empty table, or one without valid vectors, gives no rows;
+vectors may be of any length. Other columns are ignored. Components are limited to what keeps scores in 64
 bits: |scale * x| < 2^28 with up to 64 dimensions.
 """
 
