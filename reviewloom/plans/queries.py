@@ -172,7 +172,7 @@ JSON_FIELDS = "review_id string, business_id string, name string, stars_reviews
 def _json_lines(spark, folder):
     """The reviews as JSON Lines in the shared folder, several files in order of ids."""
     path = tables.scratch(spark)
-    _reviews(spark, folder).repartitionByRange(4, "ordinal").sortWithinPartitions("ordinal").drop("ordinal").write.json(path)
+    jsonl.write_jsonl(_reviews(spark, folder), path, "ordinal")
     return path, T._parse_datatype_string(JSON_FIELDS)
 
 

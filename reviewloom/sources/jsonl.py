@@ -6,7 +6,22 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from reviewloom.operators.ranking import row_bytes
+
 CORRUPT = "_corrupt"
+#: Bytes of rows that one task sorts and writes as a file, about.
+FILE_BYTES = 64 << 20
+
+
+def write_jsonl(df: DataFrame, path: str, order: str, least: int = 4) -> None:
+    """Write JSON Lines, files and lines in ascending ``order``, a column that is not written itself.
+
+    The number of files follows the measured bytes of the rows, so what a task holds does not
+    grow with the input; there are at least ``least`` of them if the rows suffice.
+    """
+    size = df.agg(F.sum(row_bytes(df))).first()[0] or 0
+    files = max(least, -(-size // FILE_BYTES))
+    df.repartitionByRange(files, order).sortWithinPartitions(order).drop(order).write.json(path)
 
 
 def read_jsonl(

@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from reviewloom.operators import clean, embed, quality, ranking, retrieve, select
-from reviewloom.plans import incremental, insights, views
+from reviewloom.plans import incremental, insights, queries, views
 from reviewloom.plans.queries import INSIGHTS, PARAMS, _insights
 from reviewloom.sources import jsonl, tables
 
@@ -241,6 +241,23 @@ def test_first_lines_of_many_files(spark, tmp_path, at_once):
         assert [r.value for r in got.orderBy("ordinal").collect()] == want[:n]
 
 
+def test_json_files_follow_the_bytes_of_the_rows(spark, folder, tmp_path, monkeypatch):
+    """A task of the write takes about FILE_BYTES, however large the input is; order and lines stay."""
+    reviews = views.document_reviews(views.table(spark, folder, "documents"))
+    size = reviews.agg(F.sum(ranking.row_bytes(reviews))).first()[0]
+    monkeypatch.setattr(jsonl, "FILE_BYTES", size // 20)
+    jsonl.write_jsonl(reviews, str(tmp_path / "in"), "ordinal")
+    files = sorted((tmp_path / "in").glob("part-*"))
+    assert len(files) >= 16 and max(f.stat().st_size for f in files) < size / 4
+    want = [r.review_id for r in reviews.orderBy("ordinal").collect()]
+    got = jsonl.read_jsonl(spark, str(tmp_path / "in"), reviews.drop("ordinal").schema)
+    assert [r.review_id for r in got.orderBy("ordinal").collect()] == want
+    for name in ("json_lines",):
+        monkeypatch.setattr(queries.tables, "scratch", lambda spark, name=name: str(tmp_path / name))
+        queries.QUERIES[name](spark, folder)
+        assert len(list((tmp_path / name).glob("part-*"))) >= 16
+
+
 # --- batches ------------------------------------------------------------------------------
 
 
