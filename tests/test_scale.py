@@ -252,7 +252,7 @@ def test_json_files_follow_the_bytes_of_the_rows(spark, folder, tmp_path, monkey
     want = [r.review_id for r in reviews.orderBy("ordinal").collect()]
     got = jsonl.read_jsonl(spark, str(tmp_path / "in"), reviews.drop("ordinal").schema)
     assert [r.review_id for r in got.orderBy("ordinal").collect()] == want
-    for name in ("json_lines",):
+    for name in ("json_lines", "json_head"):
         monkeypatch.setattr(queries.tables, "scratch", lambda spark, name=name: str(tmp_path / name))
         queries.QUERIES[name](spark, folder)
         assert len(list((tmp_path / name).glob("part-*"))) >= 16
