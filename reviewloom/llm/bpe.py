@@ -21,6 +21,8 @@ import json
 import re
 from collections.abc import Callable
 from functools import cached_property
+from itertools import accumulate, compress
+from operator import not_
 
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
@@ -37,8 +39,8 @@ NOT_PLAIN = r"[^\t\n\r -~¡-±´-¸»¿-ɏ‐-‧‰-⁞]"
 LONG = 64
 #: Short words go through the rank array in blocks of these widths.
 BLOCKS = (3, 5, 7, 9, 11, 14, 18, 24, 36, LONG)
-#: Words of one generation of a task's dictionary, which keeps two: about 45 MB each.
-MAX_WORDS = 220_000
+#: Words of one generation of a task's dictionary, which keeps two: about 80 MB each.
+MAX_WORDS = 400_000
 #: Documents encoded together, within the bytes of a run.
 ROWS = 2000
 NONE = np.int32(2**31 - 1)
@@ -193,34 +195,44 @@ class Codec:
             group = np.flatnonzero((sizes > least) & (sizes <= most)).tolist()
             for i in range(0, len(group), 50_000):
                 some = group[i : i + 50_000]
-                padded = b"".join([encoded[k].ljust(most, b"\0") for k in some])
-                ids, counts = self.merge_short(np.frombuffer(padded, np.uint8).reshape(-1, most), sizes[some])
+                left = sizes[some]
+                padded = np.zeros((len(some), most), np.uint8)
+                padded[np.arange(most) < left[:, None]] = np.frombuffer(b"".join(map(encoded.__getitem__, some)), np.uint8)
+                ids, counts = self.merge_short(padded, left)
                 flat, ends = ids[ids >= 0].astype("<u4").tobytes(), (4 * np.cumsum(counts)).tolist()
-                self.words.update([(fresh[k], flat[a:b]) for k, a, b in zip(some, [0, *ends], ends)])
+                self.words.update(zip(map(fresh.__getitem__, some), map(flat.__getitem__, map(slice, [0, *ends], ends))))
         for k in np.flatnonzero(sizes > LONG).tolist():
             self.words[fresh[k]] = np.array(self.merge_long(encoded[k]), "<u4").tobytes()
 
     def find(self, text: str) -> list[str]:
         return self.full(text) if self.not_plain.search(text) else self.plain(text)
 
-    def unknown(self, found: list[list[list[str]]]) -> set[str]:
-        return set().union(*(words for parts in found for words in parts)).difference(self.words)
+    def look(self, found: list[list[str]]) -> tuple[list[list[bytes | None]], list[list[int]]]:
+        """Ids of the words of each part, and the places of words that the dictionary lacks."""
+        ids = [list(map(self.words.get, words)) for words in found]
+        return ids, [list(compress(range(len(some)), map(not_, some))) for some in ids]
 
     def encode_batch(self, texts: list[str]) -> list[bytes]:
         """Ids of each text, as little-endian unsigned 32-bit integers."""
+        for s, i in self.special.items():
+            self.words[s] = np.uint32(i).tobytes()
         cuts = [self.cut(t) if self.cut and any(s in t for s in self.special) else [t] for t in texts]
-        found = [[[p] if p in self.special else self.find(p) for p in parts] for parts in cuts]
-        fresh = self.unknown(found)
+        found = [[p] if p in self.special else self.find(p) for parts in cuts for p in parts]
+        ids, open_ = self.look(found)
+        fresh = {words[k] for words, places in zip(found, open_) for k in places}
         if len(self.words) + len(fresh) > self.max_words:  # a new generation; words in use move on to it
             self.older, self.words = self.words, {}
-            fresh = self.unknown(found)
+            fresh = set().union(*found)
         known = fresh.intersection(self.older)
         self.words.update((w, self.older[w]) for w in known)
-        self.learn([w for w in fresh - known if w not in self.special])
-        for s, i in self.special.items():
-            self.words[s] = np.uint32(i).tobytes()
-        get = self.words.__getitem__
-        return [b"".join(b"".join(map(get, words)) for words in parts) for parts in found]
+        self.learn(list(fresh - known))
+        get, parts = self.words.__getitem__, []
+        for words, some, places in zip(found, ids, open_):
+            for k in places:
+                some[k] = get(words[k])
+            parts.append(b"".join(some))
+        ends = list(accumulate(map(len, cuts)))
+        return [parts[b - 1] if b - a == 1 else b"".join(parts[a:b]) for a, b in zip([0, *ends], ends)]
 
     def encode(self, text: str) -> bytes:
         return self.encode_batch([text])[0]

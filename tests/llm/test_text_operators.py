@@ -241,6 +241,30 @@ def test_short_and_long_words_are_merged_alike():
         assert ids[0, : n[0]].tolist() == codec.merge_long(word)
 
 
+def test_a_run_of_texts_looks_each_known_word_up_once():
+    """Words that the dictionary has are neither gathered in a set nor looked up again."""
+    calls = Counter()
+
+    class Counting(dict):
+        def get(self, word, *default):
+            calls[word] += 1
+            return super().get(word, *default)
+
+        def __getitem__(self, word):
+            calls[word] += 1
+            return super().__getitem__(word)
+
+    codec, t = bpe.Codec(bpe.public_path()), tokenizer()
+    texts = ["a house in a house", "", "in a <unk> new house</s>", "a house"]
+    want = [t.encode(x, add_special_tokens=False).ids for x in texts]
+    assert [np.frombuffer(i, "<u4").tolist() for i in codec.encode_batch(texts)] == want
+    codec.words = Counting(codec.words)
+    assert [np.frombuffer(i, "<u4").tolist() for i in codec.encode_batch(texts)] == want
+    assert calls == Counter(w for x in texts for p in (codec.cut(x) if codec.cut else [x]) for w in ([p] if p in codec.special else codec.find(p)))
+    ids, unknown = codec.look([[" house", " unheard", " house"], []])
+    assert unknown == [[1], []] and ids[0][1] is None and ids[0][0] == ids[0][2]
+
+
 def test_bpe_tables(spark, edges, nothing):
     t = tokenizer()
     encoded = bpe.encode_documents(edges)
