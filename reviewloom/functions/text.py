@@ -3,14 +3,18 @@
 from __future__ import annotations
 
 import unicodedata
+from collections.abc import Iterator
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
 from reviewloom.params import CHAR_REPLACEMENTS, WHITESPACE
 
+#: Bytes of texts that a worker decodes at a time, or one text.
+RUN_BYTES = 1 << 20
+
 # Characters that NFKC never changes and that never combine with a neighbour:
 # text made only of these skips the Python worker. Stated as what may occur, in one
 # possessive run: that matches several times faster than a search for exceptions.
@@ -45,18 +49,26 @@ def replace_and_collapse(text: Column) -> Column:
 
 
 def nfkc(text: Column) -> Column:
-    """NFKC form; only text with possibly unstable characters goes to Python."""
+    """NFKC form; only text with possibly unstable characters goes to Python, and is decoded there in short runs."""
+    size = RUN_BYTES
 
     # defined here so that it travels by value and workers need no package
-    @F.pandas_udf(StringType())
-    def normalize(batch: pd.Series) -> pd.Series:
-        def form(s: str) -> str:
-            return s if unicodedata.is_normalized("NFKC", s) else unicodedata.normalize("NFKC", s)
-
-        return batch.map(form, na_action="ignore")
+    def normalize(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        def form(s: str | None) -> str | None:
+            return s if s is None or unicodedata.is_normalized("NFKC", s) else unicodedata.normalize("NFKC", s)
+
+        for batch in batches:
+            start = 0
+            while start < len(batch):
+                part = batch.slice(start)
+                while len(part) > 1 and part.nbytes > size:
+                    part = part.slice(0, len(part) // 2)
+                start += len(part)
+                yield part if part.null_count == len(part) else pa.array([form(s) for s in part.to_pylist()], pa.string())
+        pa.default_memory_pool().release_unused()
 
     unstable = F.when(~text.rlike(_NFKC_STABLE), text)
-    return F.coalesce(normalize(unstable), text)
+    return F.coalesce(F.arrow_udf(normalize, StringType())(unstable), text)
 
 
 def one_line(text: Column) -> Column:

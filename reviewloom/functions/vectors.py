@@ -7,13 +7,17 @@ import re
 from collections.abc import Callable, Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 METRICS = ("ip", "cosine", "l2")
 MAX_BUCKETS = 1 << 16  # the bucket is taken from 16 bits of the digest
 TERM = "[a-zà-ÿ0-9]+"
+#: Terms whose buckets a worker keeps (some 20 MB), and what it makes at a time: values of vectors, bytes of texts.
+KNOWN_TERMS = 100_000
+RUN_VALUES = 1 << 18
+RUN_BYTES = 1 << 20
 
 
 def check_metric(metric: str) -> None:
@@ -60,29 +64,56 @@ def term_counts(text: Column, dim: int) -> Column:
     """Histogram of the md5 buckets of a text's terms: array<float> of length ``dim``.
 
     One pass over the terms in Arrow batches, whatever the dimension. Terms are
-    lower-case runs of letters and digits; Spark lowers the text.
+    lower-case runs of letters and digits; Spark lowers the text. What a worker holds
+    beside the batch is bounded: short runs of texts, and a dictionary of short terms.
     """
     if not 0 < dim <= MAX_BUCKETS:
         raise ValueError(f"dim must be between 1 and {MAX_BUCKETS}, got {dim}")
+    return F.arrow_udf(term_counter(dim), "array<float>")(F.lower(text))
+
+
+def term_counter(
+    dim: int, known: int = KNOWN_TERMS, values: int = RUN_VALUES, size: int = RUN_BYTES
+) -> Callable[[Iterator[pa.Array]], Iterator[pa.Array]]:
+    """From batches of lowered texts to vectors, in runs of at most so many values and about so many bytes, or one text.
+
+    A worker keeps the buckets of at most ``known`` terms of up to 32 characters.
+    """
+    pattern, most = TERM, max(1, min(values // dim, 1000))
 
     # defined here so that it travels by value and workers need no package
-    @F.pandas_udf("array<float>")
-    def count(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        find = re.compile(TERM).findall
+    def count(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        import ctypes
+
+        find = re.compile(pattern).findall
         bucket: dict[str, int] = {}
         for batch in batches:
-            rows = []
-            for lowered in batch:
-                terms = find(lowered or "")
-                for t in set(terms).difference(bucket):
-                    bucket[t] = int(hashlib.md5(t.encode()).hexdigest()[:4], 16) % dim
-                at = np.fromiter(map(bucket.__getitem__, terms), np.int64, len(terms))
-                rows.append(np.bincount(at, minlength=dim).astype(np.float32))
-                if len(bucket) > 300_000:
-                    bucket.clear()
-            yield pd.Series(rows, dtype=object)
-
-    return count(F.lower(text))
+            start = 0
+            while start < len(batch):
+                part = batch.slice(start, most)
+                while len(part) > 1 and part.nbytes > size:
+                    part = part.slice(0, len(part) // 2)
+                start += len(part)
+                made = np.zeros((len(part), dim), np.float32)
+                for row, lowered in enumerate(part.to_pylist()):
+                    terms = find(lowered or "")
+                    rare = {}
+                    for t in set(terms).difference(bucket):
+                        b = int(hashlib.md5(t.encode()).hexdigest()[:4], 16) % dim
+                        (bucket if len(t) <= 32 else rare)[t] = b
+                    at = [rare[t] if t in rare else bucket[t] for t in terms] if rare else map(bucket.__getitem__, terms)
+                    made[row] = np.bincount(np.fromiter(at, np.int64, len(terms)), minlength=dim)
+                    if len(bucket) > known:
+                        bucket.clear()
+                ends = pa.array(np.arange(len(part) + 1, dtype=np.int32) * np.int32(dim))
+                yield pa.ListArray.from_arrays(ends, pa.array(made.ravel()))
+        bucket.clear()
+        pa.default_memory_pool().release_unused()
+        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc only: a worker lives on behind its task
+        if trim is not None:
+            trim(0)
+
+    return count
 
 
 def _cosine(product: Column, norms: Column) -> Column:

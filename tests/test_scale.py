@@ -1,11 +1,15 @@
 """Forms that move no text, no vectors and no hot key: their plans, and results under small bounds."""
 
 import re
+import unicodedata
 
 import pandas as pd
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
+from reviewloom.functions import text
+from reviewloom.functions import vectors as V
 from reviewloom.operators import clean, embed, quality, ranking, retrieve, select
 from reviewloom.plans import incremental, insights, queries, views
 from reviewloom.plans.queries import INSIGHTS, PARAMS, _insights
@@ -143,6 +147,34 @@ def test_best_of_a_block_breaks_ties_by_id():
     assert sorted(own.chunk_id[rows[queries == 1]]) == ["a", "b", "f", "g"]
 
 
+# --- Python workers -------------------------------------------------------------------
+
+
+def test_a_worker_holds_short_runs_and_few_terms():
+    """Neither the batch nor the vocabulary nor the dimension says how much Python holds beside the batch."""
+    import tracemalloc
+
+    texts = [" ".join(f"t{i}x{j}" for j in range(50)) + " " + "q" * 3000 for i in range(2000)] + [None, ""]
+    batch = pa.array(texts)
+    plain = V.term_counter(64, known=10**9, values=1 << 40, size=1 << 40)
+    whole = [row for part in plain(iter([batch])) for row in part.to_pylist()]
+    tracemalloc.start()
+    parts = list(V.term_counter(64, known=500, values=64 * 300, size=100_000)(iter([batch, batch.slice(0, 0)])))
+    held = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert held < 4 << 20  # the texts alone are 7 MB
+    assert max(map(len, parts)) < 60 and [row for part in parts for row in part.to_pylist()] == whole
+    assert max(len(p) for p in V.term_counter(1 << 16)(iter([batch.slice(0, 20)]))) <= 4
+
+
+def test_unstable_texts_are_normalized_in_runs(spark, monkeypatch):
+    monkeypatch.setattr(text, "RUN_BYTES", 200)
+    rows = [("ﬁ" * n + "Å",) for n in range(150)] + [(None,), ("plain",), ("x" * 999 + "²",)]
+    df = spark.createDataFrame(rows, "t string").repartition(2).select("t", text.nfkc(F.col("t")).alias("n"))
+    for r in df.collect():
+        assert r.n == (r.t and unicodedata.normalize("NFKC", r.t))
+
+
 # --- hot keys ------------------------------------------------------------------------
 
 
