@@ -23,6 +23,8 @@ BLOCK_BYTES = 8 << 20
 BROADCAST_BYTES = 64 << 20
 #: Vectors in one block.
 BLOCK_ROWS = 2048
+#: Rows of ids and scores that may be broadcast to the texts, some 20 MB.
+FEW_WINNERS = 100_000
 RESULT_COLUMNS = (
     "topic", "score", "rank", "chunk_id", "business_id",
     "restaurant_name", "stars", "review_id", "chunk",
@@ -242,11 +244,13 @@ def topic_retrieval(
     max_per_topic: int = 12,
     metric: str = "ip",
     text_from: DataFrame | None = None,
+    work: str | None = None,
 ) -> DataFrame:
     """Top k, then the cap per review, then the first ``max_per_topic``, ranked.
 
     Only ids and scores are ranked. The other columns are looked up for the winners,
-    in ``text_from`` or, without it, in ``chunks``.
+    in ``text_from`` or, without it, in ``chunks``. With ``work``, a folder, the winners are
+    written there and counted, so that few of them go to the texts and no text is shuffled.
     """
     top = score_topk(chunks, topics, k, metric)
     capped = cap_per_review(top, max_per_review, metric)
@@ -255,20 +259,24 @@ def topic_retrieval(
     )
     details = chunks.drop("embedding") if text_from is None else text_from
     if set(details.columns) - set(ranked.columns):
-        ranked = attach(ranked, details)
+        if work is not None:
+            tables.write_table(ranked, work)
+            ranked = tables.read_table(ranked.sparkSession, work)
+        few = work is not None and ranked.limit(FEW_WINNERS + 1).count() <= FEW_WINNERS
+        ranked = attach(ranked, details, few=few)
     return ranked.select(*[c for c in RESULT_COLUMNS if c in ranked.columns])
 
 
-def attach(ranked: DataFrame, details: DataFrame, key: str | None = None) -> DataFrame:
+def attach(ranked: DataFrame, details: DataFrame, key: str | None = None, few: bool = False) -> DataFrame:
     """Look up the columns of ``details`` that ``ranked`` lacks, by key.
 
-    The key is ``chunk_key`` if both have it, else ``chunk_id``. A key that occurs twice in
+    ``few`` says that ``ranked`` may be broadcast; details then stay in place. The key is ``chunk_key`` if both have it, else ``chunk_id``. A key that occurs twice in
     ``details`` fails the job: it would make two rows of one.
     """
     key = key or next(c for c in KEYS if c in ranked.columns and c in details.columns)
     extra = [c for c in details.columns if c == key or c not in ranked.columns]
     # the winners are the side that is held: details stream by unsorted, and in place if bucketed by the key
-    joined = details.select(*extra).join(ranked.hint("shuffle_hash"), key)
+    joined = details.select(*extra).join(F.broadcast(ranked) if few else ranked.hint("shuffle_hash"), key)
     row = [c for c in (key, "business_id", "topic", "rank") if c in ranked.columns]
     twice = F.count("*").over(Window.partitionBy(*row)) > 1
     checked = F.when(twice, F.raise_error(F.concat(F.lit(f"{key} is not unique: "), F.col(key).cast("string")))).otherwise(

@@ -67,7 +67,7 @@ def add_batch(
     some = F.col(_FOLDER).isin(touched) if touched else F.lit(False)
     text = chunks.filter(some).select("chunk_key", "restaurant_name", "stars", "chunk")
     vectors = _stored(spark, f"{store}/vectors")
-    ranked = retrieved_chunks(vectors.filter(some).select(*ids, "embedding"), p, embedder, text)
+    ranked = retrieved_chunks(vectors.filter(some).select(*ids, "embedding"), p, embedder, text, f"{work}/ranked")
     if touched:
         _replace(ranked.select("*", folder), f"{store}/retrieved", _FOLDER)
     # last, so that a batch that fails before is taken as new when it is run again

@@ -24,8 +24,9 @@ def retrieved_chunks(
     params: Params = Params(),
     embedder: embed.Embedder | None = None,
     text_from: DataFrame | None = None,
+    work: str | None = None,
 ) -> DataFrame:
-    """The ranked chunks of every (business, topic)."""
+    """The ranked chunks of every (business, topic); ``work`` as in :func:`retrieve.topic_retrieval`."""
     topics = embed.topic_table(vectors.sparkSession, params.topics)
     return retrieve.topic_retrieval(
         vectors,
@@ -35,6 +36,7 @@ def retrieved_chunks(
         params.max_per_topic,
         params.metric,
         text_from,
+        work,
     )
 
 

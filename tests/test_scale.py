@@ -330,3 +330,19 @@ def test_a_batch_leaves_other_businesses_alone(spark, folder, tmp_path):
     # a batch run again changes nothing, and one without rows neither
     assert result(incremental.add_batch(spark, second, store, "two", PARAMS)) == got
     assert result(incremental.add_batch(spark, second.limit(0), store, "three", PARAMS)) == got
+
+
+@pytest.mark.parametrize("most", [100_000, 0])
+def test_winners_go_to_the_texts(spark, folder, tmp_path, by_hand, monkeypatch, most):
+    """Winners that were counted as few are broadcast, and no text is shuffled; the rows are the same either way."""
+    monkeypatch.setattr(retrieve, "FEW_WINNERS", most)
+    reviews = views.document_reviews(views.table(spark, folder, "documents"))
+    tables.write_table(insights.prepared_chunks(reviews, PARAMS), str(tmp_path / "c"))
+    chunks = tables.read_table(spark, str(tmp_path / "c"))
+    vectors = embed.embed(chunks.select("chunk_key", "chunk_id", "business_id", "review_id", "chunk"), "chunk").drop("chunk")
+    details = chunks.select("chunk_key", "restaurant_name", "stars", "chunk")
+    found = insights.retrieved_chunks(vectors, PARAMS, text_from=details, work=str(tmp_path / "ranked"))
+    joins = re.findall("BroadcastHashJoin|ShuffledHashJoin", plan(found))
+    assert joins == ["BroadcastHashJoin" if most else "ShuffledHashJoin"]
+    want = insights.retrieved_chunks(vectors, PARAMS, text_from=details)
+    assert sorted(map(str, found.collect())) == sorted(map(str, want.collect()))
