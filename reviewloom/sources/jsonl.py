@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -11,17 +12,46 @@ from reviewloom.operators.ranking import row_bytes
 CORRUPT = "_corrupt"
 #: Bytes of rows that one task sorts and writes as a file, about.
 FILE_BYTES = 64 << 20
+#: Keys that are drawn for a file, and for all files, to find where files start.
+FILE_KEYS, MOST_KEYS = 256, 1_000_000
 
 
 def write_jsonl(df: DataFrame, path: str, order: str, least: int = 4) -> None:
     """Write JSON Lines, files and lines in ascending ``order``, a column that is not written itself.
 
-    The number of files follows the measured bytes of the rows, so what a task holds does not
-    grow with the input; there are at least ``least`` of them if the rows suffice.
+    Files take about equally many bytes, wherever the long rows lie, and their number follows the
+    measured bytes, so what a task holds does not grow with the input; only rows that repeat an
+    ``order`` stay in one file. There are at least ``least`` files if the rows suffice.
+    """
+    starts = file_starts(df, order, least)
+    n_starts = len(starts["_starts"][0])
+    known = F.broadcast(df.sparkSession.createDataFrame(starts))
+    steps = F.array(*[F.lit(1 << i) for i in range(n_starts.bit_length(), -1, -1)])
+    # a binary search: how many starts are not above the row
+    file = F.aggregate(
+        steps,
+        F.lit(0),
+        lambda n, step: F.when(F.get("_starts", n + step - 1) <= F.col(order), n + step).otherwise(n),
+    )
+    rows = df.crossJoin(known).withColumn("_file", file).drop("_starts")
+    dealt = rows.repartitionById(n_starts + 1, "_file")
+    dealt.sortWithinPartitions(order).drop(order, "_file").write.json(path)
+
+
+def file_starts(df: DataFrame, order: str, least: int) -> pa.Table:
+    """One row of the ascending values of ``order`` at which new files start, so that these take about equally many bytes.
+
+    A row gives its key once for every so many of its bytes, the rest decided by the key's
+    hash. This draws keys for the starts only; every row is measured, and every row is written.
     """
     size = df.agg(F.sum(row_bytes(df))).first()[0] or 0
     files = max(least, -(-size // FILE_BYTES))
-    df.repartitionByRange(files, order).sortWithinPartitions(order).drop(order).write.json(path)
+    per_file = max(1, min(FILE_KEYS, MOST_KEYS // files))
+    chance = F.pmod(F.xxhash64(order), F.lit(1 << 20)) / (1 << 20)
+    times = F.floor(row_bytes(df) * (per_file * files) / max(size, 1) + chance).cast("int")
+    drawn = df.select(F.explode(F.array_repeat(F.col(order), times)).alias("key"))
+    every = F.filter(F.sort_array(F.collect_list("key")), lambda _, i: (i > 0) & (i % per_file == 0))
+    return drawn.agg(F.array_distinct(every).alias("_starts")).toArrow()
 
 
 def read_jsonl(

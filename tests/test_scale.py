@@ -290,6 +290,33 @@ def test_json_files_follow_the_bytes_of_the_rows(spark, folder, tmp_path, monkey
         assert len(list((tmp_path / name).glob("part-*"))) >= 16
 
 
+def test_json_files_take_equal_bytes_where_long_texts_lie_together(spark, folder, tmp_path, monkeypatch):
+    """A tenth of the rows, side by side, holds most of the bytes; they are spread over files like all others."""
+    reviews = views.document_reviews(views.table(spark, folder, "documents"))
+    last = reviews.agg(F.max("ordinal")).first()[0]
+    long = F.when(F.col("ordinal") > 0.9 * last, F.repeat(F.lit("0123456789"), F.lit(10_000))).otherwise(F.col("text"))
+    reviews = reviews.withColumn("text", long)
+    monkeypatch.setattr(jsonl, "FILE_BYTES", reviews.agg(F.sum(ranking.row_bytes(reviews))).first()[0] // 20)
+    want = [r.review_id for r in reviews.orderBy("ordinal").collect()]
+    place = F.struct(F.lit("a").alias("file"), F.col("ordinal").alias("position"))  # as read_jsonl gives it
+    for name, rows in (("number", reviews), ("struct", reviews.withColumn("ordinal", place))):
+        jsonl.write_jsonl(rows, str(tmp_path / name), "ordinal")
+        sizes = [f.stat().st_size for f in (tmp_path / name).glob("part-*")]
+        assert len(sizes) >= 12 and max(sizes) < sum(sizes) / 6
+        got = jsonl.read_jsonl(spark, str(tmp_path / name), reviews.drop("ordinal").schema)
+        assert [r.review_id for r in got.orderBy("ordinal").collect()] == want
+
+
+def test_json_of_few_rows_of_repeated_and_of_missing_places(spark, tmp_path):
+    for i, places in enumerate(([], [7], [None, None], [3, 3, 3, 3, 3], [5, None, 1, 4, 2, 2, 3])):
+        rows = spark.createDataFrame([(str(p), p) for p in places], "a string, place bigint")
+        jsonl.write_jsonl(rows, str(tmp_path / str(i)), "place")
+        want = [str(p) for p in sorted(places, key=lambda p: p or 0)]
+        for head in (None, 3):
+            got = jsonl.read_jsonl(spark, str(tmp_path / str(i)), rows.drop("place").schema, head)
+            assert [r.a for r in got.orderBy("ordinal").collect()] == want[:head]
+
+
 # --- batches ------------------------------------------------------------------------------
 
 
